@@ -101,7 +101,7 @@ def mean_index(mean: Column, parameter: str) -> Column:
 def comprehensive_index(
     pm2_5: Column, pm10: Column, no2: Column, so2: Column, o3_index: Column, co_index: Column
 ) -> Column:
-    """Sum of the six single indices, two decimals."""
+    """Sum of the six single indices, two decimals (halves go up, on 8 decimals)."""
     total = (
         mean_index(so2, "so2")
         + mean_index(pm10, "pm10")
@@ -110,7 +110,7 @@ def comprehensive_index(
         + co_index
         + o3_index
     )
-    return F.round(total, 2)
+    return F.round(total.cast("decimal(20,8)"), 2).cast("double")
 
 
 def _agrees(forecast_grade: Column, actual: Column, raised: Column, lowered: Column) -> Column:

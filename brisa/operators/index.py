@@ -51,6 +51,16 @@ def parameter_means(extra: Iterable[str] = ()) -> list[Column]:
     return [F.avg(c).alias(c) for c in (*PARAMETERS, *extra)]
 
 
+def published_means() -> list[Column]:
+    """Means of published values, the same whatever order rows are added in.
+
+    co is published in tenths, so it is summed as whole tenths.
+    """
+    tenths = F.sum(F.rint(F.col("co") * 10).cast("bigint")).cast("double")
+    co = F.try_divide(tenths, F.count("co") * 10)
+    return [co.alias(p) if p == "co" else F.avg(p).alias(p) for p in PARAMETERS]
+
+
 def payload(df: DataFrame, keep: Iterable[str], null_fields: bool = True) -> DataFrame:
     """Pack all columns but ``keep`` into one JSON ``data`` column for a text sink."""
     kept = list(keep)

@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import air, clean, times
-from brisa.operators.index import parameter_means, presence_flags, reported, with_index
+from brisa.operators.index import (
+    parameter_means,
+    presence_flags,
+    published_means,
+    reported,
+    with_index,
+)
 from brisa.params import (
     GRADE_BOUNDS,
     LARGE_AREA_SHARE,
@@ -127,7 +133,7 @@ def area_day_from(
         day.select(*on, "published_at", *PARAMETERS)
         .join(bridge, on=list(on), how="inner")
         .groupBy("area_id", "published_at")
-        .agg(*parameter_means(), F.count(member).alias("_present"))
+        .agg(*published_means(), F.count(member).alias("_present"))
         .join(sizes, on="area_id")
         .withColumn("valid", covered(F.col("_present"), F.col("_members"), digits))
         .drop("_present", "_members")
@@ -199,7 +205,7 @@ def days_needed(period: str) -> Column:
 
 def _period_aggregates(valid_days: dict[str, Column]) -> list[Column]:
     return [
-        *parameter_means(),
+        *published_means(),
         *[valid_days[p].alias(f"_{p}_days") for p in PARAMETERS],
         F.count_if(F.col("grade").isin(1, 2)).alias("std_day_num"),
         air.percentile_index(clean.reported(F.col("o3"), "o3"), "o3").alias("o3_index"),
@@ -243,7 +249,9 @@ def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame
 
 def district_rollup(grid: DataFrame, level: str) -> DataFrame:
     """Hour or day product of districts: grid means, rounded, then graded."""
-    means = grid.groupBy("control_area_id", "published_at").agg(*parameter_means())
+    means = grid.groupBy("control_area_id", "published_at").agg(
+        *(published_means() if level == "day" else parameter_means())
+    )
     product = with_index(reported(means), level, air.graded_iaqi, PARAMETERS)
     return presence_flags(product).withColumn("source", F.lit("inference"))
 

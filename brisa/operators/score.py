@@ -68,20 +68,29 @@ def suffixed(df: DataFrame, suffix: str) -> list[Column]:
 
 
 def pair_forecast(
-    forecast: DataFrame, actual: DataFrame, on: Sequence[str], keys: Sequence[str]
+    forecast: DataFrame,
+    actual: DataFrame,
+    on: Sequence[str],
+    keys: Sequence[str],
+    scale: str = "hour",
 ) -> DataFrame:
     """Forecast rows next to what was observed at the same place and time.
 
-    Forecasts with a missing field are left out.  If ``actual`` has no index
-    fields of its own (grid cells), they are computed on the hourly scale.
+    Forecasts with a missing field are left out.  A side without index fields
+    of its own is graded here, on ``scale``; the forecast after that filter, so
+    the filter works on stored columns.
     """
-    wanted = [*dict.fromkeys([*on, *keys]), *PARAMETERS, "grade", "aqi", "primary_pollutants"]
-    said = forecast.select(*wanted).dropna("any")
-    said = said.select(*dict.fromkeys([*on, *keys]), *suffixed(said, "f"))
+    index_fields = ["grade", "aqi", "primary_pollutants"]
+    ids = list(dict.fromkeys([*on, *keys]))
+    stored = [c for c in index_fields if c in forecast.columns]
+    said = forecast.select(*ids, *PARAMETERS, *stored).dropna("any")
+    if not stored:
+        said = with_index(said, scale, air.graded_iaqi, PARAMETERS)
     if "aqi" not in actual.columns:
-        actual = with_index(actual, "hour", air.graded_iaqi, PARAMETERS)
-    seen = actual.select(*on, *suffixed(actual, "r"))
-    return said.join(seen, on=list(on), how="inner")
+        actual = with_index(actual, scale, air.graded_iaqi, PARAMETERS)
+    return said.select(*ids, *suffixed(said, "f")).join(
+        actual.select(*on, *suffixed(actual, "r")), on=list(on), how="inner"
+    )
 
 
 def _share(hits: Column, of: Column) -> Column:

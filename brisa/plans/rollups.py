@@ -211,7 +211,7 @@ def _area_day_sql(day: str, bridge: str, on: str, member: str, source: str, digi
       {sql.FLAGS_PRESENT}, valid, '{source}' AS source FROM (
       SELECT area_id, published_at, {sql.reports()}, {sql.INDEX_COLUMNS},
         CASE WHEN (members < 4 AND {share} < 0.5) OR (members >= 4 AND {share} < 0.75) THEN 0 ELSE 1 END AS valid
-      FROM {sql.indexed(f'''(SELECT area_id, published_at, {sql.MEANS}, count(*) AS present, any_value(members) AS members
+      FROM {sql.indexed(f'''(SELECT area_id, published_at, {sql.PUBLISHED_MEANS}, count(*) AS present, any_value(members) AS members
         FROM {day} JOIN {bridge} USING ({on})
         JOIN (SELECT area_id, count(*) AS members FROM {bridge} GROUP BY area_id) USING (area_id)
         GROUP BY area_id, published_at)''', 'day')})"""
@@ -360,13 +360,13 @@ def _stored(spark, sf):
         F.make_timestamp_ntz(
             F.lit(1995) + (F.col("c_custkey") % 8).cast("int"), F.lit(1), F.lit(1),
             F.lit(0), F.lit(0), F.lit(0.0),
-        ).alias("at"),
+        ).alias("seen_at"),
         F.col("c_mktsegment").alias("segment"),
         F.col("c_acctbal").alias("amount"),
     )
     updates = adapters.table(spark, sf, "orders").select(
         (F.col("o_custkey") * 2).alias("key"),
-        F.col("o_orderdate").alias("at"),
+        F.col("o_orderdate").alias("seen_at"),
         F.col("o_orderpriority").alias("segment"),
         F.col("o_totalprice").alias("amount"),
     )
@@ -374,31 +374,31 @@ def _stored(spark, sf):
 
 
 sql.view("stored", """
-  SELECT c_custkey AS key, make_timestamp(1995 + c_custkey % 8, 1, 1, 0, 0, 0) AS at,
+  SELECT c_custkey AS key, make_timestamp(1995 + c_custkey % 8, 1, 1, 0, 0, 0) AS seen_at,
     c_mktsegment AS segment, c_acctbal AS amount FROM customer""")
 sql.view("fresh", """
-  SELECT * FROM (SELECT o_custkey * 2 AS key, o_orderdate AS at, o_orderpriority AS segment, o_totalprice AS amount FROM orders)
-  QUALIFY row_number() OVER (PARTITION BY key ORDER BY at DESC, amount DESC) = 1""")
+  SELECT * FROM (SELECT o_custkey * 2 AS key, o_orderdate AS seen_at, o_orderpriority AS segment, o_totalprice AS amount FROM orders)
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY seen_at DESC, amount DESC) = 1""")
 
 
 @query("B22_merge_latest", sql.with_views("stored fresh", """
-  SELECT key, at, segment, amount FROM (SELECT *, 0 AS n FROM stored UNION ALL SELECT *, 1 FROM fresh)
-  QUALIFY row_number() OVER (PARTITION BY key ORDER BY at DESC, n DESC) = 1"""))
+  SELECT key, seen_at, segment, amount FROM (SELECT *, 0 AS n FROM stored UNION ALL SELECT *, 1 FROM fresh)
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY seen_at DESC, n DESC) = 1"""))
 def merge_latest(spark, sf):
     target, updates = _stored(spark, sf)
-    unique = latest.latest_per_key(updates, ["key"], "at", ["amount"])
-    return latest.merge_latest(target, unique, ["key"], "at")
+    unique = latest.latest_per_key(updates, ["key"], "seen_at", ["amount"])
+    return latest.merge_latest(target, unique, ["key"], "seen_at")
 
 
 @query("S12_merge_some_columns", sql.with_views("stored fresh", """
   SELECT coalesce(s.key, f.key) AS key,
-    CASE WHEN f.key IS NOT NULL AND (s.key IS NULL OR f.at >= s.at) THEN f.at ELSE s.at END AS at,
+    CASE WHEN f.key IS NOT NULL AND (s.key IS NULL OR f.seen_at >= s.seen_at) THEN f.seen_at ELSE s.seen_at END AS seen_at,
     CASE WHEN s.key IS NOT NULL THEN s.segment ELSE f.segment END AS segment,
-    CASE WHEN f.key IS NOT NULL AND (s.key IS NULL OR f.at >= s.at) THEN f.amount ELSE s.amount END AS amount
+    CASE WHEN f.key IS NOT NULL AND (s.key IS NULL OR f.seen_at >= s.seen_at) THEN f.amount ELSE s.amount END AS amount
   FROM stored s FULL JOIN fresh f ON s.key = f.key"""))
 def merge_some_columns(spark, sf):
     target, updates = _stored(spark, sf)
-    return latest.merge_latest(target, updates, ["key"], "at", update_cols=["amount"])
+    return latest.merge_latest(target, updates, ["key"], "seen_at", update_cols=["amount"])
 
 
 @query("C13_dedup_on_key", """

@@ -28,13 +28,9 @@ def half_hour_densify(spark, sf):
     return dense_hours(spark, sf)
 
 
-def graded_forecast(spark, sf):
-    return with_index(adapters.forecast_rows(spark, sf), "hour", air.graded_iaqi, PARAMETERS)
-
-
 def grid_pairs(spark, sf):
     return score.pair_forecast(
-        graded_forecast(spark, sf), dense_hours(spark, sf), [*CELL, "published_at"],
+        adapters.forecast_rows(spark, sf), dense_hours(spark, sf), [*CELL, "published_at"],
         ["control_area_id", "forecast_interval"],
     )
 
@@ -61,9 +57,8 @@ def station_forecast_score(spark, sf):
     lowest = adapters.observations(spark, sf).groupBy("station_id", "published_at").agg(
         *[F.min(p).alias(p) for p in PARAMETERS]
     )
-    forecast = with_index(lowest, "hour", air.graded_iaqi, PARAMETERS)
     pairs = score.pair_forecast(
-        forecast, adapters.station_hours(spark, sf), ["station_id", "published_at"], ["station_id"]
+        lowest, adapters.station_hours(spark, sf), ["station_id", "published_at"], ["station_id"]
     )
     return rounded(score.score_forecast(pairs, ["station_id"]))
 
@@ -94,10 +89,9 @@ def district_forecast_score(spark, sf):
         )
         .agg(*[F.round(F.avg(p)).alias(p) for p in PARAMETERS])
     )
-    forecast = with_index(said, "day", air.graded_iaqi, PARAMETERS)
     actual = rollup.district_rollup(adapters.grid_days(spark, sf), "day")
     keys = ["control_area_id", "time_step"]
-    pairs = score.pair_forecast(forecast, actual, ["control_area_id", "published_at"], keys)
+    pairs = score.pair_forecast(said, actual, ["control_area_id", "published_at"], keys, "day")
     return rounded(score.score_forecast(pairs, keys))
 
 
@@ -114,7 +108,7 @@ def score_history(spark, sf):
     """Mean of the monthly scores, all months weighing the same."""
     keys = ["control_area_id", "forecast_interval"]
     pairs = score.pair_forecast(
-        graded_forecast(spark, sf), dense_hours(spark, sf), [*CELL, "published_at"], keys
+        adapters.forecast_rows(spark, sf), dense_hours(spark, sf), [*CELL, "published_at"], keys
     )
     months = score.score_forecast(
         pairs.withColumns({"y": F.year("published_at"), "m": F.month("published_at")}),

@@ -53,7 +53,7 @@ def primary(order=PRIMARY_ORDER, aqi: str = "aqi") -> str:
 
 
 def decimal_round(v: str, digits: int) -> str:
-    return f"CAST(round(CAST({v} AS DECIMAL(28, 10)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({v} AS DECIMAL(28, 8)), {digits}) AS DOUBLE)"
 
 
 def report(p: str, v: str | None = None) -> str:
@@ -117,6 +117,9 @@ view("obs", f"""
   FROM lineitem""")
 
 MEANS = each("avg(@) AS @")
+PUBLISHED_MEANS = MEANS.replace(
+    "avg(co) AS co", "sum(CAST(round(co * 10) AS BIGINT))::DOUBLE / (count(co) * 10) AS co"
+)
 
 
 def hour_means(keys: str, source: str = "obs") -> str:
@@ -222,7 +225,7 @@ COMPREHENSIVE = decimal_round(
 def period(source: str, keys: str, name: str) -> str:
     counts = each("count(@) AS @_days")
     flags = each(f"CAST(@_days >= {PERIOD_NEED[name]} AS INTEGER) AS @_flag")
-    inner = f"""(SELECT {keys}, {PERIOD_KEYS[name]}, {MEANS}, {counts},
+    inner = f"""(SELECT {keys}, {PERIOD_KEYS[name]}, {PUBLISHED_MEANS}, {counts},
       count(*) FILTER (grade IN (1, 2)) AS std_day_num,
       quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
       FROM (SELECT *, {period_ids(name)} FROM {source}) GROUP BY {keys}, {PERIOD_KEYS[name]})"""
@@ -233,9 +236,10 @@ def period(source: str, keys: str, name: str) -> str:
 
 
 def district(source: str, level: str) -> str:
+    means = PUBLISHED_MEANS if level == "day" else MEANS
     inner = (
         f"(SELECT control_area_id, published_at, {reports()} FROM (SELECT control_area_id,"
-        f" published_at, {MEANS} FROM {source} GROUP BY control_area_id, published_at))"
+        f" published_at, {means} FROM {source} GROUP BY control_area_id, published_at))"
     )
     return (
         f"SELECT control_area_id, published_at, {each('@')}, {INDEX_COLUMNS}, {FLAGS_PRESENT},"
@@ -250,7 +254,7 @@ def district_period(source: str, name: str) -> str:
     counts = each("coalesce(sum(@_flag), 0) AS @_days")
     flags = each(f"CAST(@_days >= {PERIOD_NEED[name]} AS INTEGER) AS @_flag")
     keys = "source, control_area_id"
-    inner = f"""(SELECT * REPLACE ({reports()}) FROM (SELECT {keys}, {PERIOD_KEYS[name]}, {MEANS}, {counts},
+    inner = f"""(SELECT * REPLACE ({reports()}) FROM (SELECT {keys}, {PERIOD_KEYS[name]}, {PUBLISHED_MEANS}, {counts},
       count(*) FILTER (grade IN (1, 2)) AS std_day_num,
       quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
       FROM (SELECT *, {period_ids(name)} FROM {source}) GROUP BY {keys}, {PERIOD_KEYS[name]}))"""
@@ -332,7 +336,7 @@ def pairs(said: str, seen: str, on: str, extra: str, s: str = "f") -> str:
 
 view("dense_indexed", f"SELECT * FROM {indexed('dense', 'hour', graded, PARAMETERS)}", "dense")
 view("grid_pairs", pairs(
-    "(SELECT * FROM forecast_indexed WHERE " + each("@ IS NOT NULL", " AND ") + " AND aqi IS NOT NULL)",
+    "(SELECT * FROM forecast_indexed WHERE " + each("@ IS NOT NULL", " AND ") + ")",
     "dense_indexed",
     "a.grid_id = b.grid_id AND a.control_area_id = b.control_area_id AND a.published_at = b.published_at",
     "a.grid_id, a.control_area_id, a.forecast_interval, a.published_at"), "forecast_indexed", "dense_indexed")
