@@ -76,12 +76,16 @@ def sum_feature(points: DataFrame, places: DataFrame, value: str, name: str) ->
 
 
 def flow_feature(sections: DataFrame, places: DataFrame) -> DataFrame:
-    """Traffic flow: largest per section, mean per road, summed per position."""
+    """Traffic flow: largest per section, mean per road, summed per position.
+
+    The sum is cut to a whole number after rounding to six decimals, so adding
+    the means in another order cannot change it.
+    """
     spots = sections.groupBy("id", "roadname", "lon", "lat").agg(F.max("flow").alias("flow"))
     near = join_radius(spots, places, FEATURE_RADIUS_M, PLACE)
     per_section = near.groupBy(*PLACE, "roadname", "id").agg(F.max("flow").alias("flow"))
     per_road = per_section.groupBy(*PLACE, "roadname").agg(F.avg("flow").alias("flow"))
-    return per_road.groupBy(*PLACE).agg(F.floor(F.sum("flow")).cast("int").alias("traffic_flow"))
+    return per_road.groupBy(*PLACE).agg(F.floor(F.round(F.sum("flow"), 6)).cast("int").alias("traffic_flow"))
 
 
 def interpolated_wind(stations: DataFrame, wind: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -8,6 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 
 
+# Encodings Spark accepts without a setting.
+PLAIN_ENCODINGS = {"us-ascii", "iso-8859-1", "utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32"}
+
+
+def allow_encoding(spark: SparkSession, encoding: str) -> str:
+    """Switch on Java's other character sets if ``encoding`` is one of them."""
+    if encoding.lower() not in PLAIN_ENCODINGS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return encoding
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -40,7 +51,7 @@ def read_csv(
         spark.read.schema(schema)
         .option("header", str(header).lower())
         .option("sep", sep)
-        .option("encoding", encoding)
+        .option("encoding", allow_encoding(spark, encoding))
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
@@ -53,3 +64,16 @@ def read_delimited(
     """Headerless delimited text; every column as text under the given names."""
     schema = ", ".join(f"`{c}` string" for c in columns)
     return read_csv(spark, path, schema, sep=sep, encoding=encoding, header=False)
+
+
+def write_csv(
+    df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True
+) -> None:
+    """Delimited text, one file per partition."""
+    (
+        df.write.mode("overwrite")
+        .option("header", str(header).lower())
+        .option("sep", sep)
+        .option("encoding", allow_encoding(df.sparkSession, encoding))
+        .csv(path)
+    )
