@@ -1,13 +1,15 @@
 """Air-quality index expressions.
 
-All of these are ``Column -> Column`` builders.  They expand to ``CASE``
-chains, so they stay inside whole-stage code generation and can be pushed
-around by the optimiser like any other expression.
+Every function exists twice: ``name_sql`` writes the expression as SQL text over
+operand texts (column names or expressions), ``name`` gives it as a ``Column``.
+The texts expand to ``CASE`` chains, so they run inside generated code and the
+optimiser sees through them; :mod:`brisa.functions.register` publishes the same
+texts as SQL functions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -23,125 +25,142 @@ from brisa.params import (
 )
 
 
+def as_column(text: Callable[..., str]) -> Callable[..., Column]:
+    """The Column form of a text builder."""
+
+    def build(*args, **kwargs) -> Column:
+        return F.expr(text(*args, **kwargs))
+
+    build.__doc__ = text.__doc__
+    build.__name__ = text.__name__.removesuffix("_sql")
+    return build
+
+
 def segments(parameter: str, scale: str) -> list[tuple[int, int, int, int]]:
     """``(c_low, c_high, i_low, i_high)`` of every breakpoint segment."""
     knots = BREAKPOINTS[scale][parameter]
     return list(zip(knots, knots[1:], INDEX_LEVELS, INDEX_LEVELS[1:]))
 
 
-def iaqi(value: Column, parameter: str, scale: str = "hour") -> Column:
+def iaqi_sql(v: str, parameter: str, scale: str = "hour") -> str:
     """Sub-index of a concentration; ``scale`` is ``hour`` or ``day``.
 
     Null stays null, below zero is 0, above the last breakpoint is 500.
     """
-    v = value.cast("double")
-    chain = F.when(v.isNull(), F.lit(None).cast("bigint")).when(v < 0, F.lit(0).cast("bigint"))
+    arms = [f"WHEN {v} < 0D THEN 0L"]
     for c_low, c_high, i_low, i_high in segments(parameter, scale):
         slope = (i_high - i_low) / (c_high - c_low)
-        chain = chain.when(
-            v <= c_high, F.ceil(F.lit(slope) * (v - F.lit(float(c_low))) + F.lit(float(i_low)))
-        )
-    return chain.otherwise(F.lit(INDEX_LEVELS[-1]).cast("bigint"))
+        arms.append(f"WHEN {v} <= {c_high}D THEN ceil({slope!r}D * ({v} - {c_low}D) + {i_low}D)")
+    return f"(CASE {' '.join(arms)} WHEN {v} IS NOT NULL THEN {INDEX_LEVELS[-1]}L END)"
 
 
-def graded_iaqi(value: Column, parameter: str, scale: str = "hour") -> Column:
+def graded_iaqi_sql(v: str, parameter: str, scale: str = "hour") -> str:
     """Sub-index that grades only inside the standard's own range.
 
     Differs from :func:`iaqi` in two ways: the slope is divided last, and a
     concentration outside the graded range gives null instead of 0 or 500.
     """
-    v = value.cast("double")
     limit = GRADED_LIMIT[scale].get(parameter, BREAKPOINTS[scale][parameter][-1])
-    chain = F.when((v < 0) | (v > limit), F.lit(None).cast("bigint"))
+    arms = [f"WHEN {v} < 0D OR {v} > {limit}D THEN NULL"]
     for c_low, c_high, i_low, i_high in segments(parameter, scale):
         if c_low >= limit:
             break
-        inside = v <= c_high if c_high == limit else v < c_high
-        rise = F.lit(float(i_high - i_low)) * (v - F.lit(float(c_low)))
-        chain = chain.when(
-            inside, F.ceil(rise / F.lit(float(c_high - c_low)) + F.lit(float(i_low)))
+        closes = "<=" if c_high == limit else "<"
+        arms.append(
+            f"WHEN {v} {closes} {c_high}D THEN"
+            f" ceil({i_high - i_low}D * ({v} - {c_low}D) / {c_high - c_low}D + {i_low}D)"
         )
-    return chain
+    return f"(CASE {' '.join(arms)} END)"
 
 
-def aqi(sub_indices: Mapping[str, Column]) -> Column:
+def aqi_sql(sub_index: Callable[[str], str] = "{}_iaqi".format) -> str:
     """Largest sub-index; missing ones are skipped."""
-    return F.greatest(*[sub_indices[p] for p in PARAMETERS])
+    return f"greatest({', '.join(sub_index(p) for p in PARAMETERS)})"
 
 
-def grade(index: Column) -> Column:
+def grade_sql(index: str) -> str:
     """Grade 1..6 of an index; null and negative indices have no grade."""
-    chain = F.when(index < 0, F.lit(None).cast("int"))
-    for level, upper in enumerate(GRADE_BOUNDS, start=1):
-        chain = chain.when(F.ceil(index) <= upper, F.lit(level))
-    return chain.when(index.isNotNull(), F.lit(len(GRADE_BOUNDS) + 1))
+    arms = [f"WHEN {index} < 0 THEN NULL"]
+    arms += [f"WHEN ceil({index}) <= {b} THEN {g}" for g, b in enumerate(GRADE_BOUNDS, start=1)]
+    top = len(GRADE_BOUNDS) + 1
+    return f"(CASE {' '.join(arms)} WHEN {index} IS NOT NULL THEN {top} END)"
 
 
-def primary_pollutants(
-    index: Column,
-    sub_indices: Mapping[str, Column],
+def primary_pollutants_sql(
+    index: str = "aqi",
+    sub_index: Callable[[str], str] = "{}_iaqi".format,
     order: tuple[str, ...] = PRIMARY_ORDER,
-) -> Column:
+) -> str:
     """Names of the parameters that reach the index, empty unless it is > 50."""
-    names = [F.when((index > 50) & (sub_indices[p] == index), F.lit(p)) for p in order]
-    return F.array_compact(F.array(*names))
+    names = ", ".join(f"CASE WHEN {index} > 50 AND {sub_index(p)} = {index} THEN '{p}' END" for p in order)
+    return f"array_compact(array({names}))"
+
 
+def reported_sql(v: str, parameter: str) -> str:
+    """Concentration as published: co to one decimal, the others whole; halves go away from zero."""
+    if parameter == "co":
+        return f"sign({v}) * floor(abs({v}) * 10D + 0.5D) / 10D"
+    return f"CAST(sign({v}) * floor(abs({v}) + 0.5D) AS INT)"
 
-def percentile_index(value: Column, parameter: str) -> Column:
+
+def percentile_index_sql(v: str, parameter: str) -> str:
     """Aggregate: the period percentile over its yearly standard; 0 if empty."""
-    p = F.percentile(value, PERIOD_PERCENTILE[parameter])
-    return F.coalesce(p / F.lit(float(ANNUAL_STANDARD[parameter])), F.lit(0.0))
+    p, standard = PERIOD_PERCENTILE[parameter], ANNUAL_STANDARD[parameter]
+    return f"coalesce(percentile({v}, {p}D) / {standard}D, 0D)"
 
 
-def mean_index(mean: Column, parameter: str) -> Column:
+def mean_index_sql(mean: str, parameter: str) -> str:
     """A period mean over its yearly standard; 0 where the mean is missing."""
-    return F.coalesce(mean / F.lit(float(ANNUAL_STANDARD[parameter])), F.lit(0.0))
+    return f"coalesce({mean} / {ANNUAL_STANDARD[parameter]}D, 0D)"
 
 
-def comprehensive_index(
-    pm2_5: Column, pm10: Column, no2: Column, so2: Column, o3_index: Column, co_index: Column
-) -> Column:
+def comprehensive_index_sql(o3_index: str = "o3_index", co_index: str = "co_index") -> str:
     """Sum of the six single indices, two decimals (halves go up, on 8 decimals)."""
-    total = (
-        mean_index(so2, "so2")
-        + mean_index(pm10, "pm10")
-        + mean_index(pm2_5, "pm2_5")
-        + mean_index(no2, "no2")
-        + co_index
-        + o3_index
-    )
-    return F.round(total.cast("decimal(20,8)"), 2).cast("double")
+    means = " + ".join(mean_index_sql(p, p) for p in ("so2", "pm10", "pm2_5", "no2"))
+    total = f"{means} + {co_index} + {o3_index}"
+    return f"CAST(round(CAST({total} AS DECIMAL(20, 8)), 2) AS DOUBLE)"
 
 
-def _agrees(forecast_grade: Column, actual: Column, raised: Column, lowered: Column) -> Column:
-    own = grade(actual)
+def _agreement_sql(forecast_grade: str, actual: str, raised: str, lowered: str) -> str:
+    own, g = grade_sql(actual), forecast_grade
     return (
-        F.when(forecast_grade.isNull() | actual.isNull(), F.lit(None).cast("int"))
-        .when(forecast_grade == own, 1)
-        .when((forecast_grade > own) & (forecast_grade == grade(raised)), 1)
-        .when((forecast_grade < own) & (forecast_grade == grade(lowered)), 1)
-        .otherwise(0)
+        f"(CASE WHEN {g} IS NULL OR {actual} IS NULL THEN NULL WHEN {g} = {own} THEN 1"
+        f" WHEN {g} > {own} AND {g} = {grade_sql(raised)} THEN 1"
+        f" WHEN {g} < {own} AND {g} = {grade_sql(lowered)} THEN 1 ELSE 0 END)"
     )
 
 
-def grade_within_points(forecast_grade: Column, actual_aqi: Column, points: int = 15) -> Column:
+def grade_within_points_sql(forecast_grade: str, actual_aqi: str, points: int = 15) -> str:
     """1 if moving the actual index by ``points`` reaches the forecast grade."""
-    return _agrees(forecast_grade, actual_aqi, actual_aqi + points, actual_aqi - points)
+    a = actual_aqi
+    return _agreement_sql(forecast_grade, a, f"({a} + {points})", f"({a} - {points})")
 
 
-def grade_within_share(forecast_grade: Column, actual_aqi: Column, share: float = 0.25) -> Column:
+def grade_within_share_sql(forecast_grade: str, actual_aqi: str, share: float = 0.25) -> str:
     """1 if moving the actual index by ``share`` of itself reaches the forecast grade."""
-    return _agrees(
-        forecast_grade,
-        actual_aqi,
-        F.ceil(actual_aqi * F.lit(1.0 + share)),
-        F.ceil(actual_aqi * F.lit(1.0 - share)),
+    a = actual_aqi
+    return _agreement_sql(
+        forecast_grade, a, f"ceil({a} * {1.0 + share!r}D)", f"ceil({a} * {1.0 - share!r}D)"
     )
 
 
-def primary_agrees(forecast: Column, actual: Column) -> Column:
+def primary_agrees_sql(forecast: str, actual: str) -> str:
     """1 if the two lists of primary pollutants share a name, else 0."""
-    return F.when(F.arrays_overlap(forecast, actual), 1).otherwise(0)
+    return f"(CASE WHEN arrays_overlap({forecast}, {actual}) THEN 1 ELSE 0 END)"
+
+
+iaqi = as_column(iaqi_sql)
+graded_iaqi = as_column(graded_iaqi_sql)
+aqi = as_column(aqi_sql)
+grade = as_column(grade_sql)
+primary_pollutants = as_column(primary_pollutants_sql)
+reported = as_column(reported_sql)
+percentile_index = as_column(percentile_index_sql)
+mean_index = as_column(mean_index_sql)
+comprehensive_index = as_column(comprehensive_index_sql)
+grade_within_points = as_column(grade_within_points_sql)
+grade_within_share = as_column(grade_within_share_sql)
+primary_agrees = as_column(primary_agrees_sql)
 
 
 def pollutant_list(text: Column) -> Column:

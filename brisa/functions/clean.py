@@ -68,14 +68,3 @@ def vendor_time(text: Column) -> Column:
         ),
         F.lit("yyyy-MM-dd HH:mm:ss"),
     )
-
-
-def missing_or_round(value: Column, digits: int) -> Column:
-    """Reported concentration: whole numbers, or one decimal for co."""
-    rounded = F.round(value, digits)
-    return rounded.cast("int") if digits == 0 else rounded
-
-
-def reported(value: Column, parameter: str) -> Column:
-    """Concentration as published: co to one decimal, the others to whole numbers."""
-    return missing_or_round(value, 1 if parameter == "co" else 0)

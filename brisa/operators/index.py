@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brisa.functions import air, clean
+from brisa.functions import air
 from brisa.params import PARAMETERS, PRIMARY_ORDER
 
 
 def with_index(
     df: DataFrame,
     scale: str,
-    method: Callable[[Column, str, str], Column] = air.iaqi,
+    method: Callable[[str, str, str], Column] = air.iaqi,
     order: tuple[str, ...] = PRIMARY_ORDER,
 ) -> DataFrame:
     """Add ``*_iaqi``, ``aqi``, ``grade`` and ``primary_pollutants``.
@@ -21,44 +21,50 @@ def with_index(
     Three projections, because each level is used several times by the next:
     the optimiser keeps them apart and evaluates every sub-index once.
     """
-    subs = {p: F.col(f"{p}_iaqi") for p in PARAMETERS}
     return (
-        df.withColumns({f"{p}_iaqi": method(F.col(p), p, scale) for p in PARAMETERS})
-        .withColumn("aqi", air.aqi(subs))
+        df.withColumns({f"{p}_iaqi": method(p, p, scale) for p in PARAMETERS})
+        .withColumn("aqi", air.aqi())
         .withColumns(
             {
-                "grade": air.grade(F.col("aqi")),
-                "primary_pollutants": air.primary_pollutants(F.col("aqi"), subs, order),
+                "grade": air.grade("aqi"),
+                "primary_pollutants": air.primary_pollutants(order=order),
             }
         )
     )
 
 
-def reported(df: DataFrame) -> DataFrame:
-    """Replace concentrations by their published form (co 0.1, others whole)."""
-    return df.withColumns({p: clean.reported(F.col(p), p) for p in PARAMETERS})
+def reported(df: DataFrame, blank_negative: bool = True) -> DataFrame:
+    """Replace concentrations by their published form (co 0.1, others whole).
+
+    Station products blank negative concentrations, grid products keep them.
+    """
+
+    def form(p: str) -> Column:
+        text = air.reported_sql(p, p)
+        return F.expr(f"CASE WHEN {p} >= 0D THEN {text} END" if blank_negative else text)
+
+    return df.withColumns({p: form(p) for p in PARAMETERS})
 
 
 def presence_flags(df: DataFrame) -> DataFrame:
     """``*_flag`` = 1 where the concentration is there."""
     return df.withColumns(
-        {f"{p}_flag": F.col(p).isNotNull().cast("int") for p in PARAMETERS}
+        {f"{p}_flag": F.expr(f"CAST({p} IS NOT NULL AS INT)") for p in PARAMETERS}
     )
 
 
-def parameter_means(extra: Iterable[str] = ()) -> list[Column]:
-    """Mean of every parameter (and extra columns) under its own name."""
-    return [F.avg(c).alias(c) for c in (*PARAMETERS, *extra)]
+def steady_mean(value: str) -> Column:
+    """Mean that does not depend on the order in which rows are added.
 
+    Values are summed in whole millionths, which doubles add without error, so
+    a retried or differently partitioned run publishes the same numbers.
+    """
+    return F.expr(f"try_divide(sum(rint({value} * 1e6D)), count({value}) * 1e6D)")
 
-def published_means() -> list[Column]:
-    """Means of published values, the same whatever order rows are added in.
 
-    co is published in tenths, so it is summed as whole tenths.
-    """
-    tenths = F.sum(F.rint(F.col("co") * 10).cast("bigint")).cast("double")
-    co = F.try_divide(tenths, F.count("co") * 10)
-    return [co.alias(p) if p == "co" else F.avg(p).alias(p) for p in PARAMETERS]
+def parameter_means() -> list[Column]:
+    """Mean of every parameter under its own name."""
+    return [steady_mean(p).alias(p) for p in PARAMETERS]
 
 
 def payload(df: DataFrame, keep: Iterable[str], null_fields: bool = True) -> DataFrame:

@@ -10,8 +10,8 @@ from brisa.functions import air, clean, times
 from brisa.operators.index import (
     parameter_means,
     presence_flags,
-    published_means,
     reported,
+    steady_mean,
     with_index,
 )
 from brisa.params import (
@@ -58,9 +58,9 @@ def day_profile(hourly: DataFrame, keys: Sequence[str], frame: str = "rows") ->
         *PARAMETERS,
     ).withColumn("_o3_8h", eight_hour_mean(keys, frame))
     profile = staged.groupBy(*keys, "_day").agg(
-        *[F.avg(p).alias(p) for p in PARAMETERS if p != "o3"],
+        *[steady_mean(p).alias(p) for p in PARAMETERS if p != "o3"],
         F.max(F.when(early, F.col("_o3_8h"))).alias("o3"),
-        *[F.count(p).alias(f"{p}_hours") for p in PARAMETERS],
+        *[F.expr(f"count({p})").alias(f"{p}_hours") for p in PARAMETERS],
         F.count_if(early).alias("_early"),
     )
     return (
@@ -76,7 +76,7 @@ def station_day(
     """Daily station product; a flag is 1 from 20 hours with a value on."""
     profile = with_index(day_profile(hourly, keys, frame), "day")
     flags = {
-        f"{p}_flag": (F.col(f"{p}_hours") >= MIN_HOURS_PER_DAY).cast("int") for p in PARAMETERS
+        f"{p}_flag": F.expr(f"CAST({p}_hours >= {MIN_HOURS_PER_DAY} AS INT)") for p in PARAMETERS
     }
     return reported(profile.withColumns(flags)).drop(*[f"{p}_hours" for p in PARAMETERS])
 
@@ -88,7 +88,7 @@ def grid_day(
 ) -> DataFrame:
     """Daily grid product; a flag is 1 where the day has a value at all."""
     profile = day_profile(hourly, keys, frame).drop(*[f"{p}_hours" for p in PARAMETERS])
-    return presence_flags(reported(with_index(profile, "day")))
+    return presence_flags(reported(with_index(profile, "day"), blank_negative=False))
 
 
 def area_hour(
@@ -104,7 +104,8 @@ def area_hour(
         .groupBy("area_id", "published_at")
         .agg(*parameter_means())
     )
-    return reported(with_index(means, "hour")).withColumn("source", F.lit(source))
+    product = reported(with_index(means, "hour"), blank_negative=source == "monitoring")
+    return product.withColumn("source", F.lit(source))
 
 
 def covered(present: Column, members: Column, digits: int) -> Column:
@@ -133,13 +134,13 @@ def area_day_from(
         day.select(*on, "published_at", *PARAMETERS)
         .join(bridge, on=list(on), how="inner")
         .groupBy("area_id", "published_at")
-        .agg(*published_means(), F.count(member).alias("_present"))
+        .agg(*parameter_means(), F.count(member).alias("_present"))
         .join(sizes, on="area_id")
         .withColumn("valid", covered(F.col("_present"), F.col("_members"), digits))
         .drop("_present", "_members")
     )
-    product = presence_flags(reported(with_index(means, "day")))
-    return product.withColumn("source", F.lit(source))
+    product = reported(with_index(means, "day"), blank_negative=source == "monitoring")
+    return presence_flags(product).withColumn("source", F.lit(source))
 
 
 def area_day(
@@ -205,11 +206,11 @@ def days_needed(period: str) -> Column:
 
 def _period_aggregates(valid_days: dict[str, Column]) -> list[Column]:
     return [
-        *published_means(),
+        *parameter_means(),
         *[valid_days[p].alias(f"_{p}_days") for p in PARAMETERS],
         F.count_if(F.col("grade").isin(1, 2)).alias("std_day_num"),
-        air.percentile_index(clean.reported(F.col("o3"), "o3"), "o3").alias("o3_index"),
-        air.percentile_index(clean.reported(F.col("co"), "co"), "co").alias("co_index"),
+        air.percentile_index(air.reported_sql("o3", "o3"), "o3").alias("o3_index"),
+        air.percentile_index(air.reported_sql("co", "co"), "co").alias("co_index"),
     ]
 
 
@@ -218,13 +219,6 @@ def _flags(period: str) -> dict[str, Column]:
     return {f"{p}_flag": (F.col(f"_{p}_days") >= needed).cast("int") for p in PARAMETERS}
 
 
-def _comprehensive() -> Column:
-    return air.comprehensive_index(
-        F.col("pm2_5"), F.col("pm10"), F.col("no2"), F.col("so2"),
-        F.col("o3_index"), F.col("co_index"),
-    )
-
-
 def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
     """Week, month, quarter or year product of stations, grid cells or areas.
 
@@ -238,7 +232,7 @@ def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame
         .groupBy(*keys, *ids)
         .agg(*_period_aggregates({p: F.count(p) for p in PARAMETERS}))
         .withColumns(_flags(period))
-        .withColumn("comprehensive_index", _comprehensive())
+        .withColumn("comprehensive_index", air.comprehensive_index())
     )
     dropped = [f"_{p}_days" for p in PARAMETERS]
     return reported(with_index(grouped, "day")).drop("o3_index", "co_index", *dropped)
@@ -249,10 +243,8 @@ def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame
 
 def district_rollup(grid: DataFrame, level: str) -> DataFrame:
     """Hour or day product of districts: grid means, rounded, then graded."""
-    means = grid.groupBy("control_area_id", "published_at").agg(
-        *(published_means() if level == "day" else parameter_means())
-    )
-    product = with_index(reported(means), level, air.graded_iaqi, PARAMETERS)
+    means = grid.groupBy("control_area_id", "published_at").agg(*parameter_means())
+    product = with_index(reported(means, blank_negative=False), level, air.graded_iaqi, PARAMETERS)
     return presence_flags(product).withColumn("source", F.lit("inference"))
 
 
@@ -270,7 +262,7 @@ def district_period(day: DataFrame, period: str) -> DataFrame:
         .agg(*_period_aggregates(flagged))
         .withColumns(_flags(period))
     )
-    rounded = reported(grouped).withColumn("comprehensive_index", _comprehensive())
+    rounded = reported(grouped).withColumn("comprehensive_index", air.comprehensive_index())
     dropped = [f"_{p}_days" for p in PARAMETERS]
     return with_index(rounded, "day", air.graded_iaqi, PARAMETERS).drop(
         "o3_index", "co_index", *dropped

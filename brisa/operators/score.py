@@ -34,7 +34,7 @@ def half_hour_densify(
     base = hourly.select(
         *keys,
         "published_at",
-        *[F.coalesce(F.col(p).cast("double"), F.lit(0.0)).alias(p) for p in PARAMETERS],
+        *[F.expr(f"coalesce(CAST({p} AS DOUBLE), 0D)").alias(p) for p in PARAMETERS],
     )
     following = base.select(
         *keys,
@@ -43,16 +43,16 @@ def half_hour_densify(
     )
 
     def between(p: str) -> Column:
-        here, there = F.col(p), F.col(f"_{p}")
-        one_sided = (here == 0) | (there == 0)
-        return F.when(one_sided, here + there).otherwise((here + there) / 2).alias(p)
+        return F.expr(
+            f"CASE WHEN {p} = 0D OR _{p} = 0D THEN {p} + _{p} ELSE ({p} + _{p}) / 2D END"
+        ).alias(p)
 
     halves = base.join(following, on=[*keys, "published_at"], how="inner").select(
         *keys,
         (F.col("published_at") + F.expr("INTERVAL 30 MINUTES")).alias("published_at"),
         *[between(p) for p in PARAMETERS],
     )
-    complete = reduce(Column.__and__, [F.col(p) != 0 for p in PARAMETERS])
+    complete = " AND ".join(f"{p} != 0D" for p in PARAMETERS)
     dense = halves.filter(complete).unionByName(base.filter(complete))
     return dense if unique_input else dense.distinct()
 
@@ -93,46 +93,36 @@ def pair_forecast(
     )
 
 
-def _share(hits: Column, of: Column) -> Column:
-    return F.try_divide(hits * F.lit(100.0), of)
-
-
 def metrics(said: str = "f", seen: str = "r") -> list[Column]:
     """All score aggregates over pairs with the given column suffixes.
 
     Every one is combined before the shuffle, so a key with most of the pairs
     costs no more than any other.
     """
-    out = []
+    out = {}
     for p in PARAMETERS:
-        f, r = F.col(f"{p}{said}").cast("double"), F.col(f"{p}{seen}").cast("double")
-        spread = F.stddev_pop(F.when(r.isNotNull(), f)) * F.stddev_pop(F.when(f.isNotNull(), r))
-        gap = f - r
-        out += [
-            F.try_divide(F.sum(gap), F.sum(r)).alias(f"{p}_nmb"),
-            F.try_divide(F.covar_pop(f, r), spread).alias(f"{p}_r"),
-            F.sqrt(F.try_divide(F.sum(gap * gap), F.count(f))).alias(f"{p}_rmse"),
-        ]
-    aqi_f, aqi_r = F.col(f"aqi{said}").cast("double"), F.col(f"aqi{seen}").cast("double")
-    grade_f, grade_r = F.col(f"grade{said}").cast("int"), F.col(f"grade{seen}").cast("int")
-    near = air.primary_agrees(F.col(f"pr{said}"), F.col(f"pr{seen}"))
-    polluted = grade_r != 1
-    total = F.count(aqi_r)
-    gap = F.abs(aqi_f - aqi_r)
-    out += [
-        _share(F.count_if(gap <= 15), total).alias("aqi_interval_hit_rate"),
-        _share(F.count_if(F.try_divide(gap, aqi_r) <= 0.25), total).alias(
-            "aqi_percentage_hit_rate"
-        ),
-        _share(F.sum(air.grade_within_points(grade_f, aqi_r)), total).alias(
-            "aqi_grade_interval_hit_rate"
-        ),
-        _share(F.sum(air.grade_within_share(grade_f, aqi_r)), total).alias(
-            "aqi_grade_percentage_hit_rate"
-        ),
-        _share(F.count_if(polluted & (near == 1)), F.count_if(polluted)).alias("accuracy"),
-    ]
-    return out
+        f, r = f"CAST({p}{said} AS DOUBLE)", f"CAST({p}{seen} AS DOUBLE)"
+        both = f"FILTER (WHERE {p}{said} IS NOT NULL AND {p}{seen} IS NOT NULL)"
+        spread = f"stddev_pop({f}) {both} * stddev_pop({r}) {both}"
+        out[f"{p}_nmb"] = f"try_divide(sum({f} - {r}), sum({r}))"
+        out[f"{p}_r"] = f"try_divide(covar_pop({f}, {r}), {spread})"
+        out[f"{p}_rmse"] = f"sqrt(try_divide(sum(({f} - {r}) * ({f} - {r})), count({f})))"
+    f, r, g = f"CAST(aqi{said} AS DOUBLE)", f"CAST(aqi{seen} AS DOUBLE)", f"CAST(grade{said} AS INT)"
+    near = air.primary_agrees_sql(f"pr{said}", f"pr{seen}")
+    polluted = f"CAST(grade{seen} AS INT) != 1"
+
+    def share(hits: str, of: str) -> str:
+        return f"try_divide({hits} * 100D, {of})"
+
+    total = f"count({r})"
+    out["aqi_interval_hit_rate"] = share(f"count_if(abs({f} - {r}) <= 15)", total)
+    out["aqi_percentage_hit_rate"] = share(
+        f"count_if(try_divide(abs({f} - {r}), {r}) <= 0.25D)", total
+    )
+    out["aqi_grade_interval_hit_rate"] = share(f"sum({air.grade_within_points_sql(g, r)})", total)
+    out["aqi_grade_percentage_hit_rate"] = share(f"sum({air.grade_within_share_sql(g, r)})", total)
+    out["accuracy"] = share(f"count_if({polluted} AND {near} = 1)", f"count_if({polluted})")
+    return [F.expr(text).alias(name) for name, text in out.items()]
 
 
 def score_forecast(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -137,12 +137,11 @@ def code_lookup(spark, sf):
   SELECT l_orderkey, l_partkey, {sql.report('pm2_5', 'l_extendedprice / 256')} AS pm2_5,
     {sql.report('co', 'l_extendedprice / 2048')} AS co FROM lineitem""")
 def published_rounding(spark, sf):
-    price = F.col("l_extendedprice")
     return adapters.table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_partkey",
-        clean.reported(price / 256, "pm2_5").alias("pm2_5"),
-        clean.reported(price / 2048, "co").alias("co"),
+        air.reported("(l_extendedprice / 256)", "pm2_5").alias("pm2_5"),
+        air.reported("(l_extendedprice / 2048)", "co").alias("co"),
     )
 
 
@@ -367,7 +366,7 @@ for _scale in ("hour", "day"):
     def iaqi(spark, sf, scale=_scale):
         return stretched(spark, sf).select(
             "l_orderkey", "l_partkey",
-            *[air.iaqi(F.col(p), p, scale).alias(f"{p}_iaqi") for p in PARAMETERS],
+            *[air.iaqi(p, p, scale).alias(f"{p}_iaqi") for p in PARAMETERS],
         )
 
     @query(f"X2_graded_iaqi_{_scale}", "SELECT l_orderkey, l_partkey, " + ", ".join(
@@ -375,7 +374,7 @@ for _scale in ("hour", "day"):
     def graded_iaqi(spark, sf, scale=_scale):
         return stretched(spark, sf).select(
             "l_orderkey", "l_partkey",
-            *[air.graded_iaqi(F.col(p), p, scale).alias(f"{p}_iaqi") for p in PARAMETERS],
+            *[air.graded_iaqi(p, p, scale).alias(f"{p}_iaqi") for p in PARAMETERS],
         )
 
 
@@ -394,22 +393,20 @@ def index_by_grade(spark, sf):
 
 @query("X6_X7_percentile_and_comprehensive", sql.with_views("station_day", f"""
   SELECT station_id, round(o390 / 160.0::DOUBLE, 6) AS o3_index, round(co95 / 4.0::DOUBLE, 6) AS co_index, {sql.COMPREHENSIVE} AS comprehensive_index
-  FROM (SELECT station_id, {sql.PUBLISHED_MEANS}, quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
+  FROM (SELECT station_id, {sql.MEANS}, quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
         FROM station_day GROUP BY station_id)"""))
 def percentile_and_comprehensive(spark, sf):
-    from brisa.operators.index import published_means
+    from brisa.operators.index import parameter_means
 
     grouped = adapters.station_days(spark, sf).groupBy("station_id").agg(
-        *published_means(),
-        air.percentile_index(F.col("o3"), "o3").alias("o3_index"),
-        air.percentile_index(F.col("co"), "co").alias("co_index"),
-    )
-    index = air.comprehensive_index(
-        *[F.col(c) for c in ("pm2_5", "pm10", "no2", "so2", "o3_index", "co_index")]
+        *parameter_means(),
+        air.percentile_index("o3", "o3").alias("o3_index"),
+        air.percentile_index("co", "co").alias("co_index"),
     )
     return grouped.select(
         "station_id", F.round("o3_index", 6).alias("o3_index"),
-        F.round("co_index", 6).alias("co_index"), index.alias("comprehensive_index"),
+        F.round("co_index", 6).alias("co_index"), 
+        air.comprehensive_index().alias("comprehensive_index"),
     )
 
 
@@ -420,7 +417,7 @@ def percentile_and_comprehensive(spark, sf):
     CAST(l_returnflag = 'A' OR (l_returnflag = 'R' AND l_linestatus = 'F') AS INTEGER) AS primary_agrees
   FROM (SELECT *, CAST(l_linenumber AS INTEGER) AS g, floor(l_extendedprice / 256) AS a FROM lineitem WHERE l_linenumber < 7)""")
 def agreement(spark, sf):
-    said, seen = F.col("l_linenumber"), F.floor(F.col("l_extendedprice") / 256)
+    said, seen = "l_linenumber", "floor(l_extendedprice / 256)"
     empty = F.array().cast("array<string>")
     forecast = F.when(F.col("l_returnflag") == "N", empty).otherwise(F.array(F.lit("o3"), F.lit("pm10")))
     actual = F.when(
@@ -429,11 +426,12 @@ def agreement(spark, sf):
     return (
         adapters.table(spark, sf, "lineitem")
         .filter("l_linenumber < 7")  # a grade is 1..6
+        .withColumns({"prf": forecast, "prr": actual})
         .select(
             "l_orderkey", "l_partkey", "l_linenumber",
             air.grade_within_points(said, seen).alias("by_points"),
             air.grade_within_share(said, seen).alias("by_share"),
-            air.primary_agrees(forecast, actual).alias("primary_agrees"),
+            air.primary_agrees("prf", "prr").alias("primary_agrees"),
         )
     )
 

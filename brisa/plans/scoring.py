@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brisa.functions import air
 from brisa.operators import rollup, score
-from brisa.operators.index import with_index
+from brisa.operators.index import parameter_means, with_index
 from brisa.params import PARAMETERS
 from brisa.plans import adapters, sql
 from brisa.plans.registry import query
@@ -170,6 +170,6 @@ def min_sample_mean(spark, sf):
     return (
         adapters.mobile_samples(spark, sf)
         .groupBy(F.date_trunc("hour", "published_at").cast("timestamp_ntz").alias("published_at"), "grid_id")
-        .agg(*[F.avg(p).alias(p) for p in PARAMETERS], F.count("grid_id").alias("samples"))
+        .agg(*parameter_means(), F.count("grid_id").alias("samples"))
         .filter(F.col("samples") >= 60)
     )

@@ -116,10 +116,7 @@ view("obs", f"""
     l_shipdate + to_hours(CAST(l_orderkey % 24 + 1 AS INTEGER)) AS published_at, {READINGS}
   FROM lineitem""")
 
-MEANS = each("avg(@) AS @")
-PUBLISHED_MEANS = MEANS.replace(
-    "avg(co) AS co", "sum(CAST(round(co * 10) AS BIGINT))::DOUBLE / (count(co) * 10) AS co"
-)
+MEANS = each("sum(round(@ * 1e6)) / (count(@) * 1e6) AS @")
 
 
 def hour_means(keys: str, source: str = "obs") -> str:
@@ -152,7 +149,9 @@ view("sensor_hour",
 
 def day_profile(keys: str, source: str, frame: str = "ROWS") -> str:
     span = "BETWEEN CURRENT ROW AND 7 FOLLOWING"
-    five = ", ".join(f"avg({p}) AS {p}" for p in PARAMETERS if p != "o3")
+    five = ", ".join(
+        f"sum(round({p} * 1e6)) / (count({p}) * 1e6) AS {p}" for p in PARAMETERS if p != "o3"
+    )
     hours = each("count(@) AS @_hours")
     return f"""
   SELECT {keys}, day AS published_at, {five},
@@ -225,7 +224,7 @@ COMPREHENSIVE = decimal_round(
 def period(source: str, keys: str, name: str) -> str:
     counts = each("count(@) AS @_days")
     flags = each(f"CAST(@_days >= {PERIOD_NEED[name]} AS INTEGER) AS @_flag")
-    inner = f"""(SELECT {keys}, {PERIOD_KEYS[name]}, {PUBLISHED_MEANS}, {counts},
+    inner = f"""(SELECT {keys}, {PERIOD_KEYS[name]}, {MEANS}, {counts},
       count(*) FILTER (grade IN (1, 2)) AS std_day_num,
       quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
       FROM (SELECT *, {period_ids(name)} FROM {source}) GROUP BY {keys}, {PERIOD_KEYS[name]})"""
@@ -236,10 +235,9 @@ def period(source: str, keys: str, name: str) -> str:
 
 
 def district(source: str, level: str) -> str:
-    means = PUBLISHED_MEANS if level == "day" else MEANS
     inner = (
         f"(SELECT control_area_id, published_at, {reports()} FROM (SELECT control_area_id,"
-        f" published_at, {means} FROM {source} GROUP BY control_area_id, published_at))"
+        f" published_at, {MEANS} FROM {source} GROUP BY control_area_id, published_at))"
     )
     return (
         f"SELECT control_area_id, published_at, {each('@')}, {INDEX_COLUMNS}, {FLAGS_PRESENT},"
@@ -254,7 +252,7 @@ def district_period(source: str, name: str) -> str:
     counts = each("coalesce(sum(@_flag), 0) AS @_days")
     flags = each(f"CAST(@_days >= {PERIOD_NEED[name]} AS INTEGER) AS @_flag")
     keys = "source, control_area_id"
-    inner = f"""(SELECT * REPLACE ({reports()}) FROM (SELECT {keys}, {PERIOD_KEYS[name]}, {PUBLISHED_MEANS}, {counts},
+    inner = f"""(SELECT * REPLACE ({reports()}) FROM (SELECT {keys}, {PERIOD_KEYS[name]}, {MEANS}, {counts},
       count(*) FILTER (grade IN (1, 2)) AS std_day_num,
       quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
       FROM (SELECT *, {period_ids(name)} FROM {source}) GROUP BY {keys}, {PERIOD_KEYS[name]}))"""

@@ -8,20 +8,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings the jobs are written for.  The limit keeps generated methods small
+# enough for the JVM to compile them: long CASE chains run several times slower
+# in interpreted methods.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
     partitions = "8" if cpus == "*" else str(cpus)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("brisa")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", partitions)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
