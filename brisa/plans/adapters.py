@@ -59,7 +59,9 @@ def station_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grid_hours(spark: SparkSession, sf: str) -> DataFrame:
-    return rollup.hourly_means(observations(spark, sf), ["grid_id", "control_area_id"])
+    # the filter that joins on the cell add as well: equal plans are run once
+    located = observations(spark, sf).filter("grid_id IS NOT NULL AND control_area_id IS NOT NULL")
+    return rollup.hourly_means(located, ["grid_id", "control_area_id"])
 
 
 def coded_readings(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,7 +20,7 @@ def rounded(df):
 
 
 def dense_hours(spark, sf):
-    return score.half_hour_densify(adapters.grid_hours(spark, sf), CELL, unique_input=True)
+    return score.half_hour_densify(adapters.grid_hours(spark, sf), CELL)
 
 
 @query("B8_half_hour_densify", sql.with_views("dense", "SELECT * FROM dense"))
