@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
 
+from brisa.functions.text import as_column
 from brisa.params import (
     ANNUAL_STANDARD,
     BREAKPOINTS,
@@ -25,17 +26,6 @@ from brisa.params import (
 )
 
 
-def as_column(text: Callable[..., str]) -> Callable[..., Column]:
-    """The Column form of a text builder."""
-
-    def build(*args, **kwargs) -> Column:
-        return F.expr(text(*args, **kwargs))
-
-    build.__doc__ = text.__doc__
-    build.__name__ = text.__name__.removesuffix("_sql")
-    return build
-
-
 def segments(parameter: str, scale: str) -> list[tuple[int, int, int, int]]:
     """``(c_low, c_high, i_low, i_high)`` of every breakpoint segment."""
     knots = BREAKPOINTS[scale][parameter]
@@ -109,6 +99,18 @@ def percentile_index_sql(v: str, parameter: str) -> str:
     return f"coalesce(percentile({v}, {p}D) / {standard}D, 0D)"
 
 
+def array_percentile_sql(values: str, share: float) -> str:
+    """The same percentile of a short array, nulls left out; 0 if there are none."""
+    kept = f"array_sort(filter({values}, x -> x IS NOT NULL))"
+    at = f"((size({kept}) - 1) * {share!r}D)"
+    low = f"element_at({kept}, CAST(floor({at}) AS INT) + 1)"
+    high = f"element_at({kept}, CAST(ceil({at}) AS INT) + 1)"
+    return (
+        f"(CASE WHEN coalesce(size({kept}), 0) < 1 THEN 0D"
+        f" ELSE {low} + ({high} - {low}) * ({at} - floor({at})) END)"
+    )
+
+
 def mean_index_sql(mean: str, parameter: str) -> str:
     """A period mean over its yearly standard; 0 where the mean is missing."""
     return f"coalesce({mean} / {ANNUAL_STANDARD[parameter]}D, 0D)"

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
-from brisa.functions import air
-from brisa.params import PARAMETERS, PRIMARY_ORDER
+from brisa.functions import air, geo
+from brisa.params import ANNUAL_STANDARD, PARAMETERS, PERIOD_PERCENTILE, PRIMARY_ORDER
 
 
 def definitions() -> dict[str, str]:
@@ -48,6 +48,22 @@ def definitions() -> dict[str, str]:
     out["primary_agrees(a ARRAY<STRING>, b ARRAY<STRING>) RETURNS INT"] = air.primary_agrees_sql(
         "a", "b"
     )
+    singles = {
+        p: f"{air.array_percentile_sql(f'{p}_values', PERIOD_PERCENTILE[p])} / {ANNUAL_STANDARD[p]}D"
+        for p in PERIOD_PERCENTILE
+    }
+    out[
+        "comprehensive_index(pm2_5 DOUBLE, pm10 DOUBLE, o3_values ARRAY<DOUBLE>,"
+        " co_values ARRAY<DOUBLE>, no2 DOUBLE, so2 DOUBLE) RETURNS DOUBLE"
+    ] = air.comprehensive_index_sql(singles["o3"], singles["co"])
+    pair = "lon1 DOUBLE, lat1 DOUBLE, lon2 DOUBLE, lat2 DOUBLE"
+    out[f"distance_m({pair}) RETURNS BIGINT"] = geo.distance_m_sql("lon1", "lat1", "lon2", "lat2")
+    for axis, text in (("lon", geo.shifted_lon_sql), ("lat", geo.shifted_lat_sql)):
+        out[f"shifted_{axis}(lon DOUBLE, lat DOUBLE) RETURNS DOUBLE"] = text("lon", "lat")
+    for box, (rows, columns) in (("inner", (500, 500)), ("outer", (500, 500)), ("city", (1000, 1200))):
+        out[f"grid_id_{box}(lon DOUBLE, lat DOUBLE) RETURNS BIGINT"] = geo.grid_id_sql(
+            "lon", "lat", box, rows, columns
+        )
     return out
 
 

@@ -102,26 +102,21 @@ def interpolated_wind(stations: DataFrame, wind: DataFrame, names: Sequence[str]
         .agg(F.sort_array(F.collect_list(F.struct("station_name", "lon", "lat", "wind_speed"))))
     )
 
-    def squared(w: Column) -> Column:
-        metres = geo.distance_m(F.col("lon"), F.col("lat"), w["lon"], w["lat"]).cast("double")
-        return metres * metres
-
-    weighed = F.transform(
-        F.col("_reports"),
-        lambda w: F.struct(w["wind_speed"].alias("v"), squared(w).alias("d")),
-    )
-    start = F.lit(0.0)
-    placed = stations.withColumn("_reports", reports.scalar()).withColumn("_w", weighed)
-    here = F.filter(F.col("_w"), lambda w: w["d"] == 0)
-    above = F.aggregate(
-        F.col("_w"), start, lambda s, w: s + F.coalesce(F.try_divide(w["v"], w["d"]), start)
-    )
-    below = F.aggregate(
-        F.col("_w"), start, lambda s, w: s + F.coalesce(F.try_divide(F.lit(1.0), w["d"]), start)
+    metres = f"CAST({geo.distance_m_sql('lon', 'lat', 'w.lon', 'w.lat')} AS DOUBLE)"
+    placed = stations.withColumn("_reports", reports.scalar()).withColumn(
+        "_w",
+        F.expr(f"transform(_reports, w -> struct(w.wind_speed AS v, {metres} * {metres} AS d))"),
     )
-    same_place = F.aggregate(here, start, lambda s, w: s + w["v"]) / F.size(here)
-    speed = F.when(F.size(here) > 0, same_place).otherwise(
-        F.coalesce(F.try_divide(above, below), F.lit(0.0))
+
+    def total(term: str) -> str:
+        return f"aggregate(_w, 0D, (s, w) -> s + coalesce({term}, 0D))"
+
+    here = "filter(_w, w -> w.d = 0D)"
+    same_place = total("CASE WHEN w.d = 0D THEN w.v END")
+    weighted = f"try_divide({total('try_divide(w.v, w.d)')}, {total('try_divide(1D, w.d)')})"
+    speed = F.expr(
+        f"CASE WHEN size({here}) > 0 THEN {same_place} / size({here})"
+        f" ELSE coalesce({weighted}, 0D) END"
     )
     return placed.withColumn("wind_speed", F.round(speed, 2)).drop("_reports", "_w")
 

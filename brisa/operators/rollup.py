@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, Window, functions as F
 
 from brisa.functions import air, clean, times
 from brisa.operators.index import (
@@ -204,10 +204,21 @@ def days_needed(period: str) -> Column:
     return F.lit(MIN_DAYS_PER_MONTH)
 
 
-def _period_aggregates(valid_days: dict[str, Column]) -> list[Column]:
+def _by_period(day: DataFrame, keys: Sequence[str], ids: dict[str, Column]) -> GroupedData:
+    """Daily rows grouped by key and period, brought together as plain rows.
+
+    A key has at most 366 days in a period, so no group can be large, and a
+    partial percentile is bigger than the few rows it stands for: the rows are
+    moved first and aggregated once.
+    """
+    placed = day.withColumns(ids)
+    return placed.repartition(*keys, *ids).groupBy(*keys, *ids)
+
+
+def _period_aggregates(valid_days: dict[str, str]) -> list[Column]:
     return [
         *parameter_means(),
-        *[valid_days[p].alias(f"_{p}_days") for p in PARAMETERS],
+        *[F.expr(valid_days[p]).alias(f"_{p}_days") for p in PARAMETERS],
         F.count_if(F.col("grade").isin(1, 2)).alias("std_day_num"),
         air.percentile_index(air.reported_sql("o3", "o3"), "o3").alias("o3_index"),
         air.percentile_index(air.reported_sql("co", "co"), "co").alias("co_index"),
@@ -228,9 +239,8 @@ def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame
     """
     ids = period_columns(period)
     grouped = (
-        day.withColumns(ids)
-        .groupBy(*keys, *ids)
-        .agg(*_period_aggregates({p: F.count(p) for p in PARAMETERS}))
+        _by_period(day, keys, ids)
+        .agg(*_period_aggregates({p: f"count({p})" for p in PARAMETERS}))
         .withColumns(_flags(period))
         .withColumn("comprehensive_index", air.comprehensive_index())
     )
@@ -255,10 +265,9 @@ def district_period(day: DataFrame, period: str) -> DataFrame:
     """
     ids = period_columns(period)
     keys = ["source", "control_area_id"]
-    flagged = {p: F.coalesce(F.sum(f"{p}_flag"), F.lit(0)) for p in PARAMETERS}
+    flagged = {p: f"coalesce(sum({p}_flag), 0L)" for p in PARAMETERS}
     grouped = (
-        day.withColumns(ids)
-        .groupBy(*keys, *ids)
+        _by_period(day, keys, ids)
         .agg(*_period_aggregates(flagged))
         .withColumns(_flags(period))
     )

@@ -32,8 +32,8 @@ def parse_cells(cells: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(low: Column, high: Column, size: float) -> Column:
-    return F.explode(F.sequence(F.floor(low / F.lit(size)), F.floor(high / F.lit(size))))
+def _tiles(low: str, high: str, size: float) -> Column:
+    return F.explode(F.sequence(geo.tile(low, size), geo.tile(high, size)))
 
 
 def join_boxes(
@@ -54,13 +54,13 @@ def join_boxes(
     boxed = cells.select(
         "grid_id",
         *[F.col(c).alias(f"_{c}") for c in ("min_lat", "min_lon", "max_lat", "max_lon")],
-        _tiles(F.col("min_lat"), F.col("max_lat"), tile).alias("_row"),
+        _tiles("min_lat", "max_lat", tile).alias("_row"),
         "min_lon",
         "max_lon",
-    ).withColumn("_column", _tiles(F.col("min_lon"), F.col("max_lon"), tile))
+    ).withColumn("_column", _tiles("min_lon", "max_lon", tile))
     boxed = boxed.drop("min_lon", "max_lon")
     placed = points.withColumns(
-        {"_prow": F.floor(F.col("lat") / F.lit(tile)), "_pcolumn": F.floor(F.col("lon") / F.lit(tile))}
+        {"_prow": geo.tile("lat", tile), "_pcolumn": geo.tile("lon", tile)}
     )
     inside = (
         (F.col("_prow") == F.col("_row"))
@@ -114,39 +114,32 @@ def join_radius(
     under the tiles its circle can touch in its own and both adjoining bands.
     Distances are computed for tile matches only.  Longitudes must not wrap.
     """
-    band = geo.lat_band(F.col("lat"), radius_m)
-    placed = points.withColumn("_pband", band).withColumn(
-        "_ptile", geo.lon_tile(F.col("lon"), F.col("_pband"), radius_m)
+    step = geo.band_lon_step_sql("_band", radius_m)
+    own_step = geo.band_lon_step_sql(geo.lat_band_sql("_clat", radius_m), radius_m)
+    placed = points.withColumn("_pband", geo.lat_band("lat", radius_m)).withColumn(
+        "_ptile", F.expr(f"floor(lon / {geo.band_lon_step_sql('_pband', radius_m)})")
     )
+    band = geo.lat_band_sql("lat", radius_m)
     listed = (
         centres.select(
-            *[c for c in centre_cols],
+            *centre_cols,
             F.col("lon").alias("_clon"),
             F.col("lat").alias("_clat"),
-            F.explode(F.array(band - 1, band, band + 1)).alias("_band"),
+            F.expr(f"explode(sequence({band} - 1, {band} + 1))").alias("_band"),
         )
-        .withColumn("_step", geo.band_lon_step(F.col("_band"), radius_m))
-        # the reach in the band is at most the widest of the adjoining tiles
-        .withColumn(
-            "_reach",
-            F.greatest(
-                F.col("_step"),
-                geo.band_lon_step(geo.lat_band(F.col("_clat"), radius_m), radius_m),
-            )
-            * F.lit(1.01),
+        # the reach in a band is at most the wider of its tiles and the centre's own
+        .withColumns(
+            {"_step": F.expr(step), "_reach": F.expr(f"greatest({step}, {own_step}) * 1.01D")}
         )
         .withColumn(
             "_tile",
-            F.explode(
-                F.sequence(
-                    F.floor((F.col("_clon") - F.col("_reach")) / F.col("_step")),
-                    F.floor((F.col("_clon") + F.col("_reach")) / F.col("_step")),
-                )
+            F.expr(
+                "explode(sequence(floor((_clon - _reach) / _step), floor((_clon + _reach) / _step)))"
             ),
         )
         .drop("_step", "_reach")
     )
-    metres = geo.distance_m(F.col("lon"), F.col("lat"), F.col("_clon"), F.col("_clat"))
+    metres = geo.distance_m("lon", "lat", "_clon", "_clat")
     pairs = placed.join(
         listed,
         on=(F.col("_pband") == F.col("_band"))
@@ -177,7 +170,7 @@ def thin_trajectory(
     )
     staged = clean.withColumns(
         {
-            "_cell": geo.grid_id(F.col("lon"), F.col("lat"), box, cells, cells),
+            "_cell": geo.grid_id("lon", "lat", box, cells, cells),
             "_bucket": F.date_trunc(bucket, F.col("published_at")),
         }
     )

@@ -14,7 +14,7 @@ from brisa.params import DUST_TRACK_COLUMNS, VOC_TRACK_COLUMNS
 
 def shift_positions(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Replace WGS-84 positions by the national map datum."""
-    new_lon, new_lat = geo.shifted(F.col(lon), F.col(lat))
+    new_lon, new_lat = geo.shifted(lon, lat)
     return df.withColumns({lon: new_lon, lat: new_lat})
 
 

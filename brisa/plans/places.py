@@ -22,9 +22,8 @@ sql.view("event_place", f"SELECT event_id, user_id, {sql.place('event_id')} FROM
   FROM event_place"""))
 def distance(spark, sf):
     lon, lat = adapters.positions(F.col("event_id"))
-    return adapters.table(spark, sf, "events").select(
-        "event_id", geo.distance_m(lon, lat, F.lit(104.06), F.lit(30.67)).alias("metres")
-    )
+    points = adapters.table(spark, sf, "events").select("event_id", lon.alias("lon"), lat.alias("lat"))
+    return points.select("event_id", geo.distance_m("lon", "lat", "104.06D", "30.67D").alias("metres"))
 
 
 def _shift_sql(source: str, keep: str) -> str:
@@ -78,12 +77,11 @@ def _grid_sql(box: str, rows: int, columns: int) -> str:
 def grid_id(spark, sf):
     lon, lat = adapters.positions(F.col("event_id"))
     points = adapters.table(spark, sf, "events").select("event_id", lon.alias("lon"), lat.alias("lat"))
-    lon, lat = F.col("lon"), F.col("lat")
     return points.select(
         "event_id",
-        geo.grid_id(lon, lat, "inner", 500, 500).alias("inner_id"),
-        geo.grid_id(lon, lat, "outer", 300, 300).alias("outer_id"),
-        geo.grid_id(lon, lat, "city", 1000, 1200).alias("city_id"),
+        geo.grid_id("lon", "lat", "inner", 500, 500).alias("inner_id"),
+        geo.grid_id("lon", "lat", "outer", 300, 300).alias("outer_id"),
+        geo.grid_id("lon", "lat", "city", 1000, 1200).alias("city_id"),
     )
 
 

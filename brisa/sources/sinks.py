@@ -37,3 +37,13 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str], ts: str) ->
     """Newest row of every key over all batches; the later batch wins equal times."""
     batches = spark.read.parquet(path)
     return latest_per_key(batches, keys, ts, ties=["batch_id"]).drop("batch_id")
+
+
+def compact_batches(
+    spark: SparkSession, path: str, into: str, keys: Sequence[str], ts: str
+) -> None:
+    """Fold all batches of ``path`` into the first batch of a fresh folder ``into``.
+
+    The old folder stays untouched; point the job and its readers at the new one.
+    """
+    write_batch(read_latest(spark, path, keys, ts), into, -1)

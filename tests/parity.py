@@ -42,10 +42,6 @@ def plain(v):
     return v
 
 
-def key(row):
-    return tuple((x is None, str(type(x).__name__ == "str"), x if isinstance(x, str) else (x or 0)) if not isinstance(x, tuple) else (False, "t", str(x)) for x in row)
-
-
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(plain(r[i]) for i in order) for r in rows]
@@ -75,9 +71,6 @@ def compare(df, con, sql: str) -> list[str]:
     only_b = [r for r in b if b[r] != a.get(r, 0)]
     if only_a or only_b:
         problems.append(f"{len(only_a)}/{len(only_b)} rows differ")
-        by_head = {}
-        for r in only_b:
-            by_head.setdefault(r[:0], []).append(r)
         for r in only_a[:3]:
             near = max(only_b, key=lambda q: sum(x == y for x, y in zip(r, q)), default=None)
             if near is not None:

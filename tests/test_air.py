@@ -129,5 +129,12 @@ def test_sql_functions_agree_with_columns(spark):
         " grade_within_points(2, 40D) AS w, primary_agrees(array('co'), array('co')) AS pa"
     ).first()
     assert (row.i, row.g, row.a, row.gr, row.p, row.w, row.pa) == (75, None, 107, 3, ["pm2_5"], 1, 1)
+    more = spark.sql(
+        "SELECT comprehensive_index(35D, 70D, array(80D), array(4D, NULL), 40D, 60D) AS c,"
+        " comprehensive_index(35D, 70D, array(160D, 320D), array(), 40D, 60D) AS d,"
+        " distance_m(104D, 30D, 104D, 30D) AS m, shifted_lon(0D, 0D) AS x,"
+        " grid_id_inner(103.727943D, 30.33658D) AS g"
+    ).first()
+    assert tuple(more) == (5.5, 5.9, 0, 0.0, 100003 * 1000000 + 100002)
     plan = spark.sql("SELECT iaqi_day_o3(id) FROM range(3)")._jdf.queryExecution().toString()
     assert "Python" not in plan

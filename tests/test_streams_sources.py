@@ -59,6 +59,18 @@ def test_replayed_batch_leaves_the_same_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_compacted_batches_read_the_same(spark, tmp_path):
+    schema = "k int, at timestamp_ntz, v int"
+    path, into = str(tmp_path / "t"), str(tmp_path / "folded")
+    day = dt.datetime(2024, 3, 5)
+    sinks.write_batch(spark.createDataFrame([(1, day, 1), (2, day, 2)], schema), path, 0)
+    sinks.write_batch(spark.createDataFrame([(1, day, 3)], schema), path, 1)
+    sinks.compact_batches(spark, path, into, ["k"], "at")
+    sinks.write_batch(spark.createDataFrame([(2, day, 4)], schema), into, 2)
+    got = sinks.read_latest(spark, into, ["k"], "at")
+    assert sorted((r.k, r.v) for r in got.collect()) == [(1, 3), (2, 4)]
+
+
 def test_last_seen_equals_batch(spark, tmp_path):
     land(tmp_path / "in", "1.txt", [message("M1", 5, 1), message("M2", 1, 1)])
     land(tmp_path / "in", "2.txt", [message("M1", 3, 1)])  # late: must not win
