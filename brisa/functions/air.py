@@ -90,7 +90,7 @@ def reported_sql(v: str, parameter: str) -> str:
     """Concentration as published: co to one decimal, the others whole; halves go away from zero."""
     if parameter == "co":
         return f"sign({v}) * floor(abs({v}) * 10D + 0.5D) / 10D"
-    return f"CAST(sign({v}) * floor(abs({v}) + 0.5D) AS INT)"
+    return f"TRY_CAST(sign({v}) * floor(abs({v}) + 0.5D) AS INT)"
 
 
 def percentile_index_sql(v: str, parameter: str) -> str:

@@ -21,21 +21,27 @@ def missing_hours(actual: DataFrame, cells: DataFrame, first: Column, last: Colu
 
 
 def completeness(actual: DataFrame, cells: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Per hour: cells expected, present and missing, and whether all are there."""
+    """Per hour: cells expected, present and missing, and whether all are there.
+
+    The expected number is the same for every hour, so cells and hours are
+    counted apart and never multiplied out.
+    """
+    listed = cells.select("grid_id").distinct()
     present = (
         actual.select("grid_id", times.floor_hour(F.col("published_at")).alias("published_at"))
         .distinct()
-        .withColumn("_here", F.lit(1))
-    )
-    return (
-        expected_hours(cells, first, last)
-        .join(present, on=["grid_id", "published_at"], how="left")
+        .join(listed, on="grid_id", how="left_semi")
         .groupBy("published_at")
-        .agg(F.count("*").alias("expected"), F.count("_here").alias("present"))
-        .withColumns(
-            {
-                "missing": F.col("expected") - F.col("present"),
-                "complete": (F.col("expected") == F.col("present")).cast("int"),
-            }
-        )
+        .agg(F.count("*").alias("_present"))
+    )
+    hours = listed.agg(F.count("*").alias("expected")).select(
+        F.explode(times.hour_series(first, last)).alias("published_at"), "expected"
+    )
+    found = F.coalesce("_present", F.lit(0))
+    return hours.join(present, on="published_at", how="left").select(
+        "published_at",
+        "expected",
+        found.alias("present"),
+        (F.col("expected") - found).alias("missing"),
+        (F.col("expected") == found).cast("int").alias("complete"),
     )

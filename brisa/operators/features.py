@@ -121,6 +121,18 @@ def interpolated_wind(stations: DataFrame, wind: DataFrame, names: Sequence[str]
     return placed.withColumn("wind_speed", F.round(speed, 2)).drop("_reports", "_w")
 
 
+def diffusion_level(stations: DataFrame, forecasts: DataFrame, day: Column) -> DataFrame:
+    """Level of the newest diffusion forecast for ``day``, the same at every station.
+
+    The level is the first character of the forecast text; 0 without a forecast.
+    """
+    newest = forecasts.filter(F.col("forecast_date") == day).agg(
+        F.max_by(F.substring("diffusion_conditions", 1, 1), F.col("published_at"))
+    )
+    level = F.coalesce(newest.scalar().try_cast("int"), F.lit(0))
+    return stations.withColumn("diffusion_conditions", level)
+
+
 def station_features(
     stations: DataFrame, site_features: Sequence[DataFrame], wind: DataFrame | None = None,
     wind_names: Sequence[str] = (),

@@ -8,10 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brisa.functions import clean
+from brisa.functions import air, clean
 from brisa.operators.index import reported, with_index
 from brisa.operators.latest import first_per_key
-from brisa.params import DASH, PARAMETERS
+from brisa.params import DASH, EM_DASH, PARAMETERS
 
 WEATHER = ("temperature", "humidity", "wind_direction", "wind_power", "pressure")
 
@@ -83,3 +83,36 @@ def clean_hourly(
     unique = first_per_key(merged, ["station_code", "published_at"], order).drop("_priority")
     tagged = unique.join(station_grid, on="station_code", how="inner")
     return reported(with_index(tagged, "hour"))
+
+
+def official_readings(
+    feed: DataFrame, station_map: DataFrame, station_grid: DataFrame, unit: str = "hour"
+) -> DataFrame:
+    """Readings that arrive graded, in the canonical layout.
+
+    ``feed`` has ``code_map``, ``published_at``, the six concentrations and
+    their ``*_iaqi``, ``aqi``, ``grade`` and ``primary_pollutants`` as text;
+    ``station_map`` translates ``code_map`` to ``station_code``.  Dashes become
+    null, the grade is taken from the index, and there is one row per station
+    and hour (or day, with ``unit="day"``): the one with the larger readings.
+    """
+    dashes = (DASH, EM_DASH)
+
+    def number(name: str, dtype: str) -> Column:
+        return clean.blank_sentinels(F.col(name), dashes).try_cast(dtype).alias(name)
+
+    stamp = F.to_date("published_at") if unit == "day" else F.date_trunc("hour", "published_at").cast("timestamp_ntz")
+    typed = feed.select(
+        "code_map",
+        stamp.alias("published_at"),
+        *[number(p, "double" if p == "co" else "int") for p in PARAMETERS],
+        *[number(f"{p}_iaqi", "int") for p in PARAMETERS],
+        clean.numeric_text(F.col("aqi")).try_cast("int").alias("aqi"),
+        F.col("grade").isNotNull().alias("_graded"),
+        air.pollutant_list(F.col("primary_pollutants")).alias("primary_pollutants"),
+    ).filter(F.coalesce(*PARAMETERS).isNotNull())
+    mapped = typed.join(station_map, on="code_map").drop("code_map")
+    order = [F.col(c).desc_nulls_last() for c in (*PARAMETERS, "aqi")]
+    unique = first_per_key(mapped, ["station_code", "published_at"], order)
+    graded = unique.withColumn("grade", F.when(F.col("_graded"), air.grade("aqi")))
+    return graded.drop("_graded").join(station_grid, on="station_code")

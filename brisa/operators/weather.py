@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brisa.functions import clean
-from brisa.params import WEATHER_NO_DATA, WEATHER_SENTINELS
+from brisa.operators.conform import conform
+from brisa.params import WEATHER_FIELDS, WEATHER_NO_DATA, WEATHER_SENTINELS
 
 
 def explode_documents(docs: DataFrame, text: str, item_schema: str, keep: Sequence[str]) -> DataFrame:
@@ -71,3 +72,30 @@ def map_coded_readings(
             ),
         )
     )
+
+
+# Text fields of the weather history; the codes are whole numbers, the rest numeric.
+HISTORY_TEXT = ("weather",)
+HISTORY_WHOLE = ("weather_code", "wind_degrees")
+
+
+def weather_history(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Delimited weather history of grid cells with the cells' own columns.
+
+    ``rows`` has ``sid`` (the cell number with letters around it), ``date`` and
+    the vendor's fields; fields the file lacks come out null.  Rows of unknown
+    cells stay.
+    """
+    layout: dict = {
+        "grid_id": (clean.digits_only(F.col("sid")), "int"),
+        "published_at": (F.substring("date", 1, 19), "timestamp_ntz"),
+    }
+    for source, target in WEATHER_FIELDS["grid_hour"].items():
+        dtype = (
+            "string" if target in HISTORY_TEXT else "int" if target in HISTORY_WHOLE else "double"
+        )
+        layout[target] = (source if source in rows.columns else None, dtype)
+    out = conform(rows, layout).withColumn(
+        "water_gas_pressure", F.round("water_gas_pressure", 2)
+    )
+    return out.join(cells, on="grid_id", how="left")

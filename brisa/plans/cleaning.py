@@ -304,6 +304,29 @@ def json_documents(spark, sf):
     )
 
 
+@query("B18_weather_history", f"""
+  SELECT CAST(h.grid_id AS INTEGER) AS grid_id, published_at, CAST(k AS DOUBLE) AS temp, event_type AS weather, CAST(k AS INTEGER) AS weather_code,
+    floor(value) AS rainfall, CAST(NULL AS DOUBLE) AS humidity, s_name AS name
+  FROM (SELECT user_id AS grid_id, date_trunc('second', ts) AS published_at, event_type, value, {K_SQL} AS k FROM events) h
+  LEFT JOIN supplier ON s_suppkey = h.grid_id""")
+def weather_history(spark, sf):
+    rows = adapters.table(spark, sf, "events").select(
+        F.concat(F.lit("cell-"), F.col("user_id")).alias("sid"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+08:00")).alias("date"),
+        counter().cast("string").alias("temperature"),
+        F.col("event_type").alias("text"),
+        counter().cast("string").alias("code"),
+        F.floor("value").cast("string").alias("precip"),
+        F.lit("-").alias("humidity"),
+    )
+    cells = adapters.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("grid_id"), F.col("s_name").alias("name")
+    )
+    return weather.weather_history(rows, cells).select(
+        "grid_id", "published_at", "temp", "weather", "weather_code", "rainfall", "humidity", "name"
+    )
+
+
 # --- B21: completeness --------------------------------------------------------
 
 HOURS_SQL = """

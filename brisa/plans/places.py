@@ -164,6 +164,13 @@ def road_sections(spark, sf):
     return features.trail_points(parts, "trail", ["id", "roadname", "flow"])
 
 
+def dust_points(spark, sf):
+    lon, lat = adapters.positions(F.col("o_orderkey") * 11)
+    return adapters.table(spark, sf, "orders").select(
+        lon.alias("lon"), lat.alias("lat"), (F.col("o_custkey") % 10).alias("dust")
+    )
+
+
 sql.view("weather_points", f"""
   SELECT {sql.place('(c_custkey * 7)')}, floor(c_acctbal) AS rainfall, CAST(c_custkey % 100 AS DOUBLE) AS humidity,
     CAST(c_nationkey AS DOUBLE) AS traffic_index FROM customer""")
@@ -183,6 +190,9 @@ sql.view("flow_feature", f"""
       (SELECT s.lon, s.lat, roadname, id, max(flow) AS flow FROM places s JOIN sections p ON {BOX} AND {NEAR}
        GROUP BY s.lon, s.lat, roadname, id) GROUP BY lon, lat, roadname)
   GROUP BY lon, lat""", "places", "sections")
+sql.view("dust_feature", f"""
+  SELECT s.lon, s.lat, CAST(sum(dust) AS BIGINT) AS dust_index FROM places s JOIN
+    (SELECT {sql.place('(o_orderkey * 11)')}, o_custkey % 10 AS dust FROM orders) p ON {BOX} AND {NEAR} GROUP BY s.lon, s.lat""", "places")
 sql.view("wind_feature", f"""
   SELECT s.station_id, round(CASE WHEN count(*) FILTER (d = 0) > 0 THEN avg(v) FILTER (d = 0)
       ELSE coalesce(sum(v / nullif(d, 0)) / nullif(sum(1 / nullif(d, 0)), 0), 0) END, 2) AS wind_speed
@@ -194,10 +204,11 @@ NATIONS = [f"NATION_{i}" for i in range(25)]
 
 
 @query("B13_station_features", sql.with_views(
-    "truck_feature weather_feature flow_feature wind_feature", """
+    "truck_feature weather_feature flow_feature dust_feature wind_feature", """
   SELECT station_id, station_name, lon, lat, truck_num, truck_trajectory, traffic_flow, rainfall, humidity,
-    traffic_index, wind_speed
-  FROM sites LEFT JOIN truck_feature USING (lon, lat) LEFT JOIN weather_feature USING (lon, lat)
+    traffic_index, dust_index, wind_speed, (SELECT coalesce(CAST(left(arg_max(o_orderpriority, o_orderkey), 1) AS INTEGER), 0)
+      FROM orders WHERE o_orderdate = TIMESTAMP '1998-03-05') AS diffusion_conditions
+  FROM sites LEFT JOIN dust_feature USING (lon, lat) LEFT JOIN truck_feature USING (lon, lat) LEFT JOIN weather_feature USING (lon, lat)
   LEFT JOIN flow_feature USING (lon, lat) JOIN wind_feature USING (station_id)"""))
 def station_features(spark, sf):
     stations = adapters.site_stations(spark, sf)
@@ -208,10 +219,15 @@ def station_features(spark, sf):
         features.mean_features(
             weather_points(spark, sf), places, ["rainfall", "humidity", "traffic_index"]
         ),
+        features.sum_feature(dust_points(spark, sf), places, "dust", "dust_index"),
     ]
-    return features.station_features(
-        stations, parts, adapters.wind_reports(spark, sf), NATIONS
+    out = features.station_features(stations, parts, adapters.wind_reports(spark, sf), NATIONS)
+    forecasts = adapters.table(spark, sf, "orders").select(
+        F.to_date("o_orderdate").alias("forecast_date"),
+        F.col("o_orderkey").alias("published_at"),
+        F.col("o_orderpriority").alias("diffusion_conditions"),
     )
+    return features.diffusion_level(out, forecasts, F.lit("1998-03-05").cast("date"))
 
 
 @query("J6_radius_pairs", sql.with_views("sites weather_points", f"""

@@ -133,6 +133,51 @@ def pivot_codes(spark, sf):
     return adapters.sensor_hours(spark, sf)
 
 
+def graded_feed(spark, sf):
+    """Readings that come with their index: text, dashes for missing values."""
+    line = F.col("l_linenumber")
+    r = adapters.item_readings()
+
+    def text(c):
+        return c.cast("int").cast("string")
+
+    return adapters.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("C"), F.col("l_suppkey")).alias("code_map"),
+        adapters.item_stamp().alias("published_at"),
+        *[F.when(line == 7, EM_DASH).otherwise(text(r[p])).alias(p) for p in PARAMETERS],
+        *[F.when(line == 6, EM_DASH).otherwise(text(r[p])).alias(f"{p}_iaqi") for p in PARAMETERS],
+        F.when(line == 5, EM_DASH).otherwise(text(r["pm10"])).alias("aqi"),
+        F.when(line != 4, "level").alias("grade"),
+        F.when(line == 3, EM_DASH).when(line == 2, "PM2.5,O3").otherwise("NO2").alias("primary_pollutants"),
+    )
+
+
+_GRADED = f"""
+  SELECT 'A' || l_suppkey AS station_code, published_at, {sql.each('CAST(@ AS INTEGER) AS @').replace('CAST(co AS INTEGER)', 'CAST(co AS DOUBLE)')},
+    {sql.each('CASE WHEN l_linenumber <> 6 THEN CAST(@ AS INTEGER) END AS @_iaqi')},
+    CASE WHEN l_linenumber <> 5 THEN CAST(pm10 AS INTEGER) END AS aqi,
+    CASE WHEN l_linenumber = 4 THEN NULL ELSE {sql.grade('CASE WHEN l_linenumber <> 5 THEN pm10 END')} END AS grade,
+    CASE l_linenumber WHEN 3 THEN '' WHEN 2 THEN 'pm2_5,o3' ELSE 'no2' END AS primary_pollutants
+  FROM (SELECT *, @STAMP@ AS published_at, {sql.READINGS} FROM lineitem) WHERE l_linenumber <> 7
+  QUALIFY row_number() OVER (PARTITION BY l_suppkey, published_at ORDER BY {sql.each('@ DESC NULLS LAST')}, aqi DESC NULLS LAST) = 1"""
+_STAMPS = {
+    "hour": "l_shipdate + to_hours(CAST(l_orderkey % 24 + 1 AS INTEGER))",
+    "day": "CAST(l_shipdate + to_hours(CAST(l_orderkey % 24 + 1 AS INTEGER)) AS DATE)",
+}
+
+for _unit in ("hour", "day"):
+
+    @query(f"B{1 if _unit == 'hour' else 2}_official_{_unit}", sql.with_views("station_tags", f"""
+      SELECT station_code, published_at, {sql.each('@')}, {sql.INDEX_COLUMNS}, station_id, grid_id, grid_id_two
+      FROM ({_GRADED.replace('@STAMP@', _STAMPS[_unit])}) JOIN station_tags USING (station_code)"""))
+    def official(spark, sf, unit=_unit):
+        codes = adapters.table(spark, sf, "supplier").select(
+            F.concat(F.lit("C"), F.col("s_suppkey")).alias("code_map"),
+            F.concat(F.lit("A"), F.col("s_suppkey")).alias("station_code"),
+        )
+        return flat(hourly.official_readings(graded_feed(spark, sf), codes, station_tags(spark, sf), unit))
+
+
 # --- B2, B3: daily products ---------------------------------------------------
 
 
