@@ -14,7 +14,9 @@ def expected_hours(cells: DataFrame, first: Column, last: Column) -> DataFrame:
 
 def missing_hours(actual: DataFrame, cells: DataFrame, first: Column, last: Column) -> DataFrame:
     """The (cell, hour) pairs that have no row."""
-    present = actual.select("grid_id", times.floor_hour(F.col("published_at")).alias("published_at"))
+    present = actual.select(
+        "grid_id", times.floor_hour(F.col("published_at")).alias("published_at")
+    ).distinct()
     return expected_hours(cells, first, last).join(
         present, on=["grid_id", "published_at"], how="left_anti"
     )

@@ -163,7 +163,7 @@ def month_window(spark, sf):
 
 
 @query("C19_json_fields", f"""
-  SELECT event_type, sum({K_SQL}) AS total, count(*) AS n FROM events GROUP BY event_type""")
+  SELECT event_type, CAST(sum({K_SQL}) AS BIGINT) AS total, count(*) AS n FROM events GROUP BY event_type""")
 def json_fields(spark, sf):
     picked = conform.pick_json(F.col("props"), {"k": "counter"}, "bigint")
     events = adapters.table(spark, sf, "events").select(

@@ -284,7 +284,7 @@ def slow_trucks(spark, sf):
         F.concat(F.lit("P"), F.col("user_id")).alias("plate_num"),
         (F.col("user_id") % 50).cast("string").alias("name"),
         lon.alias("lon"), lat.alias("lat"),
-        F.floor("value").alias("speed"),
+        F.floor("value").cast("double").alias("speed"),
         F.col("ts").cast("timestamp_ntz").alias("published_at"),
     )
 

@@ -37,10 +37,12 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  Only where the
-    setting is absent (tests on one machine) is a local folder used instead.
+    The cluster names that folder in ``spark.checkpoint.dir``.  Only a local
+    master (tests on one machine) may leave it unset; a local folder is used then.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="brisa-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
