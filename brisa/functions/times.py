@@ -15,17 +15,29 @@ def observation_hour(published_at: Column) -> Column:
     return F.hour(published_at - F.expr("INTERVAL 1 HOUR")) + 1
 
 
-def floor_hour(ts: Column) -> Column:
-    return F.date_trunc("hour", ts)
+def floor_second(ts: Column) -> Column:
+    """Whole second of a stamp; like the other floors it keeps the stamp's type.
+
+    The floors subtract fields instead of truncating: truncation goes through
+    the session's time zone and would move stamps without a zone around its
+    clock changes.
+    """
+    fraction = F.date_part(F.lit("SECOND"), ts) - F.second(ts)
+    return ts - F.make_dt_interval(secs=fraction)
 
 
 def floor_minute(ts: Column) -> Column:
-    return F.date_trunc("minute", ts)
+    return ts - F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), ts))
+
+
+def floor_hour(ts: Column) -> Column:
+    seconds = F.date_part(F.lit("SECOND"), ts)
+    return ts - F.make_dt_interval(mins=F.minute(ts), secs=seconds)
 
 
 def hours_before(as_of: Column, hours: int) -> Column:
     """Top of the hour ``hours`` hours before ``as_of``."""
-    return F.date_trunc("hour", as_of) - F.make_dt_interval(hours=F.lit(hours))
+    return floor_hour(as_of) - F.make_dt_interval(hours=F.lit(hours))
 
 
 def days_before(as_of: Column, days: int) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brisa.functions import air, clean
+from brisa.functions import air, clean, times
 from brisa.operators.index import reported, with_index
 from brisa.operators.latest import first_per_key
 from brisa.params import DASH, EM_DASH, PARAMETERS
@@ -21,7 +21,7 @@ class Feed:
     """How one vendor writes its hourly readings.
 
     ``columns`` maps canonical names to the vendor's; names left out are
-    missing in the feed.  ``scale`` multiplies every parameter but co (feeds
+    missing in the feed; times are text, timestamps or epoch seconds.  ``scale`` multiplies every parameter but co (feeds
     in mg/m3 use 1000).  ``priority`` settles two feeds reporting one hour:
     the smaller wins.
     """
@@ -49,12 +49,16 @@ def canonical(df: DataFrame, feed: Feed) -> DataFrame:
             value = value * F.lit(feed.scale)
         return value.alias(name)
 
-    ts = F.col(f"`{feed.columns.get('published_at', 'published_at')}`")
-    if dict(df.dtypes)[feed.columns.get("published_at", "published_at")] == "string":
-        ts = F.try_to_timestamp(ts).cast("timestamp_ntz")
+    stamp = feed.columns.get("published_at", "published_at")
+    ts = F.col(f"`{stamp}`")
+    dtype = dict(df.dtypes)[stamp]
+    if dtype == "string":
+        ts = F.try_to_timestamp(ts)
+    elif dtype in ("int", "bigint"):
+        ts = clean.epoch_to_timestamp(ts)
     readings = df.select(
         F.concat(F.lit(feed.station_prefix), source("station_code")).alias("station_code"),
-        F.date_trunc("hour", ts).cast("timestamp_ntz").alias("published_at"),
+        times.floor_hour(ts.cast("timestamp_ntz")).alias("published_at"),
         *[reading(p) for p in PARAMETERS],
         *[reading(w) for w in WEATHER],
         F.lit(feed.priority).alias("_priority"),
@@ -101,7 +105,8 @@ def official_readings(
     def number(name: str, dtype: str) -> Column:
         return clean.blank_sentinels(F.col(name), dashes).try_cast(dtype).alias(name)
 
-    stamp = F.to_date("published_at") if unit == "day" else F.date_trunc("hour", "published_at").cast("timestamp_ntz")
+    at = F.col("published_at")
+    stamp = F.to_date(at) if unit == "day" else times.floor_hour(at)
     typed = feed.select(
         "code_map",
         stamp.alias("published_at"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brisa.functions import geo
+from brisa.functions import geo, times
 from brisa.operators.latest import first_per_key
 
 # How a box treats its own edges: low side, high side.
@@ -154,24 +154,23 @@ def thin_trajectory(
     vehicle: str = "name",
     box: str = "inner",
     cells: int = 500,
-    bucket: str = "hour",
 ) -> DataFrame:
     """Points where a vehicle enters another grid cell; the first one counts too.
 
     One row per plate and second is kept before (the smallest position of it).
-    A vehicle's track is cut into time buckets, so even a vehicle with most of
-    the points is ranked in many tasks, at most 3600 seconds per plate each;
-    the last cell of a bucket is carried to the next bucket that has points.
+    A vehicle's track is cut into hours, so even a vehicle with most of the
+    points is ranked in many tasks, at most 3600 seconds per plate each; the
+    last cell of an hour is carried to the next hour that has points.
     """
     clean = first_per_key(
-        points.withColumn("published_at", F.date_trunc("second", F.col("published_at"))),
+        points.withColumn("published_at", times.floor_second(F.col("published_at"))),
         ["plate_num", "published_at"],
         [F.col(c).asc_nulls_last() for c in (vehicle, "lon", "lat", "speed")],
     )
     staged = clean.withColumns(
         {
             "_cell": geo.grid_id("lon", "lat", box, cells, cells),
-            "_bucket": F.date_trunc(bucket, F.col("published_at")),
+            "_bucket": times.floor_hour(F.col("published_at")),
         }
     )
     # order of a vehicle's points; plates sharing a vehicle name settle ties

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from brisa.functions import times
 from brisa.operators import conform, rollup
 
 EVENT_CODES = {"click": "105", "view": "104", "error": "102", "signup": "101", "purchase": "100"}
@@ -75,7 +76,7 @@ def coded_readings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         (F.col("user_id") % 5).cast("int").alias("station_id"),
         F.col("user_id"),
-        (F.date_trunc("hour", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")).alias(
+        (times.floor_hour(F.col("ts")) + F.expr("INTERVAL 1 HOUR")).alias(
             "published_at"
         ),
         F.inline(F.array(own, co)),

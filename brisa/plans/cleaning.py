@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brisa.functions import air, clean, times
-from brisa.operators import conform, completeness, weather
+from brisa.operators import completeness, conform, weather
+from brisa.operators.index import parameter_means, with_index
 from brisa.params import (
     CONTROL_AREA_TO_AREA, EM_DASH, GRADE_LABELS, INVALID_MARK, PARAMETERS, PRIMARY_CODES,
     WEATHER_FIELDS, WEATHER_NO_DATA, WEATHER_SENTINELS,
@@ -113,8 +114,8 @@ def time_floor(spark, sf):
     seconds = F.unix_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     return adapters.table(spark, sf, "events").select(
         "event_id",
-        times.floor_hour(ts).cast("timestamp_ntz").alias("hour"),
-        times.floor_minute(ts).cast("timestamp_ntz").alias("minute"),
+        times.floor_hour(ts).alias("hour"),
+        times.floor_minute(ts).alias("minute"),
         F.to_date("ts").alias("day"),
         clean.epoch_to_timestamp(seconds).cast("timestamp_ntz").alias("from_epoch"),
     )
@@ -258,7 +259,7 @@ def flatten_weather(spark, sf):
     fields = WEATHER_FIELDS["grid_forecast_hour"]
 
     def at(hours):
-        moment = F.date_trunc("hour", "ts") + F.make_dt_interval(hours=F.lit(hours))
+        moment = times.floor_hour(F.col("ts")) + F.make_dt_interval(hours=F.lit(hours))
         return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
 
     def text(c):
@@ -345,7 +346,7 @@ def _hours():
 def _loaded(spark, sf):
     actual = adapters.table(spark, sf, "events").select(
         F.col("user_id").alias("grid_id"), F.col("ts").cast("timestamp_ntz").alias("published_at")
-    ).withColumn("published_at", F.date_trunc("hour", "published_at").cast("timestamp_ntz"))
+    )
     cells = adapters.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("grid_id"))
     return actual, cells
 
@@ -405,8 +406,6 @@ for _scale in ("hour", "day"):
   SELECT grade, primary_pollutants, count(*) AS n, max(aqi) AS top, min(aqi) AS low
   FROM {sql.indexed('obs', 'hour')} GROUP BY grade, primary_pollutants"""))
 def index_by_grade(spark, sf):
-    from brisa.operators.index import with_index
-
     indexed = with_index(adapters.observations(spark, sf), "hour")
     named = indexed.select("grade", "aqi", F.concat_ws(",", "primary_pollutants").alias("primary_pollutants"))
     return named.groupBy("grade", "primary_pollutants").agg(
@@ -419,8 +418,6 @@ def index_by_grade(spark, sf):
   FROM (SELECT station_id, {sql.MEANS}, quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
         FROM station_day GROUP BY station_id)"""))
 def percentile_and_comprehensive(spark, sf):
-    from brisa.operators.index import parameter_means
-
     grouped = adapters.station_days(spark, sf).groupBy("station_id").agg(
         *parameter_means(),
         air.percentile_index("o3", "o3").alias("o3_index"),
@@ -474,7 +471,7 @@ def report_windows(spark, sf):
     day = F.col("o_orderdate")
     return adapters.table(spark, sf, "orders").select(
         "o_orderkey",
-        times.hours_before(day, 3).cast("timestamp_ntz").alias("three_hours_before"),
+        times.hours_before(day, 3).alias("three_hours_before"),
         times.days_before(day, 30).alias("month_before"),
         times.month_start(day).alias("month_start"),
         times.last_month_start(day).alias("last_month"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brisa.functions import geo
 from brisa.operators import features, spatial, tracks
-from brisa.params import VOC_TRACK_COLUMNS
+from brisa.params import GRID_BOXES, VOC_TRACK_COLUMNS
 from brisa.plans import adapters, sql
 from brisa.plans.registry import query
 from brisa.session import shared_dir
@@ -62,8 +62,6 @@ def datum_shift(spark, sf):
 
 
 def _grid_sql(box: str, rows: int, columns: int) -> str:
-    from brisa.params import GRID_BOXES
-
     a, b, c, d = (f"{v!r}::DOUBLE" for v in GRID_BOXES[box])
     return (
         f"CAST((ceil((lat - {a}) / (({b} - {a}) / {rows})) + 100000) * 1000000"
@@ -298,8 +296,7 @@ def slow_trucks(spark, sf):
   SELECT plate_num, name, lon, lat, speed, published_at FROM c
   QUALIFY cell <> lag(cell, 1, 0) OVER (PARTITION BY name ORDER BY published_at, plate_num)""")
 def thin_trajectory(spark, sf):
-    out = spatial.thin_trajectory(slow_trucks(spark, sf))
-    return out.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
+    return spatial.thin_trajectory(slow_trucks(spark, sf))
 
 
 # --- B19: tracks --------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brisa.functions import air
+from brisa.functions import air, times
 from brisa.operators import rollup, score
 from brisa.operators.index import parameter_means, with_index
 from brisa.params import PARAMETERS
@@ -124,7 +124,7 @@ def inferred_cells(spark, sf):
     """Inferred values: the largest reading of a cell and hour, lowered a little."""
     low = (
         adapters.mobile_samples(spark, sf)
-        .groupBy(F.date_trunc("hour", "published_at").cast("timestamp_ntz").alias("published_at"), "grid_id")
+        .groupBy(times.floor_hour(F.col("published_at")).alias("published_at"), "grid_id")
         .agg(*[F.floor(F.max(p) * 9 / 10).cast("double").alias(p) for p in PARAMETERS])
         .withColumn("control_area_id", F.col("grid_id") % 2)
     )
@@ -169,7 +169,7 @@ def inference_score(spark, sf):
 def min_sample_mean(spark, sf):
     return (
         adapters.mobile_samples(spark, sf)
-        .groupBy(F.date_trunc("hour", "published_at").cast("timestamp_ntz").alias("published_at"), "grid_id")
+        .groupBy(times.floor_hour(F.col("published_at")).alias("published_at"), "grid_id")
         .agg(*parameter_means(), F.count("grid_id").alias("samples"))
         .filter(F.col("samples") >= 60)
     )

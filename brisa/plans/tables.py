@@ -196,12 +196,12 @@ def union_distinct(spark, sf):
     return monitored.unionByName(inferred).distinct()
 
 
-@query("U3_difference", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("U3_difference", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")
 def difference(spark, sf):
-    # one row per customer: a customer with most of the orders is combined first
-    ordered = adapters.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    # one row per user: a user with most of the events is combined first
+    seen = adapters.table(spark, sf, "events").select(F.col("user_id").alias("c_custkey")).distinct()
     return adapters.table(spark, sf, "customer").select("c_custkey").join(
-        ordered, on="c_custkey", how="left_anti"
+        seen, on="c_custkey", how="left_anti"
     )
 
 
@@ -332,9 +332,7 @@ def minute_presence(spark, sf):
         F.col("s_suppkey").alias("user_id"), F.col("s_nationkey").alias("control_area_id")
     )
     presence = jobs.minute_presence(events, "user_id", "ts")
-    return jobs.presence_of_area(presence, members, 17, "user_id").withColumn(
-        "ts", F.col("ts").cast("timestamp_ntz")
-    )
+    return jobs.presence_of_area(presence, members, 17, "user_id")
 
 
 @query("B23_T7_stream_presence", "SELECT user_id, date_trunc('minute', ts) AS ts, CAST(ts AS DATE) AS publish_date FROM events GROUP BY ALL")

@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brisa.functions import times
 from brisa.operators.latest import latest_per_key
 from brisa.operators.spatial import join_boxes, tag_grid
 from brisa.sources import sinks
@@ -153,10 +154,12 @@ def minute_presence(rows: DataFrame, key: str, ts: str, late: str | None = None)
 
     On a stream give ``late``: minutes older than that are forgotten.
     """
-    minutes = rows.select(F.col(key), F.date_trunc("minute", F.col(ts)).alias(ts))
+    minutes = rows.select(F.col(key), times.floor_minute(F.col(ts)).alias(ts))
     if late is None:
         return minutes.distinct()
-    return minutes.withWatermark(ts, late).dropDuplicates([key, ts])
+    # a watermark needs a timestamp with zone
+    zoned = minutes.withColumn(ts, F.col(ts).cast("timestamp"))
+    return zoned.withWatermark(ts, late).dropDuplicates([key, ts])
 
 
 def presence_of_area(presence: DataFrame, members: DataFrame, area: int, key: str) -> DataFrame:

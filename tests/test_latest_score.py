@@ -182,3 +182,28 @@ def test_completeness_counts_missing_cells(spark):
     assert got == {1: (2, 1, 1, 0), 2: (2, 2, 0, 1), 3: (2, 0, 2, 0)}
     gaps = completeness.missing_hours(actual, cells, first, last)
     assert sorted((r.grid_id, r.published_at.hour) for r in gaps.collect()) == [(1, 3), (2, 1), (2, 3)]
+
+
+def test_feed_times_as_text_stamp_or_epoch(spark):
+    rows = [("A", 1709600400 + 1800, "1")]  # 01:30
+    feed = spark.createDataFrame(rows, "station_code string, published_at bigint, o3 string")
+    got = hourly.canonical(feed, hourly.Feed()).first()
+    assert (got.published_at, got.o3, got.pm10) == (t(1), 1.0, None)
+
+
+def test_floors_keep_stamps_without_zone(spark):
+    from brisa.functions import times
+
+    # 02:30 does not exist in some zones on this day
+    moment = dt.datetime(2024, 3, 10, 2, 30, 15, 250000)
+    df = spark.createDataFrame([(moment,)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = df.select(
+            times.floor_hour(F.col("ts")), times.floor_minute(F.col("ts")), times.floor_second(F.col("ts"))
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(row) == (
+        dt.datetime(2024, 3, 10, 2), dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 2, 30, 15),
+    )

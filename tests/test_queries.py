@@ -9,8 +9,6 @@ from tests.parity import compare, duck
 LARGER = {
     "A11_min_sample_mean", "B11_inference_pairs", "B12_inference_score", "B23_T7_minute_presence",
 }
-# Empty unless some customer has no order, which needs the largest scale.
-MAY_BE_EMPTY = {"U3_difference"}
 
 
 @pytest.fixture(scope="module")
@@ -22,10 +20,7 @@ def databases():
 def test_query_matches_sql(spark, databases, name):
     sf = "sf0.01" if name in LARGER else "sf0.001"
     df = contract.queries()[name](spark, f"/root/testdata/{sf}")
-    problems = compare(df, databases[sf], contract.oracle_sql()[name])
-    if name in MAY_BE_EMPTY:
-        problems = [p for p in problems if p != "no rows"]
-    assert problems == []
+    assert compare(df, databases[sf], contract.oracle_sql()[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
