@@ -15,24 +15,25 @@ def observation_hour(published_at: Column) -> Column:
     return F.hour(published_at - F.expr("INTERVAL 1 HOUR")) + 1
 
 
-def floor_second(ts: Column) -> Column:
-    """Whole second of a stamp; like the other floors it keeps the stamp's type.
+def _wall_clock(ts: Column, **fields: Column) -> Column:
+    """Midnight of the stamp's day plus some of its clock fields, without zone.
 
-    The floors subtract fields instead of truncating: truncation goes through
-    the session's time zone and would move stamps without a zone around its
-    clock changes.
+    Built from fields instead of truncating, because truncation goes through the
+    session's time zone and moves stamps around its clock changes.
     """
-    fraction = F.date_part(F.lit("SECOND"), ts) - F.second(ts)
-    return ts - F.make_dt_interval(secs=fraction)
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(**fields)
+
+
+def floor_second(ts: Column) -> Column:
+    return _wall_clock(ts, hours=F.hour(ts), mins=F.minute(ts), secs=F.second(ts))
 
 
 def floor_minute(ts: Column) -> Column:
-    return ts - F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), ts))
+    return _wall_clock(ts, hours=F.hour(ts), mins=F.minute(ts))
 
 
 def floor_hour(ts: Column) -> Column:
-    seconds = F.date_part(F.lit("SECOND"), ts)
-    return ts - F.make_dt_interval(mins=F.minute(ts), secs=seconds)
+    return _wall_clock(ts, hours=F.hour(ts))
 
 
 def hours_before(as_of: Column, hours: int) -> Column:
