@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brisa.functions import air, clean, times
+from brisa.functions.register import register
 from brisa.operators import completeness, conform, weather
 from brisa.operators.index import parameter_means, with_index
 from brisa.params import (
@@ -413,6 +414,25 @@ def index_by_grade(spark, sf):
     )
 
 
+@query("X1_X5_sql_functions", sql.with_views("obs", f"""
+  SELECT grade, agrees, count(*) AS n, max(aqi) AS top FROM (SELECT *,
+    CAST(grade = {sql.grade('(aqi + 15)')} AS INTEGER) AS agrees FROM {sql.indexed('obs', 'hour', sql.graded, PARAMETERS)})
+  GROUP BY grade, agrees"""))
+def sql_functions(spark, sf):
+    """The registered functions in a SQL text; they are inlined like any expression."""
+    register(spark)
+    adapters.observations(spark, sf).createOrReplaceTempView("brisa_readings")
+    six = ", ".join(PARAMETERS)
+    return spark.sql(
+        f"""
+        SELECT grade(aqi) AS grade, CAST(grade(aqi) = grade(aqi + 15) AS INT) AS agrees,
+          count(*) AS n, max(aqi) AS top
+        FROM (SELECT aqi_hour({six}) AS aqi FROM brisa_readings)
+        GROUP BY 1, 2
+        """
+    )
+
+
 @query("X6_X7_percentile_and_comprehensive", sql.with_views("station_day", f"""
   SELECT station_id, round(o390 / 160.0::DOUBLE, 6) AS o3_index, round(co95 / 4.0::DOUBLE, 6) AS co_index, {sql.COMPREHENSIVE} AS comprehensive_index
   FROM (SELECT station_id, {sql.MEANS}, quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95

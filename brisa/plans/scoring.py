@@ -43,11 +43,19 @@ def grid_forecast_score(spark, sf):
     return rounded(score.score_forecast(pairs, ["control_area_id", "forecast_interval"]))
 
 
+def graded_sql(source: str, scale: str = "hour") -> str:
+    """Sub-select with graded index fields."""
+    return f"(SELECT * FROM {sql.indexed(source, scale, sql.graded, PARAMETERS)})"
+
+
+COMPLETE = sql.each("@ IS NOT NULL", " AND ")
+
+sql.view("lowest", f"""
+  SELECT station_id, published_at, {sql.each('min(@) AS @')} FROM obs GROUP BY station_id, published_at""", "obs")
 sql.view("station_pairs", sql.pairs(
-    f"(SELECT * FROM {sql.indexed('(SELECT station_id, published_at, ' + sql.each('min(@) AS @') + ' FROM obs GROUP BY station_id, published_at)', 'hour', sql.graded, PARAMETERS)} WHERE {sql.each('@ IS NOT NULL', ' AND ')})",
-    f"(SELECT * FROM {sql.indexed('station_hour', 'hour', sql.graded, PARAMETERS)})",
+    f"(SELECT * FROM {graded_sql('lowest')} WHERE {COMPLETE})", graded_sql("station_hour"),
     "a.station_id = b.station_id AND a.published_at = b.published_at",
-    "a.station_id, a.published_at"), "obs", "station_hour")
+    "a.station_id, a.published_at"), "lowest", "station_hour")
 
 
 @query("B9_station_forecast_score", sql.with_views("station_pairs", f"""
@@ -63,16 +71,15 @@ def station_forecast_score(spark, sf):
     return rounded(score.score_forecast(pairs, ["station_id"]))
 
 
-sql.view("district_said", f"""
-  SELECT * FROM {sql.indexed(f"""(
-    SELECT control_area_id, time_step, published_at, {sql.each('round(avg(@)) AS @')} FROM
-      (SELECT * EXCLUDE (published_at), CAST(l_linenumber % 3 AS INTEGER) AS time_step,
-         CAST(published_at - INTERVAL 1 HOUR AS DATE) AS published_at FROM obs)
-    GROUP BY control_area_id, time_step, published_at)""", 'day', sql.graded, PARAMETERS)}""", "obs")
+sql.view("district_mean", f"""
+  SELECT control_area_id, time_step, published_at, {sql.each('round(avg(@)) AS @')} FROM
+    (SELECT * EXCLUDE (published_at), CAST(l_linenumber % 3 AS INTEGER) AS time_step,
+       CAST(published_at - INTERVAL 1 HOUR AS DATE) AS published_at FROM obs)
+  GROUP BY control_area_id, time_step, published_at""", "obs")
 sql.view("district_pairs", sql.pairs(
-    f"(SELECT * FROM district_said WHERE {sql.each('@ IS NOT NULL', ' AND ')})", "district_day",
+    f"(SELECT * FROM {graded_sql('district_mean', 'day')} WHERE {COMPLETE})", "district_day",
     "a.control_area_id = b.control_area_id AND a.published_at = b.published_at",
-    "a.control_area_id, a.time_step"), "district_said", "district_day")
+    "a.control_area_id, a.time_step"), "district_mean", "district_day")
 
 
 @query("B9_district_forecast_score", sql.with_views("district_pairs", f"""
@@ -95,15 +102,15 @@ def district_forecast_score(spark, sf):
     return rounded(score.score_forecast(pairs, keys))
 
 
-_MONTHLY = f"""
-  SELECT control_area_id, forecast_interval, CAST(year(published_at) AS INTEGER) AS y, CAST(month(published_at) AS INTEGER) AS m,
-    {sql.metrics()} FROM grid_pairs GROUP BY ALL"""
-_RAW_MONTHLY = _MONTHLY.replace(", 6) END AS", ", 14) END AS")
+sql.view("monthly_scores", f"""
+  SELECT control_area_id, forecast_interval, {sql.metrics(digits=14)} FROM grid_pairs
+  GROUP BY control_area_id, forecast_interval, year(published_at), month(published_at)""", "grid_pairs")
 
 
-@query("B10_score_history", sql.with_views("grid_pairs", f"""
-  SELECT control_area_id, forecast_interval, {', '.join(f'round(avg({m}), 6) AS {m}' for m in score.METRICS)}
-  FROM ({_RAW_MONTHLY}) GROUP BY control_area_id, forecast_interval"""))
+@query("B10_score_history", sql.with_views("monthly_scores", f"""
+  SELECT control_area_id, forecast_interval,
+    {', '.join(f'round(avg({m}), 6) AS {m}' for m in score.METRICS)}
+  FROM monthly_scores GROUP BY control_area_id, forecast_interval"""))
 def score_history(spark, sf):
     """Mean of the monthly scores, all months weighing the same."""
     keys = ["control_area_id", "forecast_interval"]
@@ -139,11 +146,16 @@ def listed_cells(spark, sf):
     )
 
 
+sql.view("inferred", f"""
+  SELECT date_trunc('hour', published_at) AS published_at, grid_id, grid_id % 2 AS control_area_id,
+    {sql.each('floor(max(@) * 9 / 10) AS @')} FROM mobile GROUP BY 1, 2""", "mobile")
+sql.view("measured", f"""
+  SELECT date_trunc('hour', published_at) AS published_at, grid_id, {sql.MEANS} FROM mobile
+  WHERE grid_id IN (SELECT p_partkey % 5 FROM part) GROUP BY 1, 2 HAVING count(*) >= 60""", "mobile")
 sql.view("infer_pairs", sql.pairs(
-    "(SELECT * FROM " + sql.indexed(f"(SELECT date_trunc('hour', published_at) AS published_at, grid_id, grid_id % 2 AS control_area_id, {sql.each('floor(max(@) * 9 / 10) AS @')} FROM mobile GROUP BY 1, 2)", "hour", sql.graded, PARAMETERS) + ")",
-    "(SELECT * FROM " + sql.indexed(f"(SELECT date_trunc('hour', published_at) AS published_at, grid_id, {sql.MEANS} FROM mobile WHERE grid_id IN (SELECT p_partkey % 5 FROM part) GROUP BY 1, 2 HAVING count(*) >= 60)", "hour", sql.graded, PARAMETERS) + ")",
+    graded_sql("inferred"), graded_sql("measured"),
     "a.grid_id = b.grid_id AND a.published_at = b.published_at",
-    "a.published_at, a.grid_id, a.control_area_id", "i"), "mobile")
+    "a.published_at, a.grid_id, a.control_area_id", "i"), "inferred", "measured")
 
 
 @query("B11_inference_pairs", sql.with_views("infer_pairs", "SELECT * FROM infer_pairs"))

@@ -340,12 +340,12 @@ view("grid_pairs", pairs(
     "a.grid_id, a.control_area_id, a.forecast_interval, a.published_at"), "forecast_indexed", "dense_indexed")
 
 
-def guarded(value: str) -> str:
-    """Six decimals; null where there is no finite value."""
-    return f"CASE WHEN isfinite({value}) THEN round({value}, 6) END"
+def metrics(s: str = "f", digits: int = 6) -> str:
+    """All score aggregates over pairs; null where there is no finite value."""
 
+    def guarded(value: str) -> str:
+        return f"CASE WHEN isfinite({value}) THEN round({value}, {digits}) END"
 
-def metrics(s: str = "f") -> str:
     out = []
     for p in PARAMETERS:
         f, r = f"CAST({p}{s} AS DOUBLE)", f"CAST({p}r AS DOUBLE)"
