@@ -63,6 +63,7 @@ def canonical(df: DataFrame, feed: Feed) -> DataFrame:
         *[reading(w) for w in WEATHER],
         F.lit(feed.priority).alias("_priority"),
     )
+    # below zero, weather fields of these feeds hold fillers
     return readings.withColumns(
         {w: F.when(F.col(w) >= 0, F.col(w)) for w in WEATHER}
     ).filter(F.coalesce(*PARAMETERS).isNotNull())

@@ -138,3 +138,27 @@ def test_sql_functions_agree_with_columns(spark):
     assert tuple(more) == (5.5, 5.9, 0, 0.0, 100003 * 1000000 + 100002)
     plan = spark.sql("SELECT iaqi_day_o3(id) FROM range(3)")._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def by_hand(v, parameter, scale):
+    knots = BREAKPOINTS[scale][parameter]
+    if v < 0:
+        return 0
+    for lo, hi, i_lo, i_hi in zip(knots, knots[1:], INDEX_LEVELS, INDEX_LEVELS[1:]):
+        if lo <= v <= hi:
+            return math.ceil((i_hi - i_lo) / (hi - lo) * (v - lo) + i_lo)
+    return 500
+
+
+@pytest.mark.parametrize("scale", ["hour", "day"])
+def test_random_concentrations(spark, scale):
+    import random
+
+    rng = random.Random(1)
+    for parameter in PARAMETERS:
+        top = BREAKPOINTS[scale][parameter][-1]
+        numbers = [round(rng.uniform(-0.05, 1.1) * top, rng.choice((0, 1, 3))) for _ in range(400)]
+        got = values(spark, numbers, lambda v: air.iaqi(v, parameter, scale))
+        assert got == [by_hand(float(v), parameter, scale) for v in numbers]
+        rising = [i for _, i in sorted(zip(numbers, got))]
+        assert rising == sorted(rising)
