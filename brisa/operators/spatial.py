@@ -157,10 +157,12 @@ def thin_trajectory(
 ) -> DataFrame:
     """Points where a vehicle enters another grid cell; the first one counts too.
 
+    A point without a position counts, and so does the one after it.
+
     One row per plate and second is kept before (the smallest position of it).
     A vehicle's track is cut into hours, so even a vehicle with most of the
-    points is ranked in many tasks, at most 3600 seconds per plate each; the
-    last cell of an hour is carried to the next hour that has points.
+    points is ranked in many tasks, at most 3600 seconds per plate each; only
+    the first and last points of the hours are then compared across hours.
     """
     clean = first_per_key(
         points.withColumn("published_at", times.floor_second(F.col("published_at"))),
@@ -173,21 +175,19 @@ def thin_trajectory(
             "_bucket": times.floor_hour(F.col("published_at")),
         }
     )
-    # order of a vehicle's points; plates sharing a vehicle name settle ties
-    moment = F.struct("published_at", "plate_num")
-    last_cells = staged.groupBy(vehicle, "_bucket").agg(
-        F.max_by(F.col("_cell"), moment).alias("_last")
-    )
-    carried = last_cells.select(
-        vehicle,
-        "_bucket",
-        F.lag("_last").over(Window.partitionBy(vehicle).orderBy("_bucket")).alias("_carried"),
-    )
-    track = Window.partitionBy(vehicle, "_bucket").orderBy("published_at", "plate_num")
-    compared = staged.join(carried, on=[vehicle, "_bucket"]).withColumn(
-        "_before",
-        F.coalesce(F.lag("_cell").over(track), F.col("_carried"), F.lit(0).cast("bigint")),
-    )
-    return compared.filter(F.col("_cell") != F.col("_before")).drop(
-        "_cell", "_bucket", "_carried", "_before"
+    # plates sharing a vehicle name settle ties
+    order = ["published_at", "plate_num"]
+    here = F.struct("_cell")
+    within = Window.partitionBy(vehicle, "_bucket").orderBy(*order)
+    seen = staged.withColumns(
+        {"_before": F.lag(here).over(within), "_after": F.lead(here).over(within)}
     )
+    stays = F.coalesce(F.col("_cell") == F.col("_before._cell"), F.lit(False))
+    inner = seen.filter(F.col("_before").isNotNull() & ~stays)
+
+    # the first and last points of the hours, at most two per hour and vehicle
+    edges = seen.filter(F.col("_before").isNull() | F.col("_after").isNull())
+    across = F.lag(here).over(Window.partitionBy(vehicle).orderBy(*order))
+    linked = edges.withColumns({"_first": F.col("_before").isNull(), "_before": across})
+    entries = linked.filter(F.col("_first") & ~stays).drop("_first")
+    return inner.unionByName(entries).drop("_cell", "_bucket", "_before", "_after")

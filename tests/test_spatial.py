@@ -118,6 +118,15 @@ def test_thin_trajectory_carries_cells_over_buckets(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_track(rows)
 
 
+def test_points_without_position_are_kept(spark):
+    start = dt.datetime(2024, 3, 1)
+    spots = [103.8, 103.8, None, 103.8, 103.8]
+    rows = [("P", "v", start + dt.timedelta(minutes=25 * i), x, 30.5, 1) for i, x in enumerate(spots)]
+    df = spark.createDataFrame(rows, "plate_num string, name string, published_at timestamp_ntz, lon double, lat double, speed int")
+    got = spatial.thin_trajectory(df).collect()
+    assert sorted((r.published_at - start).seconds // 1500 for r in got) == [0, 2, 3]
+
+
 def test_shift_is_identity_outside_the_box(spark):
     df = spark.createDataFrame([(0.0, 0.0), (140.0, 30.0), (104.0113972, 30.6414861)], "lon double, lat double")
     got = [tuple(r) for r in tracks.shift_positions(df).collect()]
