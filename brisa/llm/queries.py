@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import common, line_dedup, packing, quality_rules
+from brisa.llm import bpe, common, line_dedup, packing, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,17 @@ FROM d JOIN w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN covered USIN
 """
 
 
+@query("op3_bpe_forced_boundaries")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.decode(bpe.encode(common.documents(spark, sf_dir)))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        common.hex_sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        common.hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.verdicts(common.documents(spark, sf_dir))
@@ -97,3 +108,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(common.documents(spark, sf_dir))
     text = F.coalesce(F.col("text"), F.lit(""))
     return kept.select("doc_id", "n_lines", "n_removed", common.hex_sha256(text).alias("kept_sha256"))
+
+
+OP10_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + 12), ' ') AS run
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS i FROM w WHERE len(words) >= 13)
+),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY run) AS least FROM win) WHERE doc_id > least
+),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS p FROM later),
+word AS (
+  SELECT doc_id, p, words[p] AS word FROM (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS p FROM w)
+),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(len(words) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(common.documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", common.hex_sha256(F.col("kept")).alias("kept_sha256"))
