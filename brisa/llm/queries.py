@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import bpe, common, line_dedup, packing, quality_rules, substring
+from brisa.llm import bpe, common, line_dedup, packing, pii, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,6 +71,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir))
 
 
+@query("op6_pii_boosted_candidates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(common.documents(spark, sf_dir))
+    told = lambda c: F.array_join(
+        F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id",
+        *map(count, ("email", "ip", "card", "phone")),
+        common.hex_sha256(told("base")).alias("base_sha256"),
+        told("spans").alias("spans"),
+    )
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 raw AS (
