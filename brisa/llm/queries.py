@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import bpe, common, line_dedup, packing, pii, quality_rules, substring
+from brisa.llm import bpe, common, jaccard, line_dedup, packing, pii, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,3 +154,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(common.documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", common.hex_sha256(F.col("kept")).alias("kept_sha256"))
+
+
+@query("op1_ngram_jaccard")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(common.documents(spark, sf_dir))
