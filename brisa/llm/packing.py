@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -139,12 +140,11 @@ def pack(
     longest: int = LONGEST,
     shortest: int = SHORTEST,
     step_tokens: int = STEP_TOKENS,
-    block: int = 100_000,
 ) -> DataFrame:
     """One row per piece: its document's columns, sequence_id, offset, window (closed length), step.
 
-    `block` pieces of one length are ranked by one task at most (by document number, so that a
-    result does not depend on how the input is split).
+    Pieces of one length are ranked in as many blocks as a block has pieces (by document number, so
+    that a result does not depend on how the input is split).
     """
     spark = docs.sparkSession
     held = stored(pieces(docs, vocabulary, longest), "pieces")
@@ -176,7 +176,7 @@ def pack(
     )
     # rank among pieces of one length: blocks of documents counted first, then rows inside a block
     most = max(counts.values(), default=0)
-    blocks = max(1, -(-most // block))
+    blocks = max(1, math.isqrt(most))
     held = held.withColumn("block", F.pmod(F.xxhash64("place", "start"), F.lit(blocks)).cast("int"))
     sizes = held.groupBy("length", "block").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import bpe, common, jaccard, line_dedup, packing, pii, quality_rules, substring
+from brisa.llm import bpe, common, jaccard, line_dedup, ordermin, packing, pii, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,3 +159,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_jaccard")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(common.documents(spark, sf_dir))
+
+
+@query("op2_order_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.compared(common.documents(spark, sf_dir))
