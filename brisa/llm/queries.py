@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brisa.llm import bpe, common, jaccard, line_dedup, ordermin, packing, pii, quality_rules, substring
+from brisa.llm import bpe, common, jaccard, licences, line_dedup, ordermin, packing, pii, pu_quality, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +86,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_licence_notices")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(common.documents(spark, sf_dir))
+    told = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["line"].cast("string"), s["family"])), ",")
+    return found.select(
+        "doc_id", "n_paragraphs", "n_unconfirmed", F.array_join("families", ",").alias("families"), told.alias("notices")
+    )
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 raw AS (
@@ -164,3 +173,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_order_minhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.compared(common.documents(spark, sf_dir))
+
+
+@query("op9_pu_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
