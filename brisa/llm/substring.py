@@ -8,9 +8,10 @@ there is a shift below 7 that brings both into the cover.  Two equal windows at
 hold an equal run of 7 words that starts, in both documents, at a cover position: an anchor.
 
 1. Each document hashes the 7-word runs at cover positions only, three in seven, and the hashes
-   meet by bucket.  Those that a second document holds are sent back to their documents.
-2. Each anchor that came back is extended: the up to seven windows around it are hashed to 128
-   bits and meet by bucket with their document.  All but the smallest document of a window hear
+   meet by bucket.  Those that a second document holds are sent back to their documents.  Five
+   bytes of a hash are sent: buckets grow with the input, and a chance hit only costs a look.
+2. Each anchor that came back is extended: the up to seven windows around it are hashed to 96
+   bits, besides those of the bucket, and meet by bucket with their document.  All but the smallest document of a window hear
    which of their places it covers.
 3. Documents drop the covered words.
 
@@ -38,6 +39,8 @@ from brisa.llm.common import WordHashes, partitions, texts, windows, words_of
 WIDTH, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WIDTH - PERIOD + 1
 CHUNK_BYTES, BUCKET_ENTRIES = 6_000_000, 1_500_000
+#: Bytes that are sent of the hashes of anchors and of windows; the bucket tells the highest bits.
+ANCHOR_BYTES, WINDOW_BYTES, PLACE_BYTES = (5,), (8, 4), (4,)
 #: What travels to a bucket: documents, entries of each, hashes, places; `here` marks an answer.
 _SENT = "bucket long, here boolean, docs binary, sizes binary, hashes binary, places binary"
 _ANSWER = "doc_id long, tk long, found binary"
@@ -48,7 +51,9 @@ class Chunk:
 
     def __init__(self, batch: pa.RecordBatch, memory: WordHashes) -> None:
         parts = [words_of(t) for t in batch.column("text").to_pylist()]
-        self.ids = batch.column("doc_id").to_numpy()
+        # without an id there is nothing to match: such a document counts as one without words
+        parts = [[] if i is None else p for i, p in zip(batch.column("doc_id").to_pylist(), parts, strict=True)]
+        self.ids = batch.column("doc_id").fill_null(-1).to_numpy()
         self.keys = batch.column("tk").to_numpy()
         self.sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -93,10 +98,25 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _send(chunk: Chunk, buckets: int, doc: np.ndarray, hashes: np.ndarray, places: np.ndarray | None) -> dict:
+def _packed(values: np.ndarray, sizes: tuple[int, ...]) -> bytes:
+    """The lowest bytes of each column of numbers, column after column."""
+    columns = np.ascontiguousarray(values.T).view(np.uint8).reshape(len(sizes), -1, 8)
+    return b"".join(c[:, :n].tobytes() for c, n in zip(columns, sizes, strict=True))
+
+
+def _unpacked(data: bytes, sizes: tuple[int, ...]) -> np.ndarray:
+    rows = len(data) // sum(sizes)
+    out = np.zeros((len(sizes), rows, 8), np.uint8)
+    at = 0
+    for column, n in zip(out, sizes, strict=True):
+        column[:, :n] = np.frombuffer(data, np.uint8, rows * n, at).reshape(rows, n)
+        at += rows * n
+    return np.ascontiguousarray(out.reshape(len(sizes), -1).view(np.uint64).T)
+
+
+def _send(chunk: Chunk, buckets: int, doc: np.ndarray, hashes: np.ndarray, sizes: tuple[int, ...], places: np.ndarray | None) -> dict:
     """Entries dealt to buckets by hash: one row a bucket, in order of documents."""
-    first = hashes if hashes.ndim == 1 else hashes[:, 0]
-    bucket = (first >> np.uint64(33)) % np.uint64(buckets)
+    bucket = (hashes[:, 0] >> np.uint64(40)) % np.uint64(buckets)
     order = np.lexsort((doc, bucket))
     bucket, doc, hashes = bucket[order], doc[order], hashes[order]
     places = None if places is None else places[order].astype(np.uint32)
@@ -108,23 +128,25 @@ def _send(chunk: Chunk, buckets: int, doc: np.ndarray, hashes: np.ndarray, place
         out["here"].append(False)
         out["docs"].append(np.stack([chunk.ids[own], chunk.keys[own]]).tobytes())
         out["sizes"].append(counts.astype(np.uint32).tobytes())
-        out["hashes"].append(hashes[a:b].tobytes())
+        out["hashes"].append(_packed(hashes[a:b], sizes))
         out["places"].append(b"" if places is None else places[a:b].tobytes())
     return out
 
 
-def _answer(ids: np.ndarray, keys: np.ndarray, doc: np.ndarray, found: np.ndarray) -> tuple[list, list, list]:
+def _answer(ids: np.ndarray, keys: np.ndarray, doc: np.ndarray, found: np.ndarray, size: tuple[int]) -> tuple[list, list, list]:
     """What each document is to hear: (ids, keys, bytes of its `found`)."""
+    found = found.astype(np.uint64)
     order = np.argsort(doc, kind="stable")
     doc, found = doc[order], found[order]
     edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True]) if len(doc) else np.zeros(1, int)
     at = doc[edges[:-1]] if len(doc) else doc
-    return ids[at].tolist(), keys[at].tolist(), [found[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    data = [_packed(found[a:b, None], size) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return ids[at].tolist(), keys[at].tolist(), data
 
 
-def _own_answer(chunk: Chunk, out: dict, doc: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
+def _own_answer(chunk: Chunk, out: dict, doc: np.ndarray, found: np.ndarray, size: tuple[int]) -> pa.RecordBatch:
     """The rows to send, and what the chunk found by itself, spread over tasks by document."""
-    for i, k, data in zip(*_answer(chunk.ids, chunk.keys, doc, found), strict=True):
+    for i, k, data in zip(*_answer(chunk.ids, chunk.keys, doc, found, size), strict=True):
         out["bucket"].append(-1 - (i % 1_000_003))
         out["here"].append(True)
         out["docs"].append(np.array([i, k], np.int64).tobytes())
@@ -135,7 +157,7 @@ def _own_answer(chunk: Chunk, out: dict, doc: np.ndarray, found: np.ndarray) ->
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
 
 
-def _received(table: pa.Table, columns: int) -> tuple[tuple, tuple]:
+def _received(table: pa.Table, widths: tuple[int, ...]) -> tuple[tuple, tuple]:
     """Answers that pass through, and the entries of a bucket: ids, keys, doc, hashes, places."""
     passed: tuple[list, list, list] = ([], [], [])
     ids, keys, doc, hashes, places = [], [], [], [], []
@@ -150,7 +172,7 @@ def _received(table: pa.Table, columns: int) -> tuple[tuple, tuple]:
         ids.append(own[: len(sizes)])
         keys.append(own[len(sizes) :])
         doc.append(np.repeat(np.arange(known, known + len(sizes)), sizes))
-        hashes.append(np.frombuffer(r["hashes"], np.uint64).reshape(-1, columns))
+        hashes.append(_unpacked(r["hashes"], widths))
         places.append(np.frombuffer(r["places"], np.uint32))
         known += len(sizes)
     if not ids:
@@ -158,15 +180,15 @@ def _received(table: pa.Table, columns: int) -> tuple[tuple, tuple]:
     return passed, tuple(np.concatenate(x) for x in (ids, keys, doc, hashes, places))
 
 
-def _met(rows: DataFrame, columns: int, decide: Callable) -> DataFrame:
+def _met(rows: DataFrame, widths: tuple[int, ...], size: tuple[int], decide: Callable) -> DataFrame:
     """Buckets where entries meet; `decide` picks the entries whose documents get an answer."""
 
     def run(table: pa.Table) -> pa.Table:
-        passed, entries = _received(table, columns)
+        passed, entries = _received(table, widths)
         if entries:
             ids, keys, doc, hashes, places = entries
             chosen, found = decide(ids[doc], hashes, places)
-            for to, x in zip(passed, _answer(ids, keys, doc[chosen], found), strict=True):
+            for to, x in zip(passed, _answer(ids, keys, doc[chosen], found, size), strict=True):
                 to.extend(x)
         return pa.table([pa.array(x, t) for x, t in zip(passed, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "tk", "found"])
 
@@ -200,7 +222,8 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             several = _several(chunk.ids[doc], group, first)
             own = several[group]
             pair = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else own
-            yield _own_answer(chunk, _send(chunk, buckets, doc[first], h[first], None), doc[own & pair], h[own & pair])
+            out = _send(chunk, buckets, doc[first], h[first, None], ANCHOR_BYTES, None)
+            yield _own_answer(chunk, out, doc[own & pair], h[own & pair], ANCHOR_BYTES)
 
     def decide(ids: np.ndarray, hashes: np.ndarray, _: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(hashes[:, 0], kind="stable")
@@ -210,7 +233,7 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
         chosen = order[_several(doc, group, first)[group]]
         return chosen, hashes[chosen, 0]
 
-    return _gathered(_met(rows.mapInArrow(run, _SENT), 1, decide))
+    return _gathered(_met(rows.mapInArrow(run, _SENT), ANCHOR_BYTES, ANCHOR_BYTES, decide))
 
 
 def _repeats(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,9 +257,11 @@ def repeated_places(rows: DataFrame, anchors: DataFrame, buckets: int) -> DataFr
             at, h = chunk.anchors(), chunk.hashes(ANCHOR)
             flag = np.zeros(len(chunk.words) + 1, np.int64)
             edges = np.searchsorted(at, np.r_[chunk.starts, len(chunk.words)])
+            low = np.uint64(2 ** (8 * ANCHOR_BYTES[0]) - 1)
             for d, found in enumerate(batch.column("found").to_pylist()):
-                own = at[edges[d] : edges[d + 1]]
-                flag[own[np.isin(h[own], np.frombuffer(b"".join(found), np.uint64))]] = 1
+                if found:
+                    own = at[edges[d] : edges[d + 1]]
+                    flag[own[np.isin(h[own] & low, _unpacked(b"".join(found), ANCHOR_BYTES)[:, 0])]] = 1
             # a window is looked at if one of its seven possible anchors came back
             seen = np.cumsum(np.r_[0, flag])
             last = np.minimum(np.arange(len(chunk.words)) + PERIOD, len(flag))
@@ -245,23 +270,23 @@ def repeated_places(rows: DataFrame, anchors: DataFrame, buckets: int) -> DataFr
             both = np.stack([chunk.hashes(WIDTH, 1)[at], chunk.hashes(WIDTH, 2)[at]], axis=1)
             doc = chunk.doc[at]
             later, least = _repeats(chunk.ids[doc], both)
-            out = _send(chunk, buckets, doc[least], both[least], chunk.place[at][least])
-            yield _own_answer(chunk, out, doc[later], chunk.place[at][later].astype(np.uint32))
+            out = _send(chunk, buckets, doc[least], both[least], WINDOW_BYTES, chunk.place[at][least])
+            yield _own_answer(chunk, out, doc[later], chunk.place[at][later], PLACE_BYTES)
 
     def decide(ids: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         later, _ = _repeats(ids, hashes)
         chosen = np.flatnonzero(later)
         return chosen, places[chosen]
 
-    met = rows.join(anchors, ["doc_id", "tk"]).mapInArrow(run, _SENT)
-    return _gathered(_met(met, 2, decide))
+    # a left join, as the last step has it: both then read one shuffle of the texts
+    met = rows.join(anchors, ["doc_id", "tk"], "left").mapInArrow(run, _SENT)
+    return _gathered(_met(met, WINDOW_BYTES, PLACE_BYTES, decide))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): per row, the words that stay, joined by one space."""
     spark = docs.sparkSession
-    everything = texts(docs).select("doc_id", F.xxhash64("text").alias("tk"), "text")
-    rows = everything.where("doc_id is not null")
+    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("tk"), "text")
     size = docs.agg(F.sum(F.octet_length(docs["text"].cast("string")))).first()[0] or 0
     # six bytes a word or more, three anchors in seven words
     buckets = max(partitions(spark), -(-size // (14 * BUCKET_ENTRIES)))
@@ -288,6 +313,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    return everything.join(answers, ["doc_id", "tk"], "left").mapInArrow(
+    return rows.join(answers, ["doc_id", "tk"], "left").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept string"
     )
