@@ -4,8 +4,9 @@
    is left over is one more piece.  Pieces carry their place and a checksum, not their ids.
 2. Every piece goes to the smallest tier (a power of two) that holds it.  Tiers are packed from
    the longest to the shortest: the gap of a window is filled by the largest piece that fits,
-   first of its own tier, then of shorter ones.  A window that ends short is closed at the
-   smallest power of two that holds its pieces.
+   first of its own tier, then of shorter ones.  A window of a shorter tier is closed when it is
+   exactly full; else it is opened to the next longer tier and filled on.  So only windows of the
+   longest tier are ever padded, and those by less than the shortest piece that is left.
 3. Only the number of pieces of each length decides the layout, so the plan is made from a table
    of at most `longest` counts, whatever the size of the corpus; runs of equal windows are one
    line of the plan.  Each piece finds its slot by its rank among pieces of its length, and ranks
@@ -108,20 +109,24 @@ def plan(counts: dict[int, int], longest: int = LONGEST, shortest: int = SHORTES
         if not left[length]:
             sizes.pop(bisect.bisect_left(sizes, length))
 
-    for upper in tiers(longest, shortest):
-        while sizes and (sizes[-1] > upper // 2 or upper == tiers(longest, shortest)[-1]):
-            window = [sizes[-1]]
-            gap, used = upper - sizes[-1], {sizes[-1]: 1}
+    levels = tiers(longest, shortest)
+    for upper in levels:
+        while sizes and (sizes[-1] > upper // 2 or upper == levels[-1]):
+            window, used, level = [sizes[-1]], {sizes[-1]: 1}, upper
+            gap = level - sizes[-1]
             while gap:
                 # the largest length that fits and is not used up within this window
                 k = bisect.bisect_right(sizes, gap) - 1
                 while k >= 0 and left[sizes[k]] <= used.get(sizes[k], 0):
                     k -= 1
-                if k < 0:
+                if k >= 0:
+                    window.append(sizes[k])
+                    used[sizes[k]] = used.get(sizes[k], 0) + 1
+                    gap -= sizes[k]
+                elif level < longest:
+                    gap, level = gap + level, 2 * level
+                else:
                     break
-                window.append(sizes[k])
-                used[sizes[k]] = used.get(sizes[k], 0) + 1
-                gap -= sizes[k]
             times = min(left[length] // n for length, n in used.items())
             out.append((tuple(window), times))
             for length, n in used.items():
@@ -130,8 +135,8 @@ def plan(counts: dict[int, int], longest: int = LONGEST, shortest: int = SHORTES
 
 
 def closed(filled: int, longest: int = LONGEST) -> int:
-    """The length a window is closed at: the smallest power of two that holds it."""
-    return min(longest, 1 << max(0, filled - 1).bit_length())
+    """The length of a window: what it holds if that is a power of two, else the longest."""
+    return filled if filled & (filled - 1) == 0 else longest
 
 
 def pack(

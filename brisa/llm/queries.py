@@ -23,30 +23,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-OP4_SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
-w8 AS (
-  SELECT doc_id, i, list_slice(words, i, i + 7) AS win
-  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 7)) AS i FROM w WHERE len(words) >= 8)
-),
-again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM w8) WHERE c > 1),
-covered AS (
-  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM again) GROUP BY doc_id
-),
-lines AS (
-  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
-  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-),
-dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
-  CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
-  CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
-  CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
-  CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
-  (len(words) < 20 OR 100 * coalesce(covered.n, 0) > 30 * len(words)) AS base_failed
-FROM d JOIN w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)
-"""
 
 
 @query("op3_bpe_forced_boundaries")
