@@ -19,6 +19,8 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,13 +33,15 @@ from brisa.llm.common import slices, texts
 
 END = "</w>"
 _NONE = 1 << 60
-#: The vocabulary's rule for words, and its white space, for texts of settled characters: those
-#: that are composed, and of one class in every version of Unicode.  Any other text is brought to
-#: form and split by the library's own normaliser, whose tables the results must follow.
-_SETTLED = regex.compile("[\x00-ɏ‐-‧‰-⁞€]*")
-_SPACE = r"\t-\r \x85\xA0"
-_SPACES = regex.compile(rf"[{_SPACE}]+")
-_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+#: Texts of settled characters only: those that are composed, and of one class in every version of
+#: Unicode.  For them the vocabulary's rule for words is the pattern below, in which white space only
+#: separates.  Any other text is brought to form and split by the library's own normaliser, whose
+#: tables the results must follow.
+_SETTLED = re.compile("[\x00-\u024F\u2010-\u2027\u2030-\u205E\u20AC]*")
+_NUMBERS = "0-9\xB2\xB3\xB9\xBC-\xBE"
+_SPLIT = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[^\W_{_NUMBERS}]+|[{_NUMBERS}]|(?:[^\w\t-\r \x85\xA0]|_)+"
+)
 
 
 def default_vocabulary() -> str:
@@ -75,93 +79,92 @@ class Remembered(dict):
 
 
 class Vocabulary:
+    """Symbols are ids; a pair of ids is looked up as one number, a << 16 | b."""
+
     def __init__(self, path: str, remember: int = 300_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.ids: dict[str, int] = spec["model"]["vocab"]
+        ids: dict[str, int] = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
-        self.ranks = {tuple(pair): r for r, pair in enumerate(spec["model"]["merges"])}
-        self.letters = byte_letters()
-        self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.inside, self.at_end = self.joinable(self.ids)
+        self.tokens = {i: t for t, i in [*ids.items(), *self.special.items()]}
+        # rank first, so that the least entry is the next merge; the id that it makes below
+        self.merges = {
+            ids[a] << 16 | ids[b]: rank << 16 | ids[a + b] for rank, (a, b) in enumerate(spec["model"]["merges"])
+        }
+        letters = byte_letters()
+        self.inner_id, self.end_id = [ids[c] for c in letters], [ids[c + END] for c in letters]
+        self.inside, self.at_end = joinable(ids, letters)
+        special = sorted(self.special, key=len, reverse=True)
+        self.special_split = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
         self.library = Tokenizer.from_file(path)
         self.remembered = Remembered(self.word, remember)
 
-    @staticmethod
-    def joinable(tokens: Iterable[str]) -> tuple[set[str], set[str]]:
-        """Pairs of letters that some token holds side by side: inside it, and before a word end."""
-        inside, at_end = set(), set()
-        for token in tokens:
-            ends = token.endswith(END) and len(token) > len(END)
-            body = token.removesuffix(END) if ends else token
-            pairs = [body[i : i + 2] for i in range(len(body) - 1)]
-            if ends and pairs:
-                at_end.add(pairs.pop())
-            inside.update(pairs)
-        return inside, at_end
-
-    def fragments(self, word: str) -> list[list[str]]:
+    def fragments(self, piece: bytes) -> list[list[int]]:
         """The word's symbols, cut where no merge can reach across."""
-        out, part = [], [word[0]]
-        last = len(word) - 1
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in (self.at_end if i == last else self.inside):
+        out, inside, last = [], self.inside, len(piece) - 1
+        part = [self.inner_id[piece[0]]] if last else []
+        for i in range(1, last):
+            if (piece[i - 1] << 8 | piece[i]) not in inside:
                 out.append(part)
                 part = []
-            part.append(word[i])
-        part[-1] += END
+            part.append(self.inner_id[piece[i]])
+        if last and (piece[-2] << 8 | piece[-1]) not in self.at_end:
+            out.append(part)
+            part = []
+        part.append(self.end_id[piece[-1]])
         out.append(part)
         return out
 
-    def merged(self, symbols: list[str]) -> list[str]:
+    def merged(self, symbols: list[int]) -> list[int]:
         """Merge the pair of lowest rank, leftmost first, until no pair has a rank."""
         if len(symbols) > 40:
             return self.merged_long(symbols)
-        rank = lambda i: self.ranks.get((symbols[i], symbols[i + 1]), _NONE)
-        order = [rank(i) for i in range(len(symbols) - 1)]
+        get = self.merges.get
+        order = [get(a << 16 | b, _NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
         while order and (least := min(order)) < _NONE:
             i = order.index(least)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            made = least & 0xFFFF
+            symbols[i : i + 2] = [made]
             del order[i]
             if i:
-                order[i - 1] = rank(i - 1)
+                order[i - 1] = get(symbols[i - 1] << 16 | made, _NONE)
             if i < len(order):
-                order[i] = rank(i)
+                order[i] = get(made << 16 | symbols[i + 1], _NONE)
         return symbols
 
-    def merged_long(self, symbols: list[str]) -> list[str]:
+    def merged_long(self, symbols: list[int]) -> list[int]:
         """The same for long fragments, with a queue of pairs instead of repeated scans."""
-        n, ranks = len(symbols), self.ranks
+        n, get = len(symbols), self.merges.get
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        at: list[str | None] = list(symbols)
-        queue = [(ranks[p], i, *p) for i in range(n - 1) if (p := (symbols[i], symbols[i + 1])) in ranks]
+        at = list(symbols)
+        queue = [(m, i, at[i], at[i + 1]) for i in range(n - 1) if (m := get(at[i] << 16 | at[i + 1]))]
         heapq.heapify(queue)
         while queue:
-            _, i, a, b = heapq.heappop(queue)
+            m, i, a, b = heapq.heappop(queue)
             j = after[i]
             if at[i] != a or j < 0 or at[j] != b:
                 continue
-            at[i], at[j] = a + b, None
+            at[i], at[j] = m & 0xFFFF, -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if (p := (at[i], at[k])) in ranks:
-                    heapq.heappush(queue, (ranks[p], i, *p))
-            if (k := before[i]) >= 0 and (p := (at[k], at[i])) in ranks:
-                heapq.heappush(queue, (ranks[p], k, *p))
-        return [s for s in at if s is not None]
+                if m := get(at[i] << 16 | at[k]):
+                    heapq.heappush(queue, (m, i, at[i], at[k]))
+            if (k := before[i]) >= 0 and (m := get(at[k] << 16 | at[i])):
+                heapq.heappush(queue, (m, k, at[k], at[i]))
+        return [s for s in at if s >= 0]
 
     def word(self, piece: str) -> bytes:
         """The ids of one word as 32-bit integers."""
-        symbols = "".join([self.letters[b] for b in piece.encode()])
-        ids = [self.ids[s] for part in self.fragments(symbols) for s in self.merged(part)]
-        return np.array(ids, "<i4").tobytes()
+        out = array("i")
+        for part in self.fragments(piece.encode()):
+            out.extend(self.merged(part))
+        return out.tobytes()
 
     def split(self, text: str) -> list[str]:
         """The words of a text without special tokens, in the vocabulary's form."""
         if _SETTLED.fullmatch(text):
-            return _SPLIT.findall(_SPACES.sub(" ", text).lower())
+            return _SPLIT.findall(text.lower())
         form = self.library.normalizer.normalize_str(text)
         return [w for w, _ in self.library.pre_tokenizer[0].pre_tokenize_str(form)]
 
@@ -170,7 +173,7 @@ class Vocabulary:
         out = []
         for part in self.special_split.split(text) if "<|" in text else (text,):
             if part in self.special:
-                out.append(np.array([self.special[part]], "<i4").tobytes())
+                out.append(array("i", [self.special[part]]).tobytes())
             else:
                 out += map(self.remembered.__getitem__, self.split(part))
         return np.frombuffer(b"".join(out), "<i4")
@@ -179,6 +182,20 @@ class Vocabulary:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+def joinable(tokens: Iterable[str], letters: list[str]) -> tuple[set[int], set[int]]:
+    """Pairs of bytes (a << 8 | b) that some token holds side by side: inside it, and before a word end."""
+    byte = {c: b for b, c in enumerate(letters)}
+    inside, at_end = set(), set()
+    for token in tokens:
+        ends = token.endswith(END) and len(token) > len(END)
+        body = [byte[c] for c in (token.removesuffix(END) if ends else token)] if token != END else []
+        pairs = [a << 8 | b for a, b in zip(body, body[1:], strict=False)]
+        if ends and pairs:
+            at_end.add(pairs.pop())
+        inside.update(pairs)
+    return inside, at_end
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -207,7 +224,9 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in slices(batches):
-            text = [words.decode(ids or ()) for ids in batch.column("ids").to_pylist()]
+            ids = batch.column("ids")
+            flat, cuts = ids.values.to_numpy(), ids.offsets.to_pylist()
+            text = [words.decode(flat[a:b].tolist()) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("ids"), pa.array(text, pa.string())], ["doc_id", "ids", "decoded"]
             )
