@@ -44,14 +44,18 @@ def iaqi_sql(v: str, parameter: str, scale: str = "hour") -> str:
     return f"(CASE {' '.join(arms)} WHEN {v} IS NOT NULL THEN {INDEX_LEVELS[-1]}L END)"
 
 
-def graded_iaqi_sql(v: str, parameter: str, scale: str = "hour") -> str:
-    """Sub-index that grades only inside the standard's own range.
+def graded_iaqi_sql(v: str, parameter: str, scale: str = "hour", above: str = "table") -> str:
+    """Sub-index of district products and scores; the slope is divided last.
 
-    Differs from :func:`iaqi` in two ways: the slope is divided last, and a
-    concentration outside the graded range gives null instead of 0 or 500.
+    Below zero it is null.  ``above`` says what a concentration gives that is
+    higher than the range the standard grades on this scale: ``table`` goes on
+    with the breakpoints and ends at 500, so a high reading never lowers a
+    grade; ``null`` grades nothing there.
     """
-    limit = GRADED_LIMIT[scale].get(parameter, BREAKPOINTS[scale][parameter][-1])
-    arms = [f"WHEN {v} < 0D OR {v} > {limit}D THEN NULL"]
+    top = BREAKPOINTS[scale][parameter][-1]
+    limit = top if above == "table" else GRADED_LIMIT[scale].get(parameter, top)
+    beyond = f"{INDEX_LEVELS[-1]}L" if above == "table" else "NULL"
+    arms = [f"WHEN {v} < 0D THEN NULL WHEN {v} > {limit}D THEN {beyond}"]
     for c_low, c_high, i_low, i_high in segments(parameter, scale):
         if c_low >= limit:
             break

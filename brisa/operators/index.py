@@ -56,10 +56,12 @@ def presence_flags(df: DataFrame) -> DataFrame:
 def steady_mean(value: str) -> Column:
     """Mean that does not depend on the order in which rows are added.
 
-    Values are summed in whole millionths, which doubles add without error, so
-    a retried or differently partitioned run publishes the same numbers.
+    Values are summed and divided as decimals of 18 places, without error up to
+    1e20, so a retried or differently partitioned run publishes the same numbers
+    and a mean that ends in a five is rounded as such.
     """
-    return F.expr(f"try_divide(sum(rint({value} * 1e6D)), count({value}) * 1e6D)")
+    total = f"try_sum(CAST({value} AS DECIMAL(38, 18)))"
+    return F.expr(f"CAST(try_divide({total}, CAST(count({value}) AS DECIMAL(20, 0))) AS DOUBLE)")
 
 
 def parameter_means() -> list[Column]:

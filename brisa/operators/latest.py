@@ -27,6 +27,13 @@ def latest_per_key(
     return first_per_key(df, keys, order)
 
 
+def settling(df: DataFrame, first: Iterable[str], known: Iterable[str]) -> list[str]:
+    """``first``, then every other column that can be ordered, so that no tie is left to arrival."""
+    first = list(first)
+    taken = {*first, *known}
+    return first + [c for c, t in df.dtypes if c not in taken and "map<" not in t and t != "variant"]
+
+
 def merge_latest(
     target: DataFrame,
     updates: DataFrame,
@@ -37,16 +44,21 @@ def merge_latest(
     """Target after a keyed upsert, as a new DataFrame.
 
     An update replaces the stored row unless the stored one is newer, whatever
-    order they arrive in.  With ``update_cols`` only those columns (and the
-    time) change on rows that exist already; new keys are inserted whole.
+    order they arrive in.  Updates of one key and time are settled by their
+    other columns, larger values first.  A stored row without a time is the
+    oldest of all.  With ``update_cols`` only those columns (and the time)
+    change on rows that exist already; new keys are inserted whole, and ties
+    look at those columns first.
     """
     if update_cols is None:
         both = target.withColumn("_new", F.lit(0)).unionByName(
             updates.select(*target.columns).withColumn("_new", F.lit(1))
         )
-        return latest_per_key(both, keys, ts, ties=["_new"]).drop("_new")
+        ties = settling(both, ["_new"], [*keys, ts])
+        return latest_per_key(both, keys, ts, ties=ties).drop("_new")
 
-    fresh = latest_per_key(updates, keys, ts, ties=update_cols)
+    updates = updates.select(*target.columns)
+    fresh = latest_per_key(updates, keys, ts, ties=settling(updates, update_cols, [*keys, ts]))
     fresh = fresh.select(
         *keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_u")
     )
@@ -54,7 +66,9 @@ def merge_latest(
         *keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_t")
     )
     stored, update = F.col("_t"), F.col("_u")
-    newer = update.isNotNull() & (stored.isNull() | (update[ts] >= stored[ts]))
+    newer = update.isNotNull() & (
+        stored.isNull() | stored[ts].isNull() | F.coalesce(update[ts] >= stored[ts], F.lit(False))
+    )
     changing = {*update_cols, ts}
     out = []
     for c in target.columns:

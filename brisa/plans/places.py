@@ -326,22 +326,26 @@ sql.view("track_cells", """
 
 
 @query("B19_load_track", sql.with_views("track_cells", _shift_sql(f"""
-  (SELECT tvoc_time, tvoc, methyl_mercaptan, grid_id, lon, lat FROM
-    (SELECT DISTINCT strftime(ts, '%Y-%m-%d %H:%M:%S') AS tvoc_time, {sql.place('event_id')},
-       floor(value) AS tvoc, CAST(user_id AS DOUBLE) AS methyl_mercaptan FROM events) p
+  (SELECT p.*, grid_id FROM
+    (SELECT DISTINCT strftime(ts, '%Y-%m-%d %H:%M:%S') AS tvoc_time, {sql.place('event_id')}, {', '.join(
+       f"CASE WHEN event_id % 11 <> {n % 11} THEN CAST(floor(value) + {n} AS DOUBLE) END AS {c}"
+       for n, c in enumerate(VOC_TRACK_COLUMNS[3:]))} FROM events) p
    JOIN track_cells c ON p.lon BETWEEN min_lon AND max_lon AND p.lat BETWEEN min_lat AND max_lat)""",
-    "tvoc_time, tvoc, methyl_mercaptan, grid_id")))
+    ", ".join(["tvoc_time", *VOC_TRACK_COLUMNS[3:], "grid_id"]))))
 def load_track(spark, sf):
     """Track lines written as delimited text with a local encoding and read back."""
     lon, lat = adapters.positions(F.col("event_id"))
     lines = adapters.table(spark, sf, "events").select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("tvoc_time"),
         lon.alias("lon"), lat.alias("lat"),
-        F.floor("value").alias("tvoc"), F.col("user_id").alias("methyl_mercaptan"),
+        *[
+            F.when(F.col("event_id") % 11 != n % 11, F.floor("value") + n).alias(c)
+            for n, c in enumerate(VOC_TRACK_COLUMNS[3:])
+        ],
     )
     path = shared_dir(spark, "track")
     write_csv(lines, path, sep=";", encoding="GBK", header=False)
-    read = read_delimited(spark, path, VOC_TRACK_COLUMNS[:5])
+    read = read_delimited(spark, path, VOC_TRACK_COLUMNS)
     return tracks.load_track(read, track_cells(spark, sf), 0.1)
 
 

@@ -47,6 +47,11 @@ def item_feed(spark, sf):
         text(r["co"]).alias("co"),
         text(r["no2"]).alias("no2"),
         text(r["so2"]).alias("so2"),
+        (F.col("l_quantity") - 3).cast("int").cast("string").alias("temperature"),
+        F.when(line == 4, "-").otherwise(text(F.col("l_tax") * 1000)).alias("humidity"),
+        text(F.col("l_partkey") % 360).alias("wind_direction"),
+        F.when(line == 2, EM_DASH).otherwise(text(line)).alias("wind_power"),
+        F.concat(text(F.col("l_suppkey") + 900), F.lit(".5")).alias("pressure"),
     )
 
 
@@ -98,29 +103,35 @@ sql.view("station_tags", """
     LEFT JOIN (SELECT DISTINCT p_partkey % 125 AS grid_id_two FROM part WHERE p_partkey % 125 >= 100) ON grid_id_two = g2
     CROSS JOIN (VALUES ('A'), ('E')) v(code)""")
 
+WEATHER_NAMES = ", ".join(hourly.WEATHER)
+
 sql.view("feeds", f"""
   SELECT 'A' || l_suppkey AS station_code, l_shipdate + to_hours(CAST(l_orderkey % 24 + 1 AS INTEGER)) AS published_at,
     CASE WHEN l_linenumber <> 7 THEN pm2_5 END AS pm2_5, CASE WHEN l_linenumber <> 6 THEN pm10 END AS pm10,
-    CASE WHEN l_linenumber <> 5 THEN o3 END AS o3, nullif(co, 0) AS co, no2, nullif(so2, 0) AS so2, 0 AS prio
+    CASE WHEN l_linenumber <> 5 THEN o3 END AS o3, nullif(co, 0) AS co, no2, nullif(so2, 0) AS so2, 0 AS prio,
+    CASE WHEN l_quantity > 3 THEN l_quantity - 3 END AS temperature,
+    CASE WHEN l_linenumber <> 4 THEN CAST(nullif(floor(l_tax * 1000), 0) AS DOUBLE) END AS humidity,
+    CAST(nullif(l_partkey % 360, 0) AS DOUBLE) AS wind_direction, CASE WHEN l_linenumber <> 2 THEN CAST(l_linenumber AS DOUBLE) END AS wind_power,
+    l_suppkey + 900.5::DOUBLE AS pressure
   FROM (SELECT *, {sql.READINGS} FROM lineitem)
   UNION ALL
   SELECT 'E' || user_id, published_at, pm2_5 / 1000 * 1000.0::DOUBLE, pm10 / 1000 * 1000.0::DOUBLE, o3 / 1000 * 1000.0::DOUBLE,
-    co, no2 / 1000 * 1000.0::DOUBLE, so2 / 1000 * 1000.0::DOUBLE, 1
+    co, no2 / 1000 * 1000.0::DOUBLE, so2 / 1000 * 1000.0::DOUBLE, 1, NULL, NULL, NULL, NULL, NULL
   FROM (SELECT user_id, published_at, {sql.PIVOT} FROM eav GROUP BY user_id, published_at)""", "eav")
 
 sql.view("clean_hour", f"""
-  SELECT station_code, published_at, station_id, grid_id, grid_id_two, {sql.each('@')} FROM
+  SELECT station_code, published_at, station_id, grid_id, grid_id_two, {sql.each('@')}, {WEATHER_NAMES} FROM
     (SELECT *, row_number() OVER (PARTITION BY station_code, published_at ORDER BY prio,
-       {sql.each('@ DESC NULLS LAST')}) AS rn FROM feeds WHERE coalesce({sql.each('@')}) IS NOT NULL)
+       {sql.each('@ DESC NULLS LAST')}, {', '.join(f'{w} DESC NULLS LAST' for w in hourly.WEATHER)}) AS rn FROM feeds WHERE coalesce({sql.each('@')}) IS NOT NULL)
   JOIN station_tags USING (station_code) WHERE rn = 1""", "feeds", "station_tags")
 
 
 @query("B1_clean_hourly", sql.with_views("clean_hour", f"""
-  SELECT station_code, published_at, station_id, grid_id, grid_id_two, {sql.reports()}, {sql.INDEX_COLUMNS}
+  SELECT station_code, published_at, station_id, grid_id, grid_id_two, {sql.reports()}, {WEATHER_NAMES}, {sql.INDEX_COLUMNS}
   FROM {sql.indexed('clean_hour', 'hour')}"""))
 def clean_hourly(spark, sf):
     feeds = [(item_feed(spark, sf), ITEM_FEED), (code_feed(spark, sf), CODE_FEED)]
-    return flat(hourly.clean_hourly(feeds, station_tags(spark, sf))).drop(*hourly.WEATHER)
+    return flat(hourly.clean_hourly(feeds, station_tags(spark, sf)))
 
 
 @query("B15_station_grid", sql.with_views("station_tags", "SELECT * FROM station_tags"))
@@ -304,11 +315,9 @@ def grid_month(spark, sf):
 
 for _period in ("month", "year"):
 
-    @query(f"B6_area_{_period}", sql.with_views("area_day", sql.period(
-        "(SELECT * FROM area_day WHERE valid IS NOT NULL)", "area_id, source", _period)))
+    @query(f"B6_area_{_period}", sql.with_views("area_day", sql.period("area_day", "area_id, source", _period)))
     def area_period(spark, sf, period=_period):
-        days = area_days(spark, sf).filter(F.col("valid").isNotNull())
-        return flat(rollup.period_rollup(days, ["area_id", "source"], period))
+        return flat(rollup.period_rollup(area_days(spark, sf), ["area_id", "source"], period))
 
 
 # --- B7: districts ------------------------------------------------------------
@@ -319,6 +328,20 @@ def district_hour(spark, sf):
     return flat(rollup.district_rollup(adapters.grid_hours(spark, sf), "hour"))
 
 
+#: Half the cells read far above the last breakpoint of every parameter.
+_ABOVE = sql.each("CASE WHEN grid_id % 2 = 0 THEN @ * 40 ELSE @ END AS @")
+
+for _level in ("hour", "day"):
+
+    @query(f"B7_district_out_of_range_{_level}", sql.with_views("grid_hour", sql.district(
+        f"(SELECT grid_id, control_area_id, published_at, {_ABOVE} FROM grid_hour)", _level)))
+    def district_out_of_range(spark, sf, level=_level):
+        high = adapters.grid_hours(spark, sf).withColumns(
+            {p: F.when(F.col("grid_id") % 2 == 0, F.col(p) * 40).otherwise(F.col(p)) for p in PARAMETERS}
+        )
+        return flat(rollup.district_rollup(high, level))
+
+
 @query("B7_district_day", sql.with_views("district_day", "SELECT * FROM district_day"))
 def district_day(spark, sf):
     return flat(rollup.district_rollup(adapters.grid_days(spark, sf), "day"))
@@ -423,16 +446,18 @@ sql.view("stored", """
     c_mktsegment AS segment, c_acctbal AS amount FROM customer""")
 sql.view("fresh", """
   SELECT * FROM (SELECT o_custkey * 2 AS key, o_orderdate AS seen_at, o_orderpriority AS segment, o_totalprice AS amount FROM orders)
-  QUALIFY row_number() OVER (PARTITION BY key ORDER BY seen_at DESC, amount DESC) = 1""")
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY seen_at DESC, amount DESC, segment DESC) = 1""")
 
 
-@query("B22_merge_latest", sql.with_views("stored fresh", """
-  SELECT key, seen_at, segment, amount FROM (SELECT *, 0 AS n FROM stored UNION ALL SELECT *, 1 FROM fresh)
-  QUALIFY row_number() OVER (PARTITION BY key ORDER BY seen_at DESC, n DESC) = 1"""))
+@query("B22_merge_latest", sql.with_views("stored", """
+  SELECT key, seen_at, segment, amount FROM (SELECT *, 0 AS n FROM stored UNION ALL
+    SELECT o_custkey * 2, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP), o_orderpriority, o_totalprice, 1 FROM orders)
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY seen_at DESC, n DESC, segment DESC, amount DESC) = 1"""))
 def merge_latest(spark, sf):
+    """Updates stamped by month, so that many of a key share a time."""
     target, updates = _stored(spark, sf)
-    unique = latest.latest_per_key(updates, ["key"], "seen_at", ["amount"])
-    return latest.merge_latest(target, unique, ["key"], "seen_at")
+    monthly = updates.withColumn("seen_at", F.date_trunc("month", "seen_at").cast("timestamp_ntz"))
+    return latest.merge_latest(target, monthly, ["key"], "seen_at")
 
 
 @query("S12_merge_some_columns", sql.with_views("stored fresh", """

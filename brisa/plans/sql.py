@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from brisa.params import (
-    BREAKPOINTS, GRADED_LIMIT, INDEX_LEVELS, PARAMETERS, PRIMARY_ORDER,
-)
+from brisa.params import PARAMETERS, PRIMARY_ORDER
+
+# --- fixed values: the standard's own table, stated here again so that the SQL does not lean on the
+# --- values the jobs use: sub-index levels, and the concentration at each of them.
+INDEX_LEVELS = (0, 50, 100, 150, 200, 300, 400, 500)
+BREAKPOINTS = {
+    "hour": {
+        "pm2_5": (0, 35, 75, 115, 150, 250, 350, 500),
+        "pm10": (0, 50, 150, 250, 350, 420, 500, 600),
+        "o3": (0, 160, 200, 300, 400, 800, 1000, 1200),
+        "co": (0, 5, 10, 35, 60, 90, 120, 150),
+        "no2": (0, 100, 200, 700, 1200, 2340, 3090, 3840),
+        "so2": (0, 150, 500, 650, 800, 1600, 2100, 2620),
+    },
+    "day": {
+        "pm2_5": (0, 35, 75, 115, 150, 250, 350, 500),
+        "pm10": (0, 50, 150, 250, 350, 420, 500, 600),
+        "o3": (0, 100, 160, 215, 265, 800, 1000, 1200),
+        "co": (0, 2, 4, 14, 24, 36, 48, 60),
+        "no2": (0, 40, 80, 180, 280, 565, 750, 940),
+        "so2": (0, 50, 150, 475, 800, 1600, 2100, 2620),
+    },
+}
 
 # --- arithmetic ---------------------------------------------------------------
 
@@ -26,17 +46,12 @@ def iaqi(v: str, p: str, scale: str) -> str:
 
 def graded(v: str, p: str, scale: str) -> str:
     c, i = BREAKPOINTS[scale][p], INDEX_LEVELS
-    limit = GRADED_LIMIT[scale].get(p, c[-1])
-    arms = ""
-    for n in range(7):
-        if c[n] >= limit:
-            break
-        op = "<=" if c[n + 1] == limit else "<"
-        arms += (
-            f" WHEN {v} {op} {c[n + 1]} THEN ceil({i[n + 1] - i[n]}::DOUBLE * ({v} - {c[n]})"
-            f" / {c[n + 1] - c[n]} + {i[n]})"
-        )
-    return f"CAST(CASE WHEN {v} IS NULL OR {v} < 0 OR {v} > {limit} THEN NULL{arms} END AS BIGINT)"
+    arms = "".join(
+        f" WHEN {v} {'<=' if n == 6 else '<'} {c[n + 1]} THEN ceil({i[n + 1] - i[n]}::DOUBLE * ({v} - {c[n]})"
+        f" / {c[n + 1] - c[n]} + {i[n]})"
+        for n in range(7)
+    )
+    return f"CAST(CASE WHEN {v} IS NULL OR {v} < 0 THEN NULL{arms} ELSE 500 END AS BIGINT)"
 
 
 def grade(a: str) -> str:
@@ -116,7 +131,9 @@ view("obs", f"""
     l_shipdate + to_hours(CAST(l_orderkey % 24 + 1 AS INTEGER)) AS published_at, {READINGS}
   FROM lineitem""")
 
-MEANS = each("sum(round(@ * 1e6)) / (count(@) * 1e6) AS @")
+MEANS = each("avg(@) AS @")
+# published values have one decimal at most; added as such, a mean that ends in a five is met exactly
+PUBLISHED_MEANS = each("avg(CAST(@ AS DECIMAL(18, 6))) AS @")
 
 
 def hour_means(keys: str, source: str = "obs") -> str:
@@ -150,7 +167,7 @@ view("sensor_hour",
 def day_profile(keys: str, source: str, frame: str = "ROWS") -> str:
     span = "BETWEEN CURRENT ROW AND 7 FOLLOWING"
     five = ", ".join(
-        f"sum(round({p} * 1e6)) / (count({p}) * 1e6) AS {p}" for p in PARAMETERS if p != "o3"
+        f"avg({p}) AS {p}" for p in PARAMETERS if p != "o3"
     )
     hours = each("count(@) AS @_hours")
     return f"""
@@ -224,7 +241,7 @@ COMPREHENSIVE = decimal_round(
 def period(source: str, keys: str, name: str) -> str:
     counts = each("count(@) AS @_days")
     flags = each(f"CAST(@_days >= {PERIOD_NEED[name]} AS INTEGER) AS @_flag")
-    inner = f"""(SELECT {keys}, {PERIOD_KEYS[name]}, {MEANS}, {counts},
+    inner = f"""(SELECT {keys}, {PERIOD_KEYS[name]}, {PUBLISHED_MEANS}, {counts},
       count(*) FILTER (grade IN (1, 2)) AS std_day_num,
       quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
       FROM (SELECT *, {period_ids(name)} FROM {source}) GROUP BY {keys}, {PERIOD_KEYS[name]})"""
@@ -252,7 +269,7 @@ def district_period(source: str, name: str) -> str:
     counts = each("coalesce(sum(@_flag), 0) AS @_days")
     flags = each(f"CAST(@_days >= {PERIOD_NEED[name]} AS INTEGER) AS @_flag")
     keys = "source, control_area_id"
-    inner = f"""(SELECT * REPLACE ({reports()}) FROM (SELECT {keys}, {PERIOD_KEYS[name]}, {MEANS}, {counts},
+    inner = f"""(SELECT * REPLACE ({reports()}) FROM (SELECT {keys}, {PERIOD_KEYS[name]}, {PUBLISHED_MEANS}, {counts},
       count(*) FILTER (grade IN (1, 2)) AS std_day_num,
       quantile_cont(CAST(o3 AS DOUBLE), 0.9) AS o390, quantile_cont(co, 0.95) AS co95
       FROM (SELECT *, {period_ids(name)} FROM {source}) GROUP BY {keys}, {PERIOD_KEYS[name]}))"""

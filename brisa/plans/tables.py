@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from brisa.params import VOC_TRACK_COLUMNS
 from brisa.plans import adapters, sql
 from brisa.plans.places import track_cells
 from brisa.plans.registry import query
@@ -77,14 +78,22 @@ def csv_with_header(spark, sf):
     )
 
 
-@query("S7_delimited_lines", "SELECT DISTINCT '区' || s_nationkey AS place, CAST(s_nationkey AS VARCHAR) AS code FROM supplier")
+@query("S7_delimited_lines", f"""
+  SELECT '区' || l_returnflag AS tvoc_time, {', '.join(
+      f"CASE WHEN l_linenumber <> {n % 7 + 1} THEN CAST(CAST(l_partkey + {n} AS BIGINT) AS VARCHAR) END AS {c}"
+      for n, c in enumerate(VOC_TRACK_COLUMNS[1:]))} FROM lineitem""")
 def delimited_lines(spark, sf):
+    """All 59 columns of a track file; empty fields are missing."""
     path = shared_dir(spark, "lines")
-    rows = adapters.table(spark, sf, "supplier").select(
-        F.concat(F.lit("区"), F.col("s_nationkey")), F.col("s_nationkey")
+    rows = adapters.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("区"), F.col("l_returnflag")).alias(VOC_TRACK_COLUMNS[0]),
+        *[
+            F.when(F.col("l_linenumber") != n % 7 + 1, F.col("l_partkey") + n).alias(c)
+            for n, c in enumerate(VOC_TRACK_COLUMNS[1:])
+        ],
     )
     files.write_csv(rows, path, sep=";", encoding="GBK", header=False)
-    return files.read_delimited(spark, path, ["place", "code"]).distinct()
+    return files.read_delimited(spark, path, VOC_TRACK_COLUMNS)
 
 
 @query("S17_period_tables", """
@@ -226,9 +235,33 @@ def partition_windows(spark, sf):
 # --- B23: streams -------------------------------------------------------------
 
 
-def _event_stream(spark, sf):
-    schema = adapters.table(spark, sf, "events").schema
-    return streams.file_rows(spark, sf, schema, glob="events.parquet", max_files=1)
+#: Days after which a new landing file begins.
+LANDINGS = ("2024-01-11", "2024-01-21")
+
+
+def _event_stream(spark, sf, again=False):
+    """Events landed as three files one after the other, read as a batch each.
+
+    With ``again`` the last file also brings the events of the first one once more.
+    """
+    events = adapters.table(spark, sf, "events")
+    path = shared_dir(spark, "landing")
+    first, second = (F.lit(day).cast("timestamp_ntz") for day in LANDINGS)
+    ts = F.col("ts")
+    last = events.where(ts >= second)
+    for part in (
+        events.where(ts < first),
+        events.where((ts >= first) & (ts < second)),
+        last.union(events.where(ts < first)) if again else last,
+    ):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return streams.file_rows(spark, path, events.schema, max_files=1)
+
+
+def _batches(spark, started) -> int:
+    """Wait for a drained stream and count the batches that had rows."""
+    started.awaitTermination()
+    return sum(p.numInputRows > 0 for p in started.recentProgress)
 
 
 def _messages(spark, sf):
@@ -278,22 +311,68 @@ def stream_ingest(spark, sf):
     )
 
 
+@query("B23_T5_dimension_refresh", """
+  SELECT 'M' || user_id AS station_code, s_suppkey AS station_id, count(*) AS n FROM
+    (SELECT DISTINCT user_id, date_trunc('second', ts) AS at, ts >= TIMESTAMP '2024-01-11' AS refreshed FROM events)
+  LEFT JOIN supplier ON s_suppkey = user_id AND (refreshed OR s_suppkey % 2 = 0) GROUP BY 1, 2""")
+def dimension_refresh(spark, sf):
+    """Stations with odd numbers are registered after the first batch."""
+    reads = []
+
+    def stations():
+        reads.append(1)
+        known = _stations(spark, sf)
+        return known if len(reads) > 1 else known.where("station_id % 2 = 0")
+
+    target, checkpoint = shared_dir(spark, "refreshed"), shared_dir(spark, "refreshed-checkpoint")
+    jobs.stream_ingest(
+        _messages(spark, sf), stations, lambda: _cells(spark, sf), 0.1, target, checkpoint
+    ).awaitTermination()
+    rows = sinks.read_latest(spark, target, ["station_code", "published_at"], "published_at")
+    return rows.groupBy("station_code", "station_id").agg(F.count("*").alias("n"))
+
+
+@query("B23_T6_rate_limit", """
+  SELECT 3 AS batches, max(n)::BIGINT AS most, sum(n)::BIGINT AS total FROM (SELECT count(*) AS n FROM events
+    GROUP BY CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END)""")
+def rate_limit(spark, sf):
+    """One file a batch at most, though all three are there when the job starts."""
+    target, checkpoint = shared_dir(spark, "limited"), shared_dir(spark, "limited-checkpoint")
+
+    def write(batch, batch_id):
+        sinks.write_batch(batch.select("event_id"), target, batch_id)
+
+    started = (
+        _event_stream(spark, sf).writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(**jobs.DRAIN).start()
+    )
+    batches = _batches(spark, started)
+    sizes = spark.read.parquet(target).groupBy("batch_id").agg(F.count("*").alias("n"))
+    return sizes.agg(F.lit(batches).alias("batches"), F.max("n").alias("most"), F.sum("n").alias("total"))
+
+
 @query("B23_T2_stream_tag_grid", sql.with_views("cells", """
-  SELECT event_id, published_at, publish_date, a.grid_id, b.grid_id AS grid_id_two FROM
-    (SELECT event_id, ts AS published_at, CAST(ts AS DATE) AS publish_date, CAST(event_id % 51 AS DOUBLE) AS lon, CAST(user_id % 51 AS DOUBLE) AS lat FROM events) p
+  SELECT event_id, station_id, published_at, publish_date, a.grid_id, b.grid_id AS grid_id_two FROM
+    (SELECT event_id, user_id AS station_id, date_trunc('hour', ts) AS published_at, CAST(ts AS DATE) AS publish_date,
+       CAST(event_id % 51 AS DOUBLE) AS lon, CAST(user_id % 51 AS DOUBLE) AS lat FROM events
+     QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id DESC) = 1) p
   LEFT JOIN (SELECT * FROM cells WHERE grid_scale = 1) a ON p.lat > a.min_lat AND p.lat <= a.max_lat AND p.lon > a.min_lon AND p.lon <= a.max_lon
   LEFT JOIN (SELECT * FROM cells WHERE grid_scale = 2) b ON p.lat > b.min_lat AND p.lat <= b.max_lat AND p.lon > b.min_lon AND p.lon <= b.max_lon"""))
 def stream_tag_grid(spark, sf):
+    """Every message comes twice, and several of a station fall into one hour."""
     rows = _event_stream(spark, sf).select(
-        "event_id", F.col("ts").alias("published_at"),
+        "event_id", F.col("user_id").alias("station_id"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("published_at"),
         (F.col("event_id") % 51).cast("double").alias("lon"),
         (F.col("user_id") % 51).cast("double").alias("lat"),
-    )
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"),
+    ).drop("delivery")
     target, checkpoint = shared_dir(spark, "tagged"), shared_dir(spark, "tagged-checkpoint")
     jobs.stream_tag_grid(
-        rows, adapters.box_cells(spark, sf), (5.0, 10.0), target, checkpoint
+        rows, lambda: adapters.box_cells(spark, sf), (5.0, 10.0), target, checkpoint
     ).awaitTermination()
-    return spark.read.parquet(target).drop("lon", "lat")
+    keys = ["published_at", "station_id"]
+    return sinks.read_latest(spark, target, keys, "published_at").drop("lon", "lat")
 
 
 @query("B23_T3_stream_last_seen", "SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id")
@@ -337,8 +416,9 @@ def minute_presence(spark, sf):
 
 @query("B23_T7_stream_presence", "SELECT user_id, date_trunc('minute', ts) AS ts, CAST(ts AS DATE) AS publish_date FROM events GROUP BY ALL")
 def stream_presence(spark, sf):
-    rows = _event_stream(spark, sf).select("user_id", "ts")
-    minutes = jobs.minute_presence(rows, "user_id", "ts", late="40 days")
+    """Events that come again ten days late find their state gone, and are dropped as late."""
+    rows = _event_stream(spark, sf, again=True).select("user_id", "ts")
+    minutes = jobs.minute_presence(rows, "user_id", "ts", late="2 days")
     target, checkpoint = shared_dir(spark, "minutes"), shared_dir(spark, "minutes-checkpoint")
     dated = minutes.withColumn("publish_date", F.to_date("ts"))
     jobs.append_stream(dated, ["publish_date"], target, checkpoint).awaitTermination()

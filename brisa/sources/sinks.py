@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.operators.latest import latest_per_key
+from brisa.operators.latest import latest_per_key, settling
 
 
 def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -36,7 +36,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], ts: str) -> DataFrame:
     """Newest row of every key over all batches; the later batch wins equal times."""
     batches = spark.read.parquet(path)
-    return latest_per_key(batches, keys, ts, ties=["batch_id"]).drop("batch_id")
+    ties = settling(batches, ["batch_id"], [*keys, ts])
+    return latest_per_key(batches, keys, ts, ties=ties).drop("batch_id")
 
 
 def compact_batches(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brisa.functions import times
-from brisa.operators.latest import latest_per_key
+from brisa.operators.latest import latest_per_key, settling
 from brisa.operators.spatial import join_boxes, tag_grid
 from brisa.sources import sinks
 
@@ -78,7 +78,8 @@ def stream_ingest(
         tagged = join_boxes(rows, fine, tile, edges="closed_open")
         sinks.write_batch(
             latest_per_key(
-                tagged, ["station_code", "published_at"], "published_at", ties=["data"]
+                tagged, ["station_code", "published_at"], "published_at",
+                ties=settling(tagged, ["data"], ["station_code", "published_at"]),
             ),
             target,
             batch_id,
@@ -89,15 +90,25 @@ def stream_ingest(
 
 def stream_tag_grid(
     rows: DataFrame,
-    cells: DataFrame,
+    cells: Callable[[], DataFrame],
     tiles: tuple[float, float],
     target: str,
     checkpoint: str,
+    keys: Sequence[str] = ("published_at", "station_id"),
     trigger: Mapping = DRAIN,
 ) -> StreamingQuery:
-    """Readings with both cells, by a stream-static join, appended per day."""
-    tagged = tag_grid(rows, cells, tiles).withColumn("publish_date", F.to_date("published_at"))
-    return append_stream(tagged, ["publish_date"], target, checkpoint, trigger)
+    """Readings with both cells, kept once per key: a message that comes again updates its row.
+
+    The cells are read again for every batch.  Read the result with
+    ``sinks.read_latest`` on ``keys``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tagged = tag_grid(batch, cells(), tiles).withColumn("publish_date", F.to_date("published_at"))
+        once = latest_per_key(tagged, keys, "published_at", ties=settling(tagged, [], keys))
+        sinks.write_batch(once, target, batch_id)
+
+    return _each_batch(rows, write, checkpoint, trigger)
 
 
 def stream_last_seen(

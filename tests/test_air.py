@@ -40,9 +40,19 @@ def test_sub_index_rounds_up(spark):
 
 
 def test_graded_sub_index_has_limits(spark):
-    assert values(spark, [800, 801, -1, None], lambda v: air.graded_iaqi(v, "so2", "hour")) == [200, None, None, None]
-    assert values(spark, [800, 801], lambda v: air.graded_iaqi(v, "o3", "day")) == [300, None]
-    assert values(spark, [500, 500.5, 35], lambda v: air.graded_iaqi(v, "pm2_5", "day")) == [500, None, 50]
+    strict = lambda p, scale: lambda v: air.graded_iaqi(v, p, scale, "null")
+    assert values(spark, [800, 801, -1, None], strict("so2", "hour")) == [200, None, None, None]
+    assert values(spark, [800, 801], strict("o3", "day")) == [300, None]
+    assert values(spark, [500, 500.5, 35], strict("pm2_5", "day")) == [500, None, 50]
+
+
+def test_graded_sub_index_never_falls_as_the_reading_rises(spark):
+    assert values(spark, [800, 1600, 2620, 9999, -1, None], lambda v: air.graded_iaqi(v, "so2", "hour")) == [200, 300, 500, 500, None, None]
+    assert values(spark, [800, 1200, 1201], lambda v: air.graded_iaqi(v, "o3", "day")) == [300, 500, 500]
+    assert values(spark, [500, 620], lambda v: air.graded_iaqi(v, "pm2_5", "day")) == [500, 500]
+    for p in PARAMETERS:
+        got = values(spark, range(0, 4200, 7), lambda v, p=p: air.graded_iaqi(v, p, "day"))
+        assert got == sorted(got)
 
 
 def test_grades(spark):
@@ -128,7 +138,7 @@ def test_sql_functions_agree_with_columns(spark):
         " primary_hour(80D, 10D, 10D, 1D, 10D, NULL) AS p,"
         " grade_within_points(2, 40D) AS w, primary_agrees(array('co'), array('co')) AS pa"
     ).first()
-    assert (row.i, row.g, row.a, row.gr, row.p, row.w, row.pa) == (75, None, 107, 3, ["pm2_5"], 1, 1)
+    assert (row.i, row.g, row.a, row.gr, row.p, row.w, row.pa) == (75, 213, 107, 3, ["pm2_5"], 1, 1)
     more = spark.sql(
         "SELECT comprehensive_index(35D, 70D, array(80D), array(4D, NULL), 40D, 60D) AS c,"
         " comprehensive_index(35D, 70D, array(160D, 320D), array(), 40D, 60D) AS d,"

@@ -1,6 +1,8 @@
 """Keyed tables, densification and scores."""
 
 import datetime as dt
+
+import pytest
 import math
 
 from pyspark.sql import functions as F
@@ -39,6 +41,19 @@ def test_merge_of_some_columns(spark):
     assert as_set(merged) == {(1, t(5), 1, 1), (2, t(6), 8, 2), (3, t(1), 7, 7), (4, t(5), 4, 4)}
 
 
+@pytest.mark.parametrize("some", [None, ["a"]])
+def test_merge_does_not_depend_on_the_order_of_rows(spark, some):
+    target = [(1, t(5), 1, 1), (2, None, 2, 2), (3, None, None, 3)]
+    updates = [(1, t(5), 7, 2), (1, t(5), 7, 3), (1, t(5), 6, 9), (2, t(1), 8, 8), (4, None, 1, 1), (4, None, 1, 2), (3, None, 5, 5)]
+    merge = lambda u: as_set(latest.merge_latest(table(spark, target), table(spark, u).repartition(3), ["k"], "at", some))
+    got = {frozenset(merge(u)) for u in (updates, updates[::-1], updates[3:] + updates[:3])}
+    assert len(got) == 1
+    rows = {r[0]: r for r in got.pop()}
+    assert rows[1] == ((1, t(5), 7, 3) if some is None else (1, t(5), 7, 1))
+    assert rows[2] == ((2, t(1), 8, 8) if some is None else (2, t(1), 8, 2))  # no time is the oldest time
+    assert rows[4] == (4, None, 1, 2) and rows[3][2] == 5
+
+
 def test_latest_per_key_with_ties(spark):
     df = table(spark, [(1, t(5), 1, 1), (1, t(5), 2, 0), (1, t(4), 9, 9)])
     assert as_set(latest.latest_per_key(df, ["k"], "at", ["a"])) == {(1, t(5), 2, 0)}

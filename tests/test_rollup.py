@@ -1,6 +1,7 @@
 """Daily, area and period products on small tables."""
 
 import datetime as dt
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,6 +131,14 @@ def test_mean_does_not_depend_on_row_order(spark):
     assert a == b
 
 
+@pytest.mark.parametrize("values", [[1e-7, 2e-7], [9e9] * 1000 + [0.5], [2.0**53, 1.0, 1.0], [None, 3.0], [None]])
+def test_mean_keeps_small_and_large_readings(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    there = [v for v in values if v is not None]
+    want = float(sum(map(Fraction, there)) / len(there)) if there else None
+    assert df.agg(steady_mean("v").alias("m")).first().m == pytest.approx(want, rel=1e-15)
+
+
 def test_index_is_at_least_every_sub_index(spark, sf):
     from brisa.plans import adapters
 

@@ -83,12 +83,15 @@ def test_last_seen_equals_batch(spark, tmp_path):
     assert {(r.station_code, r.published_at.minute) for r in got.collect()} == {("M1", 5), ("M2", 9)}
 
 
-def test_tagged_stream_appends_per_day(spark, tmp_path):
-    land(tmp_path / "in", "1.txt", [message("M1", 1, 1), message("M1", 2, 1, lon=9.0)])
+def test_tagged_stream_keeps_a_key_once(spark, tmp_path):
+    """A message that is delivered again updates its row, in the same batch or a later one."""
+    land(tmp_path / "in", "1.txt", [message("M1", 1, 1), message("M1", 1, 1), message("M1", 2, 1, lon=9.0)])
+    land(tmp_path / "in", "2.txt", [message("M1", 1, 1)])
     _, cells = dims(spark)
     rows = jobs.parse_messages(text_stream(spark, tmp_path / "in"))
-    jobs.stream_tag_grid(rows, cells, (1.0, 1.0), str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
+    keys = ["published_at", "station_code"]
+    jobs.stream_tag_grid(rows, lambda: cells, (1.0, 1.0), str(tmp_path / "out"), str(tmp_path / "checkpoint"), keys).awaitTermination()
+    got = sinks.read_latest(spark, str(tmp_path / "out"), keys, "published_at")
     assert sorted((r.published_at.minute, r.grid_id, str(r.publish_date)) for r in got.collect()) == [
         (1, 7, "2024-03-05"), (2, None, "2024-03-05"),
     ]
