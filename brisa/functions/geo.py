@@ -84,12 +84,13 @@ def shifted_lat_sql(lon: str, lat: str) -> str:
     return _shift_sql(lon, lat, "lat")
 
 
-def grid_index_sql(value: str, low: float, high: float, cells: int) -> str:
+def grid_index_sql(value: str, low: float, high: float, cells: int | str) -> str:
     """1-based cell number of a coordinate along one side of a box."""
-    return f"ceil(({value} - {low!r}D) / {(high - low) / cells!r}D)"
+    step = f"({high - low!r}D / {cells})" if isinstance(cells, str) else f"{(high - low) / cells!r}D"
+    return f"ceil(({value} - {low!r}D) / {step})"
 
 
-def grid_id_sql(lon: str, lat: str, box: str, rows: int, columns: int) -> str:
+def grid_id_sql(lon: str, lat: str, box: str, rows: int | str, columns: int | str) -> str:
     """Arithmetic grid id: ``(row + 100000) * 1000000 + column + 100000``."""
     min_lat, max_lat, min_lon, max_lon = GRID_BOXES[box]
     row = grid_index_sql(lat, min_lat, max_lat, rows)

@@ -13,11 +13,18 @@ def expected_hours(cells: DataFrame, first: Column, last: Column) -> DataFrame:
 
 
 def missing_hours(actual: DataFrame, cells: DataFrame, first: Column, last: Column) -> DataFrame:
-    """The (cell, hour) pairs that have no row."""
+    """The (cell, hour) pairs that have no row.
+
+    Only hours that lack a cell are expanded: they are counted first and read
+    as one list, which has no more entries than the period has hours.
+    """
     present = actual.select(
         "grid_id", times.floor_hour(F.col("published_at")).alias("published_at")
     ).distinct()
-    return expected_hours(cells, first, last).join(
+    lacking = completeness(actual, cells, first, last).filter("complete = 0")
+    hours = lacking.agg(F.array_sort(F.collect_list("published_at"))).scalar()
+    expected = cells.select("grid_id").distinct().withColumn("_hours", hours)
+    return expected.select("grid_id", F.explode("_hours").alias("published_at")).join(
         present, on=["grid_id", "published_at"], how="left_anti"
     )
 

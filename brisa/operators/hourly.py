@@ -85,9 +85,10 @@ def clean_hourly(
         F.col("_priority").asc(),
         *[F.col(c).desc_nulls_last() for c in (*PARAMETERS, *WEATHER)],
     ]
-    unique = first_per_key(merged, ["station_code", "published_at"], order).drop("_priority")
-    tagged = unique.join(station_grid, on="station_code", how="inner")
-    return reported(with_index(tagged, "hour"))
+    # tags first: readings of unknown stations are never ranked or shuffled
+    known = merged.join(station_grid, on="station_code", how="inner")
+    unique = first_per_key(known, ["station_code", "published_at"], order).drop("_priority")
+    return reported(with_index(unique, "hour"))
 
 
 def official_readings(

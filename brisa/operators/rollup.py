@@ -20,6 +20,7 @@ from brisa.params import (
     LAST_EIGHT_HOUR_START,
     MIN_DAYS_PER_FEBRUARY,
     MIN_DAYS_PER_MONTH,
+    MIN_DAYS_PER_WEEK,
     MIN_DAYS_PER_YEAR,
     MIN_HOURS_PER_DAY,
     PARAMETERS,
@@ -193,8 +194,12 @@ def period_columns(period: str) -> dict[str, Column]:
     raise ValueError(f"unknown period: {period}")
 
 
-def days_needed(period: str) -> Column:
-    """Days with a value that make a period valid."""
+def days_needed(period: str, needed: int | None = None) -> Column:
+    """Days with a value that make a period valid; ``needed`` replaces the usual number."""
+    if needed is not None:
+        return F.lit(needed)
+    if period == "week":
+        return F.lit(MIN_DAYS_PER_WEEK)
     if period == "year":
         return F.lit(MIN_DAYS_PER_YEAR)
     if period == "month":
@@ -225,12 +230,14 @@ def _period_aggregates(valid_days: dict[str, str]) -> list[Column]:
     ]
 
 
-def _flags(period: str) -> dict[str, Column]:
-    needed = days_needed(period)
-    return {f"{p}_flag": (F.col(f"_{p}_days") >= needed).cast("int") for p in PARAMETERS}
+def _flags(period: str, needed: int | None = None) -> dict[str, Column]:
+    enough = days_needed(period, needed)
+    return {f"{p}_flag": (F.col(f"_{p}_days") >= enough).cast("int") for p in PARAMETERS}
 
 
-def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
+def period_rollup(
+    day: DataFrame, keys: Sequence[str], period: str, needed: int | None = None
+) -> DataFrame:
     """Week, month, quarter or year product of stations, grid cells or areas.
 
     ``day`` is a daily product (published concentrations and ``grade``), one
@@ -241,7 +248,7 @@ def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame
     grouped = (
         _by_period(day, keys, ids)
         .agg(*_period_aggregates({p: f"count({p})" for p in PARAMETERS}))
-        .withColumns(_flags(period))
+        .withColumns(_flags(period, needed))
         .withColumn("comprehensive_index", air.comprehensive_index())
     )
     dropped = [f"_{p}_days" for p in PARAMETERS]
@@ -251,8 +258,15 @@ def period_rollup(day: DataFrame, keys: Sequence[str], period: str) -> DataFrame
 # --- districts ----------------------------------------------------------------
 
 
-def district_rollup(grid: DataFrame, level: str) -> DataFrame:
-    """Hour or day product of districts: grid means, rounded, then graded."""
+def district_rollup(
+    grid: DataFrame, level: str, districts: Sequence[int] | None = None
+) -> DataFrame:
+    """Hour or day product of districts: grid means, rounded, then graded.
+
+    ``districts`` limits the product to these control areas, such as a ring.
+    """
+    if districts is not None:
+        grid = grid.filter(F.col("control_area_id").isin(*districts))
     means = grid.groupBy("control_area_id", "published_at").agg(*parameter_means())
     product = with_index(reported(means, blank_negative=False), level, air.graded_iaqi, PARAMETERS)
     return presence_flags(product).withColumn("source", F.lit("inference"))

@@ -421,15 +421,36 @@ def index_by_grade(spark, sf):
 def sql_functions(spark, sf):
     """The registered functions in a SQL text; they are inlined like any expression."""
     register(spark)
-    adapters.observations(spark, sf).createOrReplaceTempView("brisa_readings")
     six = ", ".join(PARAMETERS)
     return spark.sql(
         f"""
         SELECT grade(aqi) AS grade, CAST(grade(aqi) = grade(aqi + 15) AS INT) AS agrees,
           count(*) AS n, max(aqi) AS top
-        FROM (SELECT aqi_hour({six}) AS aqi FROM brisa_readings)
+        FROM (SELECT aqi_hour({six}) AS aqi FROM {{readings}})
         GROUP BY 1, 2
-        """
+        """,
+        readings=adapters.observations(spark, sf),
+    )
+
+
+@query("X5_X8_X10_sql_functions", sql.with_views("obs", f"""
+  SELECT l_suppkey, published_at, primary_pollutants, grade AS said,
+    CAST(g = grade OR (g > grade AND coalesce(g = {sql.grade('(aqi + 15)')}, false)) OR (g < grade AND coalesce(g = {sql.grade('(aqi - 15)')}, false)) AS INTEGER) AS by_points,
+    CAST(g = grade OR (g > grade AND g = {sql.grade('ceil(aqi * 1.25::DOUBLE)')}) OR (g < grade AND g = {sql.grade('ceil(aqi * 0.75::DOUBLE)')}) AS INTEGER) AS by_share,
+    CASE l_linenumber % 3 WHEN 0 THEN 'pm2_5,o3' WHEN 1 THEN 'no2' ELSE '' END AS codes
+  FROM (SELECT *, CAST(l_linenumber % 6 + 1 AS INTEGER) AS g FROM {sql.indexed('obs', 'hour', sql.graded, PARAMETERS)})"""))
+def more_sql_functions(spark, sf):
+    """Primary pollutants, agreement of grades, and code lists as SQL functions."""
+    register(spark)
+    six = ", ".join(PARAMETERS)
+    return spark.sql(
+        f"""
+        SELECT l_suppkey, published_at, concat_ws(',', primary_hour({six})) AS primary_pollutants, grade(a) AS said,
+          grade_within_points(g, a) AS by_points, grade_within_share(g, a) AS by_share,
+          concat_ws(',', primary_codes(CASE l_linenumber % 3 WHEN 0 THEN 'PM25,H2S,O3' WHEN 1 THEN 'NO2' ELSE '' END)) AS codes
+        FROM (SELECT *, CAST(l_linenumber % 6 + 1 AS INT) AS g, CAST(aqi_hour({six}) AS DOUBLE) AS a FROM {{readings}})
+        """,
+        readings=adapters.observations(spark, sf),
     )
 
 

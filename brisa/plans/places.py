@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brisa.functions import geo
+from brisa.functions.register import register
 from brisa.operators import features, spatial, tracks
 from brisa.params import GRID_BOXES, VOC_TRACK_COLUMNS
 from brisa.plans import adapters, sql
@@ -83,6 +84,24 @@ def grid_id(spark, sf):
     )
 
 
+@query("X11_X13_sql_functions", sql.with_views("event_place", f"""
+  SELECT event_id, CAST({sql.metres('lon', 'lat', '104.06::DOUBLE', '30.67::DOUBLE')} AS BIGINT) AS metres,
+    {_grid_sql('inner', 500, 500)} AS inner_id, {_grid_sql('outer', 300, 300)} AS outer_id,
+    {_grid_sql('city', 1000, 1200)} AS city_id FROM event_place"""))
+def place_functions(spark, sf):
+    """Distance and grid ids as SQL functions; the numbers of cells are arguments."""
+    register(spark)
+    lon, lat = adapters.positions(F.col("event_id"))
+    points = adapters.table(spark, sf, "events").select("event_id", lon.alias("lon"), lat.alias("lat"))
+    return spark.sql(
+        """
+        SELECT event_id, distance_m(lon, lat, 104.06D, 30.67D) AS metres, grid_id_inner(lon, lat, 500, 500) AS inner_id,
+          grid_id_outer(lon, lat, 300, 300) AS outer_id, grid_id_city(lon, lat, 1000, 1200) AS city_id FROM {points}
+        """,
+        points=points,
+    )
+
+
 # --- B14: boxes ---------------------------------------------------------------
 
 sql.view("tagged", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from brisa.functions import air, times
 from brisa.operators import rollup, score
 from brisa.operators.index import parameter_means, with_index
-from brisa.params import PARAMETERS
+from brisa.params import INNER_RING, OUTER_RING, PARAMETERS
 from brisa.plans import adapters, sql
 from brisa.plans.registry import query
 
@@ -82,12 +82,9 @@ sql.view("district_pairs", sql.pairs(
     "a.control_area_id, a.time_step"), "district_mean", "district_day")
 
 
-@query("B9_district_forecast_score", sql.with_views("district_pairs", f"""
-  SELECT control_area_id, time_step, {sql.metrics()} FROM district_pairs
-  GROUP BY control_area_id, time_step"""))
-def district_forecast_score(spark, sf):
-    """Scores per district and lead day against the graded district product."""
-    said = (
+def _district_means(spark, sf):
+    """Daily means of a district and lead day, which play the forecast."""
+    return (
         adapters.observations(spark, sf)
         .withColumn("time_step", (F.col("l_linenumber") % 3).cast("int"))
         .groupBy(
@@ -96,12 +93,40 @@ def district_forecast_score(spark, sf):
         )
         .agg(*[F.round(F.avg(p)).alias(p) for p in PARAMETERS])
     )
+
+
+@query("B9_district_forecast_score", sql.with_views("district_pairs", f"""
+  SELECT control_area_id, time_step, {sql.metrics()} FROM district_pairs
+  GROUP BY control_area_id, time_step"""))
+def district_forecast_score(spark, sf):
+    """Scores per district and lead day against the graded district product."""
+    said = _district_means(spark, sf)
     actual = rollup.district_rollup(adapters.grid_days(spark, sf), "day")
     keys = ["control_area_id", "time_step"]
     pairs = score.pair_forecast(said, actual, ["control_area_id", "published_at"], keys, "day")
     return rounded(score.score_forecast(pairs, keys))
 
 
+for _ring, _listed in (("inner", INNER_RING), ("outer", OUTER_RING)):
+
+    @query(f"B9_{_ring}_ring_score", sql.with_views("district_mean grid_day", f"""
+      SELECT control_area_id, time_step, {sql.metrics()} FROM ({sql.pairs(
+          f"(SELECT * REPLACE (control_area_id + 10 AS control_area_id) FROM {graded_sql('district_mean', 'day')} WHERE {COMPLETE})",
+          f"({sql.district('(SELECT * REPLACE (control_area_id + 10 AS control_area_id) FROM grid_day)', 'day')})",
+          "a.control_area_id = b.control_area_id AND a.published_at = b.published_at",
+          "a.control_area_id, a.time_step")}) WHERE control_area_id IN {_listed}
+      GROUP BY control_area_id, time_step"""))
+    def ring_score(spark, sf, listed=_listed):
+        """The district scores of one list of districts."""
+        area = F.col("control_area_id") + 10
+        said = _district_means(spark, sf).withColumn("control_area_id", area)
+        grid = adapters.grid_days(spark, sf).withColumn("control_area_id", area)
+        actual = rollup.district_rollup(grid, "day", listed)
+        keys = ["control_area_id", "time_step"]
+        pairs = score.pair_forecast(said, actual, ["control_area_id", "published_at"], keys, "day")
+        return rounded(score.score_forecast(pairs, keys))
+
+
 sql.view("monthly_scores", f"""
   SELECT control_area_id, forecast_interval, {sql.metrics(digits=14)} FROM grid_pairs
   GROUP BY control_area_id, forecast_interval, year(published_at), month(published_at)""", "grid_pairs")

@@ -228,7 +228,7 @@ PERIOD_KEYS = {
     "year": "published_year",
 }
 PERIOD_NEED = {
-    "week": "27",
+    "week": "6",
     "month": "CASE WHEN published_month = 2 THEN 25 ELSE 27 END",
     "quarter": "27",
     "year": "322",
