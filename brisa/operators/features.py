@@ -88,6 +88,26 @@ def flow_feature(sections: DataFrame, places: DataFrame) -> DataFrame:
     return per_road.groupBy(*PLACE).agg(F.floor(F.round(F.sum("flow"), 6)).cast("int").alias("traffic_flow"))
 
 
+def counted_flow(data: str) -> Column:
+    """Traffic flow of a section from the JSON counts of its vehicle classes; missing ones are 0."""
+    counts = F.from_json(F.col(data), "large double, middle double, small double, unknown double")
+    return sum((F.coalesce(counts[c], F.lit(0.0)) for c in ("large", "middle", "small", "unknown")), F.lit(0.0))
+
+
+#: Digits of the published means: two for weather, six for the traffic index.
+PUBLISHED = {
+    "rainfall": "decimal(8,2)", "humidity": "decimal(8,2)", "solar_radiation": "decimal(8,2)",
+    "traffic_index": "decimal(10,6)",
+}
+
+
+def published(features: DataFrame) -> DataFrame:
+    """Features as published: means cut to their decimals, the rest as it is."""
+    return features.withColumns(
+        {c: F.col(c).cast(kind) for c, kind in PUBLISHED.items() if c in features.columns}
+    )
+
+
 def interpolated_wind(stations: DataFrame, wind: DataFrame, names: Sequence[str]) -> DataFrame:
     """Wind speed at every station, weighted by inverse squared distance.
 

@@ -160,6 +160,14 @@ def weather_points(spark, sf):
         F.floor("c_acctbal").cast("double").alias("rainfall"),
         (F.col("c_custkey") % 100).cast("double").alias("humidity"),
         F.col("c_nationkey").cast("double").alias("traffic_index"),
+        F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") % 1000).cast("double")).alias("solar_radiation"),
+    )
+
+
+def waiting_trucks(spark, sf):
+    lon, lat = adapters.positions(F.col("p_partkey") * 5)
+    return adapters.table(spark, sf, "part").select(
+        lon.alias("lon"), lat.alias("lat"), (F.col("p_size") % 4).cast("long").alias("waiting")
     )
 
 
@@ -175,31 +183,45 @@ def road_sections(spark, sf):
     parts = adapters.table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"),
         F.col("p_brand").alias("roadname"),
-        F.col("p_size").cast("double").alias("flow"),
+        F.to_json(F.struct(
+            F.col("p_size").alias("large"),
+            F.when(F.col("p_partkey") % 4 != 0, F.col("p_partkey") % 7).alias("middle"),
+            (F.col("p_partkey") % 5).alias("small"),
+        )).alias("counts"),
         F.concat(F.lit("["), pair(lon1, lat1), F.lit(", "), pair(lon2, lat2), F.lit("]")).alias("trail"),
     )
-    return features.trail_points(parts, "trail", ["id", "roadname", "flow"])
+    counted = parts.withColumn("flow", features.counted_flow("counts"))
+    return features.trail_points(counted, "trail", ["id", "roadname", "flow"])
 
 
 def dust_points(spark, sf):
+    """Dust loads along a trail text of one position each."""
     lon, lat = adapters.positions(F.col("o_orderkey") * 11)
-    return adapters.table(spark, sf, "orders").select(
-        lon.alias("lon"), lat.alias("lat"), (F.col("o_custkey") % 10).alias("dust")
+    rows = adapters.table(spark, sf, "orders").select(
+        F.concat(F.lit("[["), lon.cast("string"), F.lit(","), lat.cast("string"), F.lit("]]")).alias("trail"),
+        (F.col("o_custkey") % 10).alias("dust"),
     )
+    return features.trail_points(rows, "trail", ["dust"])
 
 
 sql.view("weather_points", f"""
   SELECT {sql.place('(c_custkey * 7)')}, floor(c_acctbal) AS rainfall, CAST(c_custkey % 100 AS DOUBLE) AS humidity,
-    CAST(c_nationkey AS DOUBLE) AS traffic_index FROM customer""")
+    CAST(c_nationkey AS DOUBLE) AS traffic_index,
+    CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey % 1000 AS DOUBLE) END AS solar_radiation FROM customer""")
+FLOW = "(p_size + CASE WHEN p_partkey % 4 <> 0 THEN p_partkey % 7 ELSE 0 END + p_partkey % 5)::DOUBLE"
 sql.view("sections", f"""
-  SELECT p_partkey AS id, p_brand AS roadname, p_size::DOUBLE AS flow, {sql.place('(p_partkey * 3)')} FROM part
+  SELECT p_partkey AS id, p_brand AS roadname, {FLOW} AS flow, {sql.place('(p_partkey * 3)')} FROM part
   UNION ALL
-  SELECT p_partkey, p_brand, p_size::DOUBLE, {sql.place('(p_partkey * 3 + 1)')} FROM part""")
+  SELECT p_partkey, p_brand, {FLOW}, {sql.place('(p_partkey * 3 + 1)')} FROM part""")
+sql.view("earth_feature", f"""
+  SELECT s.lon, s.lat, CAST(sum(waiting) AS BIGINT) AS earth_num FROM places s JOIN
+    (SELECT {sql.place('(p_partkey * 5)')}, p_size % 4 AS waiting FROM part) p ON {BOX} AND {NEAR} GROUP BY s.lon, s.lat""", "places")
 sql.view("truck_feature", f"""
   SELECT s.lon, s.lat, count(DISTINCT (plate_num, sim_card)) AS truck_num, count(*) AS truck_trajectory
   FROM places s JOIN trucks p ON {BOX} AND {NEAR} AND speed > 0 GROUP BY s.lon, s.lat""", "places", "trucks")
 sql.view("weather_feature", f"""
-  SELECT s.lon, s.lat, avg(rainfall) AS rainfall, avg(humidity) AS humidity, avg(traffic_index) AS traffic_index
+  SELECT s.lon, s.lat, avg(rainfall) AS rainfall, avg(humidity) AS humidity, avg(traffic_index) AS traffic_index,
+    avg(solar_radiation) AS solar_radiation
   FROM places s JOIN weather_points p ON {BOX} AND {NEAR} GROUP BY s.lon, s.lat""", "places", "weather_points")
 sql.view("flow_feature", f"""
   SELECT lon, lat, CAST(floor(round(sum(flow), 6)) AS INTEGER) AS traffic_flow FROM
@@ -221,11 +243,13 @@ NATIONS = [f"NATION_{i}" for i in range(25)]
 
 
 @query("B13_station_features", sql.with_views(
-    "truck_feature weather_feature flow_feature dust_feature wind_feature", """
-  SELECT station_id, station_name, lon, lat, truck_num, truck_trajectory, traffic_flow, rainfall, humidity,
-    traffic_index, dust_index, wind_speed, (SELECT coalesce(CAST(left(arg_max(o_orderpriority, o_orderkey), 1) AS INTEGER), 0)
+    "truck_feature weather_feature flow_feature dust_feature earth_feature wind_feature", """
+  SELECT station_id, station_name, lon, lat, truck_num, truck_trajectory, traffic_flow, earth_num, dust_index, wind_speed,
+    CAST(CAST(rainfall AS DECIMAL(8, 2)) AS DOUBLE) AS rainfall, CAST(CAST(humidity AS DECIMAL(8, 2)) AS DOUBLE) AS humidity,
+    CAST(CAST(solar_radiation AS DECIMAL(8, 2)) AS DOUBLE) AS solar_radiation,
+    CAST(CAST(traffic_index AS DECIMAL(10, 6)) AS DOUBLE) AS traffic_index, (SELECT coalesce(CAST(left(arg_max(o_orderpriority, o_orderkey), 1) AS INTEGER), 0)
       FROM orders WHERE o_orderdate = TIMESTAMP '1998-03-05') AS diffusion_conditions
-  FROM sites LEFT JOIN dust_feature USING (lon, lat) LEFT JOIN truck_feature USING (lon, lat) LEFT JOIN weather_feature USING (lon, lat)
+  FROM sites LEFT JOIN dust_feature USING (lon, lat) LEFT JOIN earth_feature USING (lon, lat) LEFT JOIN truck_feature USING (lon, lat) LEFT JOIN weather_feature USING (lon, lat)
   LEFT JOIN flow_feature USING (lon, lat) JOIN wind_feature USING (station_id)"""))
 def station_features(spark, sf):
     stations = adapters.site_stations(spark, sf)
@@ -234,11 +258,14 @@ def station_features(spark, sf):
         features.truck_features(adapters.truck_points(spark, sf), places),
         features.flow_feature(road_sections(spark, sf), places),
         features.mean_features(
-            weather_points(spark, sf), places, ["rainfall", "humidity", "traffic_index"]
+            weather_points(spark, sf), places, ["rainfall", "humidity", "traffic_index", "solar_radiation"]
         ),
         features.sum_feature(dust_points(spark, sf), places, "dust", "dust_index"),
+        features.sum_feature(waiting_trucks(spark, sf), places, "waiting", "earth_num"),
     ]
     out = features.station_features(stations, parts, adapters.wind_reports(spark, sf), NATIONS)
+    # compared as plain numbers
+    out = features.published(out).withColumns({c: F.col(c).cast("decimal(20,6)").cast("double") for c in features.PUBLISHED})
     forecasts = adapters.table(spark, sf, "orders").select(
         F.to_date("o_orderdate").alias("forecast_date"),
         F.col("o_orderkey").alias("published_at"),
