@@ -34,11 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brisa.llm.common import WordHashes, partitions, texts, windows, words_of
+from brisa.llm.common import WordHashes, texts, windows, words_of
 
 WIDTH, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WIDTH - PERIOD + 1
-CHUNK_BYTES, BUCKET_ENTRIES = 6_000_000, 1_500_000
+CHUNK_BYTES, BUCKET_ENTRIES, LEAST_BUCKETS = 6_000_000, 1_500_000, 64
 #: Bytes that are sent of the hashes of anchors and of windows; the bucket tells the highest bits.
 ANCHOR_BYTES, WINDOW_BYTES, PLACE_BYTES = (5,), (8, 4), (4,)
 #: What travels to a bucket: documents, entries of each, hashes, places; `here` marks an answer.
@@ -289,7 +289,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = texts(docs).select("doc_id", F.xxhash64("text").alias("tk"), "text")
     size = docs.agg(F.sum(F.octet_length(docs["text"].cast("string")))).first()[0] or 0
     # six bytes a word or more, three anchors in seven words
-    buckets = max(partitions(spark), -(-size // (14 * BUCKET_ENTRIES)))
+    buckets = max(LEAST_BUCKETS, -(-size // (14 * BUCKET_ENTRIES)))
     answers = repeated_places(rows, shared_anchors(rows, buckets), buckets)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
