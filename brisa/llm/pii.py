@@ -216,8 +216,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -
     found = found.select("y", "x", draw.alias("draw"))
     parts = [found.where(F.col("y") == y).orderBy("draw", "x").limit(sample // 2) for y in (0, 1)]
     rows = sorted((r["draw"], r["y"], list(r["x"])) for r in parts[0].union(parts[1]).collect())
+    if not rows:
+        return None
     y = np.array([r[1] for r in rows], float)
-    x = np.array([r[2] for r in rows], float).reshape(len(rows), -1)
+    x = np.array([r[2] for r in rows], float)
     fold = np.array([r[0] % 3 == 0 for r in rows], bool)
     if min(y[fold].sum(), (1 - y[fold]).sum(), y[~fold].sum(), (1 - y[~fold]).sum()) < 5:
         return None

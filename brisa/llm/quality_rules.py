@@ -30,7 +30,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
 # A line is boilerplate on a host if more than this many of its distinct documents hold it,
 MIN_DOCUMENTS, HOST_PERCENT = 20, 5
-# and a document is depleted if it keeps less than this share of its words, or too few words.
+# and a document is depleted if it keeps less than this share of its words.
 KEEP_PERCENT = 30
 _SPACES = " \t\n\v\f\r"
 _DIGITS = re.compile(r"\d+")
@@ -137,7 +137,7 @@ def verdicts(
     gone, n_words = F.coalesce("lost", F.lit(0)), F.col("n_words")
     left = n_words - gone
     failed = (n_words < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * n_words)
-    depleted = (gone > 0) & ((left < MIN_WORDS) | (left * 100 < n_words * keep_percent))
+    depleted = (gone > 0) & (left * 100 < n_words * keep_percent)
     return held.join(lost, same, "left").select(
         "doc_id",
         "row_key",

@@ -76,7 +76,7 @@ def brute_kept(rows, min_documents, host_percent, keep_percent):
         )
         left = len(words) - lost
         failed = len(words) < 20 or 100 * brute(words) > 30 * len(words)
-        out[i] = (lost, failed, not failed and not (lost and (left < 20 or 100 * left < keep_percent * len(words))))
+        out[i] = (lost, failed, not failed and not (lost and 100 * left < keep_percent * len(words)))
     return out
 
 
