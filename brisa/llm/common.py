@@ -50,6 +50,20 @@ def keep_ids(df: DataFrame, ids: DataFrame, column: str = "doc_id", small: int =
     return df.join(F.broadcast(ids) if ids.count() <= small else ids, column, "left_semi")
 
 
+def below(total: int, n: int) -> int:
+    """A bound under which about twice `n` of `total` evenly spread signed 64-bit hashes lie."""
+    return 2**63 - 1 if total <= 2 * n else -(2**63) + 2**64 * 2 * n // total
+
+
+def smallest(rows: DataFrame, n: int, *ties: str) -> DataFrame:
+    """The `n` rows of a stored table with the smallest `draw`, a hash.
+
+    Rows are counted first and cut by their hash, so that all tasks together send about 2 * n rows
+    to the one that picks, however many tasks there are.
+    """
+    return rows.where(F.col("draw") <= below(rows.count(), n)).orderBy("draw", *ties).limit(n)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered; the memory is emptied when it grows past a bound."""
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from brisa.llm import boost
-from brisa.llm.common import slices, texts
+from brisa.llm.common import slices, smallest, stored, texts
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 SAMPLE, PRECISION, LEAST = 20_000, 0.98, 0.5
@@ -213,8 +213,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -
     found = texts(docs).mapInArrow(run, "doc_id long, at long, kind string, y int, x array<double>")
     # the same number of each label at most, by the smallest hashes: a bounded sample, whatever the corpus
     draw = F.xxhash64(F.lit("sample"), "doc_id", "at", "kind")
-    found = found.select("y", "x", draw.alias("draw"))
-    parts = [found.where(F.col("y") == y).orderBy("draw", "x").limit(sample // 2) for y in (0, 1)]
+    found = stored(found.select("y", "x", draw.alias("draw")), "candidates")
+    parts = [smallest(found.where(F.col("y") == y), sample // 2, "x") for y in (0, 1)]
     rows = sorted((r["draw"], r["y"], list(r["x"])) for r in parts[0].union(parts[1]).collect())
     if not rows:
         return None

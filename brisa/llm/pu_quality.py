@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brisa.llm.common import slices, stored, texts
+from brisa.llm.common import slices, smallest, stored, texts
 
 POSITIVES, UNLABELLED, BINS, THRESHOLD = 20_000, 40_000, 16, 0.3
 MARKS = "!?.,;:#*$%&|<>\"'()[]{}=_/\\@+-~^"
@@ -170,7 +170,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 def train(x: DataFrame, good: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
     """`good`: doc_id of trusted positives; `x`: doc_id and measures of the corpus."""
     draw = F.xxhash64(F.lit("draw"), "doc_id")
-    take = lambda df, n: sorted((r["draw"], r["x"]) for r in df.select(draw.alias("draw"), "x").orderBy("draw", "x").limit(n).collect())
+    take = lambda df, n: sorted((r["draw"], r["x"]) for r in smallest(df.select(draw.alias("draw"), "x"), n, "x").collect())
     p = take(x.join(good.select("doc_id").distinct(), "doc_id", "left_semi"), positives)
     u = take(x, unlabelled)
     if len(p) < 20 or len(u) < 20:
