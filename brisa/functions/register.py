@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from brisa.functions import air, geo
 from brisa.params import (
-    ANNUAL_STANDARD, GRID_BOXES, PARAMETERS, PERIOD_PERCENTILE, PRIMARY_CODES, PRIMARY_ORDER,
+    ANNUAL_STANDARD, PARAMETERS, PERIOD_PERCENTILE, PRIMARY_CODES, PRIMARY_ORDER,
 )
 
 
@@ -62,8 +62,9 @@ def definitions() -> dict[str, str]:
     out[f"distance_m({pair}) RETURNS BIGINT"] = geo.distance_m_sql("lon1", "lat1", "lon2", "lat2")
     for axis, text in (("lon", geo.shifted_lon_sql), ("lat", geo.shifted_lat_sql)):
         out[f"shifted_{axis}(lon DOUBLE, lat DOUBLE) RETURNS DOUBLE"] = text("lon", "lat")
-    for box in GRID_BOXES:
-        out[f"grid_id_{box}(lon DOUBLE, lat DOUBLE, n_rows INT, n_columns INT) RETURNS BIGINT"] = geo.grid_id_sql(
+    for box, (rows, columns) in (("inner", (500, 500)), ("outer", (500, 500)), ("city", (1000, 1200))):
+        cells = f"n_rows INT DEFAULT {rows}, n_columns INT DEFAULT {columns}"
+        out[f"grid_id_{box}(lon DOUBLE, lat DOUBLE, {cells}) RETURNS BIGINT"] = geo.grid_id_sql(
             "lon", "lat", box, "n_rows", "n_columns"
         )
     codes = ", ".join(f"'{code}', '{name}'" for code, name in PRIMARY_CODES.items())
