@@ -6,8 +6,7 @@ that hold each line are counted per host (the `source` column), lines above the
 boilerplate, and a document that keeps too little without them is rejected.
 
 Distinct documents: copies must not turn each other's lines into boilerplate.  A document is
-counted under the smallest hash among its other lines, which copies and near copies share while
-documents that only have a boilerplate line in common do not.
+counted under the digest of all its normalised lines.  Pages that differ in a line are different.
 
 * Null or empty texts have no words and are rejected by the base rule.
 * A null source is a host of its own.
@@ -36,7 +35,7 @@ _SPACES = " \t\n\v\f\r"
 _DIGITS = re.compile(r"\d+")
 _COLUMNS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "lines array<struct<line:long,family:long,words:int>>"
+    "page long, lines array<struct<line:long,words:int>>"
 )
 
 
@@ -63,33 +62,31 @@ def line_key(line: str) -> int:
     return xxhash.xxh3_64_intdigest(_DIGITS.sub("0", " ".join(line.lower().split())).encode("utf-8", "surrogatepass"))
 
 
-def measures(text: str) -> tuple[int, int, int, int, int, list[dict]]:
+def measures(text: str) -> tuple[int, int, int, int, int, int, list[dict]]:
     words = words_of(text)
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
     spread: dict[int, int] = {}
     for x in lines:
         k = line_key(x) - 2**63
         spread[k] = spread.get(k, 0) + len(words_of(x))
-    least = sorted(spread)[:2]
-    own = [
-        {"line": k, "family": next((x for x in least if x != k), 0), "words": n} for k, n in spread.items()
-    ]
+    page = xxhash.xxh3_64_intdigest(np.sort(np.fromiter(spread, np.int64, len(spread))).tobytes()) - 2**63
     return (
         len(words),
         len(text) - sum(map(text.count, _SPACES)),
         sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)),
         repeated_words(words),
-        own,
+        page,
+        [{"line": k, "words": n} for k, n in spread.items()],
     )
 
 
 def _measured(rows: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 5 + [pa.list_(pa.struct([("line", pa.int64()), ("family", pa.int64()), ("words", pa.int32())]))]
+        kinds = [pa.int64()] * 6 + [pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int32())]))]
         for batch in slices(batches):
             found = [measures(t) for t in batch.column("text").to_pylist()]
-            columns = list(zip(*found, strict=True)) or [()] * 6
+            columns = list(zip(*found, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("host"), batch.column("row_key")]
                 + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
@@ -114,9 +111,9 @@ def verdicts(
     rows = texts(docs.select("doc_id", "text", host), "host")
     rows = rows.withColumn("row_key", F.xxhash64("text", "host"))
     held = stored(_measured(rows), "quality")
-    lines = held.select("doc_id", "row_key", "host", F.inline("lines"))
+    lines = held.select("doc_id", "row_key", "host", "page", F.inline("lines"))
     # one entry for each distinct document of a line, then counts: both combine before the shuffle
-    counted = lines.select("host", "line", "family").distinct().groupBy("host", "line").agg(F.count("*").alias("held_by"))
+    counted = lines.select("host", "line", "page").distinct().groupBy("host", "line").agg(F.count("*").alias("held_by"))
     hosts = held.groupBy("host").agg(F.count("*").alias("host_documents"))
     frequent = (
         counted.where(F.col("held_by") > min_documents)

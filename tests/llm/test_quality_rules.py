@@ -110,3 +110,25 @@ def test_edges(edges, nothing):
     assert kept.columns == edges.columns and {r["doc_id"] for r in kept.collect()} >= {11, 12}
     assert kept.where("doc_id = 12").count() == 2
     assert q.verdicts(nothing).count() == 0 and q.keep_good(nothing).count() == 0
+
+
+def navigation(pages, lines, own, seed, host="nav"):
+    """Different pages of one host that share `lines` lines and have `own` more each."""
+    draw = random.Random(seed)
+    line = lambda n: " ".join(f"{chr(97 + draw.randrange(26))}{draw.randrange(10**6)}x".translate(LETTERS) for _ in range(n))
+    shared = [line(6) for _ in range(lines)]
+    return rows_of(["\n".join(shared + [line(6) for _ in range(own)]) for _ in range(pages)], host)
+
+
+LETTERS = str.maketrans("0123456789", "qwertyuiop")
+
+
+def test_pages_that_share_ten_lines_are_different_documents(table):
+    rows = [(100 * seed + i, t, "en", f"nav{seed}", 0) for seed in range(6) for i, t, *_ in navigation(60, 10, 1, seed)]
+    held = {}
+    for _, text, _, host, _ in rows:
+        for x in text.split("\n"):
+            held.setdefault((host, x), set()).add(text)
+    assert sum(len(texts) == 60 for texts in held.values()) == 60  # above both limits, on each host all ten
+    for r in q.verdicts(table(rows)).collect():
+        assert r["n_boilerplate_words"] == 60 and not r["kept"]
