@@ -6,7 +6,8 @@ that hold each line are counted per host (the `source` column), lines above the
 boilerplate, and a document that keeps too little without them is rejected.
 
 Distinct documents: copies must not turn each other's lines into boilerplate.  A document is
-counted under the digest of all its normalised lines.  Pages that differ in a line are different.
+counted under the digest of all its normalised lines, for its lines and for its host alike, so
+repeating a page changes no other page's verdict.  Pages that differ in a line are different.
 
 * Null or empty texts have no words and are rejected by the base rule.
 * A null source is a host of its own.
@@ -114,7 +115,7 @@ def verdicts(
     lines = held.select("doc_id", "row_key", "host", "page", F.inline("lines"))
     # one entry for each distinct document of a line, then counts: both combine before the shuffle
     counted = lines.select("host", "line", "page").distinct().groupBy("host", "line").agg(F.count("*").alias("held_by"))
-    hosts = held.groupBy("host").agg(F.count("*").alias("host_documents"))
+    hosts = held.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_documents"))
     frequent = (
         counted.where(F.col("held_by") > min_documents)
         .join(hosts, "host")

@@ -132,3 +132,12 @@ def test_pages_that_share_ten_lines_are_different_documents(table):
     assert sum(len(texts) == 60 for texts in held.values()) == 60  # above both limits, on each host all ten
     for r in q.verdicts(table(rows)).collect():
         assert r["n_boilerplate_words"] == 60 and not r["kept"]
+
+
+def test_repeating_a_page_changes_no_other_verdict(table):
+    pages = navigation(40, 3, 1, 9)
+    other = prose(10, 1)[0]
+    few, many = (table(pages + [(1000 + k, other, "en", "nav", 0) for k in range(n)]) for n in (1, 1500))
+    told = lambda df: {r["doc_id"]: (r["n_boilerplate_words"], r["kept"]) for r in q.verdicts(df).where("doc_id <= 1000").collect()}
+    few, many = told(few), told(many)
+    assert few == many and all(few[i] == (18, False) for i in range(40))
