@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brisa.llm.common import slices, smallest, stored, texts
 
 POSITIVES, UNLABELLED, BINS, THRESHOLD = 20_000, 40_000, 16, 0.3
+BLOCK = 4000  # characters compressed at a time
 MARKS = "!?.,;:#*$%&|<>\"'()[]{}=_/\\@+-~^"
 _UPPER, _LETTER, _DIGIT = re.compile(r"[^\W\d_]"), re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"\d")
 _RUN = re.compile(r"(.)\1{2,}")
@@ -44,7 +45,7 @@ def measures(text: str) -> list[float]:
     words = text.split()
     n, chars = len(words), max(1, len(text))
     if not n:
-        return [0.0] * (22 + len(MARKS))
+        return [0.0] * (23 + len(MARKS))
     lines = [x for x in text.split("\n") if x.strip()]
     lower = [w.lower() for w in words]
     distinct = len(set(lower))
@@ -52,8 +53,11 @@ def measures(text: str) -> list[float]:
     pairs = len(set(zip(lower, lower[1:], strict=False)))
     same = sum(a == b for a, b in zip(lower, lower[1:], strict=False))
     counts = np.unique(np.fromiter(map(hash_of, lower), np.uint32, n), return_counts=True)[1]
-    head = text[:4000].encode("utf-8", "surrogatepass")
-    middle = text[len(text) // 2 : len(text) // 2 + 4000].encode("utf-8", "surrogatepass")
+    # blocks of one length, so that a short rest is no extreme; every character is in one
+    cuts = np.linspace(0, len(text), -(-len(text) // BLOCK) + 1).astype(int).tolist()
+    blocks = [text[a:b].encode("utf-8", "surrogatepass") for a, b in zip(cuts, cuts[1:], strict=False)]
+    packed = [len(zlib.compress(b, 1)) for b in blocks]
+    ratios = [p / len(b) for p, b in zip(packed, blocks, strict=True)]
     letters, upper = len(_UPPER.findall(text)), len(_LETTER.findall(text))
     return [
         np.log1p(n),
@@ -76,8 +80,9 @@ def measures(text: str) -> list[float]:
         len(_DIGIT.findall(text)) / chars,
         sum(w[0].isupper() for w in words) / n,
         sum(len(m) > 0 for m in _RUN.findall(text)) / n,
-        len(zlib.compress(head, 1)) / len(head),
-        len(zlib.compress(middle, 1)) / max(1, len(middle)),
+        sum(packed) / sum(map(len, blocks)),
+        min(ratios),
+        max(ratios),
         *(text.count(c) / n for c in MARKS),
     ]
 

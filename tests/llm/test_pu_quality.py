@@ -55,3 +55,12 @@ def test_edges(spark, edges, nothing):
     assert len(got) == edges.count() and {r["score"] for r in got} == {0.5}
     assert pu.score(nothing, labels).count() == 0 and pu.score(edges, labels.where("false")).count() == len(got)
     assert all(len(pu.measures(t)) == len(pu.measures("")) for t in ("a", " ", "\n", "!!! ...", "é" * 50))
+
+
+def test_every_character_counts_in_the_compression_measures():
+    draw = np.random.default_rng(5)
+    text = " ".join("".join(draw.choice(list("abcdefghij"), 6)) for _ in range(6000))
+    plain = np.array(pu.measures(text)[20:23])
+    for at in range(0, len(text) - 3000, 3000):
+        garbage = text[:at] + "abcdef " * 400 + text[at + 2800 :]
+        assert not np.isclose(pu.measures(garbage)[20:22], plain[:2], rtol=0.01).any(), at
