@@ -1,15 +1,14 @@
 """How far sources of a language differ in their words: chunks counted, each distinct one tokenized once.
 
 A term is a run of letters and of characters beyond ASCII, A-Z lower-cased, so it never crosses
-white space.  Documents are therefore cut at white space only and their chunks counted; terms are
-taken from each globally distinct chunk once and joined back to the counts.  A task adds up what
-its documents hold before anything is sent, so the exchange carries distinct chunks and not words.
+white space.  Documents are therefore cut at white space only and their chunks counted.  A task adds
+up what its documents hold before anything is sent.  Counts meet by chunk; terms are taken from
+each globally distinct chunk once, joined back to its counts, and meet by term.
 
 A language keeps its V terms that at least three documents hold.  A document may hold a term in
 several chunks, so documents of chunks cannot simply be added.  Of every group and chunk the
-number of documents is kept, and the smallest and the largest of their keys: where that number is
-below three these are all there are, where it is not the term is kept anyway.  Keys are 64-bit
-hashes of whole rows, so a task that runs again gives the same ones.
+number of documents is kept, and up to two the keys of these: where there are more the term is kept
+anyway.  Keys are 64-bit hashes of whole rows, so a task that runs again gives the same ones.
 
 Shares are integers of a thousand million: p = 1 + floor(10^9 (count + 1) / (N + V)).  The
 divergence of a term is floor((p - q)^2 / q), a pair's the sum over all V terms.  That sum is
@@ -28,6 +27,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -38,7 +38,8 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCUMENTS = 3  # the two keys kept of each chunk prove this bound and no larger one
 SCALE, MOST_TERMS = 1_000_000_000, 200
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ENTRIES = 300_000  # counted chunks that a task holds before it sends them on
+_ENTRIES = 700_000  # counted chunks that a task holds before it sends them on
+FEW_GROUPS = 100_000  # groups that are broadcast, once counted; beyond, they are joined by language
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -46,19 +47,54 @@ def _grouped(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("string").alias("doc_id"), text("lang"), text("source"), text("text"))
 
 
+class _Held:
+    """What the documents of a group hold: occurrences, documents, and up to two of these, by chunk."""
+
+    def __init__(self) -> None:
+        self.at: dict[bytes, int] = {}
+        self.n: list[int] = []
+        self.docs: list[int] = []
+        self.one: list[int] = []
+        self.two: list[int] = []
+
+    def add(self, counted: dict[bytes, int], doc: int) -> None:
+        at, n, docs, two = self.at, self.n, self.docs, self.two
+        for chunk, times in counted.items():
+            k = at.get(chunk)
+            if k is None:
+                at[chunk] = len(n)
+                n.append(times)
+                docs.append(1)
+                self.one.append(doc)
+                two.append(-1)
+                continue
+            n[k] += times
+            docs[k] += 1
+            if two[k] < 0:
+                two[k] = doc
+
+
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, chunk, n, docs, low, high): occurrences, documents, least and greatest key of these."""
+    """(lang, source, chunk, n, docs, low, high): occurrences, documents, and the keys of one or two of these.
+
+    A group and chunk has a row from every task that met it; they lie together by chunk.
+    """
     names = ["lang", "source", "chunk", "n", "docs", "low", "high"]
-    kinds = [pa.string(), pa.string(), pa.string(), *[pa.int64()] * 4]
 
-    def rows(held: dict[tuple[str, str], dict[bytes, list[int]]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), chunks in held.items():
-            columns = [[lang] * len(chunks), [source] * len(chunks), [c.decode("utf-8", "surrogatepass") for c in chunks]]
-            columns += list(zip(*chunks.values(), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+    def rows(held: dict[tuple[str, str], _Held], keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for (lang, source), own in held.items():
+            count = np.array(own.docs)
+            one, two = keys[np.array(own.one)], keys[np.array(own.two)]
+            columns = [
+                pa.repeat(lang, len(count)), pa.repeat(source, len(count)),
+                pa.array(list(own.at), pa.binary()).cast(pa.string()), pa.array(own.n, pa.int64()), pa.array(count),
+                pa.array(one, mask=count > 2), pa.array(two, mask=count != 2),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        held: dict[tuple[str, str], _Held] = {}
+        keys: list[int] = []
         size = 0
         for batch in slices(batches):
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "lang", "source", "text"))
@@ -68,39 +104,41 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                 if not counted:
                     continue
                 seed = xxhash.xxh3_64_intdigest(f"{doc}\0{lang}\0{source}".encode("utf-8", "surrogatepass"))
-                key = xxhash.xxh3_64_intdigest(encoded, seed) - 2**63
-                chunks = held.setdefault((lang, source), {})
-                size -= len(chunks)
-                for chunk, n in counted.items():
-                    entry = chunks.get(chunk)
-                    if entry is None:
-                        chunks[chunk] = [n, 1, key, key]
-                        continue
-                    entry[0] += n
-                    entry[1] += 1
-                    if key < entry[2]:
-                        entry[2] = key
-                    elif key > entry[3]:
-                        entry[3] = key
-                size += len(chunks)
+                own = held.setdefault((lang, source), _Held())
+                size -= len(own.n)
+                own.add(counted, len(keys))
+                size += len(own.n)
+                keys.append(xxhash.xxh3_64_intdigest(encoded, seed))
                 if size > _ENTRIES:
-                    yield from rows(held)
-                    held, size = {}, 0
-        yield from rows(held)
+                    yield from rows(held, np.array(keys, np.uint64).view(np.int64))
+                    held, keys, size = {}, [], 0
+        yield from rows(held, np.array(keys, np.uint64).view(np.int64))
 
     counted = _grouped(docs).mapInArrow(
         run, "lang string, source string, chunk string, n long, docs long, low long, high long"
     )
-    return counted.groupBy("lang", "source", "chunk").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")
-    )
+    # already added up by task: sent as they are
+    return counted.repartition("chunk")
 
 
-def terms_of(chunks: DataFrame) -> DataFrame:
-    """(chunk, term) of each distinct chunk, a row for every time it holds the term."""
+def term_counts(chunks: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs, low, high): each distinct chunk's terms with its counts.
+
+    The groups that hold a chunk are gathered, one entry each, next to the terms taken from it.
+    """
     found = F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))
-    distinct = chunks.select("chunk").distinct().select("chunk", F.explode(found).alias("term"))
-    return distinct.withColumn("term", F.translate("term", UPPER, LOWER))
+    known = F.struct("lang", "source", "n", "docs", "low", "high")
+    distinct = (
+        chunks.groupBy("lang", "source", "chunk")
+        .agg(
+            F.sum("n").alias("n"), F.sum("docs").alias("docs"),
+            F.min(F.least("low", "high")).alias("low"), F.max(F.greatest("low", "high")).alias("high"),
+        )
+        .groupBy("chunk")
+        .agg(F.collect_list(known).alias("groups"))
+    )
+    terms = distinct.select("groups", F.explode(found).alias("term")).withColumn("term", F.translate("term", UPPER, LOWER))
+    return terms.select("term", F.inline("groups")).repartition("term")
 
 
 def kept_terms(occurrences: DataFrame) -> DataFrame:
@@ -110,7 +148,7 @@ def kept_terms(occurrences: DataFrame) -> DataFrame:
         .agg(F.max("docs").alias("most"), F.sum("docs").alias("total"))
         .where(F.col("total") >= MIN_DOCUMENTS)
     )
-    # held by one or two documents in each chunk: their keys tell how many these are together
+    # held by one or two documents in each chunk and group: their keys tell how many these are together
     unsure = several.where(F.col("most") < MIN_DOCUMENTS).select("lang", "term")
     same = F.when(F.col("low") == F.col("high"), F.col("docs")).otherwise(1)  # rows that repeat each other
     ids = (
@@ -139,6 +177,7 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) for every two sources of a language."""
     g = groups.select("lang", "source", F.col("none").alias("p0"), "terms")
     h = groups.select("lang", F.col("source").alias("item"), F.col("none").alias("q0"))
+    h = F.broadcast(h) if h.count() <= FEW_GROUPS else h
     other = F.col("source") != F.col("item")
     # no occurrence anywhere
     base = g.join(h, "lang").where(other).select(
@@ -174,11 +213,11 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank): each source's distance to the others, and its most typical terms."""
-    chunks = stored(chunk_counts(docs), "chunks")
-    occurrences = stored(chunks.join(terms_of(chunks), "chunk").drop("chunk"), "occurrences")
-    kept = stored(kept_terms(occurrences), "kept-terms")
+    # both meet by term: kept terms and their counts need no further exchange
+    occurrences = term_counts(chunk_counts(docs))
     counts = occurrences.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    counts = stored(counts.join(kept, ["lang", "term"], "left_semi"), "term-counts")
+    counts = stored(counts.join(kept_terms(occurrences), ["lang", "term"]), "term-counts")
+    kept = counts.select("lang", "term").distinct()
     terms = kept.groupBy("lang").agg(F.count("*").alias("terms"))
     groups = (
         _grouped(docs).select("lang", "source").distinct()

@@ -47,8 +47,7 @@ def run(df):
 
 
 def kept(df):
-    chunks = divergence.chunk_counts(df)
-    return {tuple(r) for r in divergence.kept_terms(chunks.join(divergence.terms_of(chunks), "chunk")).collect()}
+    return {tuple(r) for r in divergence.kept_terms(divergence.term_counts(divergence.chunk_counts(df))).collect()}
 
 
 def told(df):
