@@ -26,6 +26,9 @@ from brisa.params import (
 )
 
 
+HALF = "0.5000000001"
+
+
 def segments(parameter: str, scale: str) -> list[tuple[int, int, int, int]]:
     """``(c_low, c_high, i_low, i_high)`` of every breakpoint segment."""
     knots = BREAKPOINTS[scale][parameter]
@@ -91,10 +94,13 @@ def primary_pollutants_sql(
 
 
 def reported_sql(v: str, parameter: str) -> str:
-    """Concentration as published: co to one decimal, the others whole; halves go away from zero."""
+    """Concentration as published: co to one decimal, the others whole; halves go away from zero.
+
+    A half counts as met from 1e-10 below on, as a mean of decimals may miss it by its last bit.
+    """
     if parameter == "co":
-        return f"sign({v}) * floor(abs({v}) * 10D + 0.5D) / 10D"
-    return f"TRY_CAST(sign({v}) * floor(abs({v}) + 0.5D) AS INT)"
+        return f"sign({v}) * floor(abs({v}) * 10D + {HALF}D) / 10D"
+    return f"TRY_CAST(sign({v}) * floor(abs({v}) + {HALF}D) AS INT)"
 
 
 def percentile_index_sql(v: str, parameter: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
@@ -26,8 +27,9 @@ def blank_numbers(value: Column, sentinels: Iterable[float]) -> Column:
 
 
 def to_number(value: Column) -> Column:
-    """Text as a double; null where it is not a number."""
-    return value.try_cast("double")
+    """Text as a double; null where it is not a number, and for ``NaN`` and ``Infinity``."""
+    number = value.try_cast("double")
+    return F.when(F.abs(number) <= sys.float_info.max, number)
 
 
 def numeric_text(value: Column) -> Column:

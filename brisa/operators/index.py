@@ -53,15 +53,62 @@ def presence_flags(df: DataFrame) -> DataFrame:
     )
 
 
+# Grids that a value is split on, as powers of two; what is left lies on none.
+_GRIDS = {"h": -9, "m": -36}
+
+
+def finite_sql(value: str) -> str:
+    """A number as a double; null where it is NaN or infinite, which no reading is."""
+    x = f"CAST({value} AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) <= 1.7976931348623157E308D THEN {x} END)"
+
+
+def bins_sql(value: str) -> dict[str, str]:
+    """``value`` split exactly into a part on the grid 2^-9, one on 2^-36, and the rest.
+
+    Adding and taking away 1.5 * 2^(52 + power) rounds to a grid; what is taken off
+    is exact.  Sums of parts of one grid are whole multiples of it and so exact, the
+    same in any order, for 2^27 values that add up to 10^13.  The rest is under 2^-36
+    and a multiple of a value's last bit: its sums are exact for 2^25 values of 0.001
+    or more.  A retried or differently partitioned run gives the same bits.  Beyond
+    these bounds sums round as plain ones do.
+    """
+    rest, out = finite_sql(value), {}
+    for name, power in _GRIDS.items():
+        constant = f"{1.5 * 2.0 ** (52 + power)!r}D"
+        out[name] = f"(({rest} + {constant}) - {constant})"
+        rest = f"({rest} - {out[name]})"
+    return {**out, "l": rest}
+
+
 def steady_mean(value: str) -> Column:
-    """Mean that does not depend on the order in which rows are added.
+    """Mean that does not depend on the order in which rows are added; see ``bins_sql``.
 
-    Values are summed and divided as decimals of 18 places, without error up to
-    1e20, so a retried or differently partitioned run publishes the same numbers
-    and a mean that ends in a five is rounded as such.
+    Null, NaN and infinite values are left out, of the number of values, too.
     """
-    total = f"try_sum(CAST({value} AS DECIMAL(38, 18)))"
-    return F.expr(f"CAST(try_divide({total}, CAST(count({value}) AS DECIMAL(20, 0))) AS DOUBLE)")
+    total = " + ".join(f"sum({part})" for part in bins_sql(value).values())
+    return F.expr(f"({total}) / nullif(count({finite_sql(value)}), 0L)")
+
+
+# Published concentrations are whole numbers of these parts of a unit.
+_PARTS_OF_UNIT = {"co": 10}
+
+
+def published_state(parameter: str) -> dict[str, str]:
+    """Aggregates that a mean of published values follows from: their sum in the last
+    published digit, a whole number, and how many there are.  States are added to merge."""
+    parts = _PARTS_OF_UNIT.get(parameter)
+    digits = f"CAST(round({parameter} * {parts}D) AS LONG)" if parts else f"CAST({parameter} AS LONG)"
+    return {f"{parameter}_sum": f"sum({digits})", f"{parameter}_n": f"count({parameter})"}
+
+
+def published_mean_sql(parameter: str, total: str, count: str) -> str:
+    return f"CAST({total} AS DOUBLE) / nullif({_PARTS_OF_UNIT.get(parameter, 1)}L * {count}, 0L)"
+
+
+def published_means() -> list[Column]:
+    """Mean of every published parameter, the double nearest to its decimal value."""
+    return [F.expr(published_mean_sql(p, *published_state(p).values())).alias(p) for p in PARAMETERS]
 
 
 def parameter_means() -> list[Column]:

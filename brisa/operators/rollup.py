@@ -10,6 +10,7 @@ from brisa.functions import air, clean, times
 from brisa.operators.index import (
     parameter_means,
     presence_flags,
+    published_means,
     reported,
     steady_mean,
     with_index,
@@ -222,7 +223,7 @@ def _by_period(day: DataFrame, keys: Sequence[str], ids: dict[str, Column]) -> G
 
 def _period_aggregates(valid_days: dict[str, str]) -> list[Column]:
     return [
-        *parameter_means(),
+        *published_means(),
         *[F.expr(valid_days[p]).alias(f"_{p}_days") for p in PARAMETERS],
         F.count_if(F.col("grade").isin(1, 2)).alias("std_day_num"),
         air.percentile_index(air.reported_sql("o3", "o3"), "o3").alias("o3_index"),
@@ -230,9 +231,10 @@ def _period_aggregates(valid_days: dict[str, str]) -> list[Column]:
     ]
 
 
-def _flags(period: str, needed: int | None = None) -> dict[str, Column]:
+def period_flags(period: str, needed: int | None = None, days: str = "_{}_days") -> dict[str, Column]:
+    """``*_flag`` = 1 where a period has days enough; ``days`` names their counts."""
     enough = days_needed(period, needed)
-    return {f"{p}_flag": (F.col(f"_{p}_days") >= enough).cast("int") for p in PARAMETERS}
+    return {f"{p}_flag": (F.col(days.format(p)) >= enough).cast("int") for p in PARAMETERS}
 
 
 def period_rollup(
@@ -248,7 +250,7 @@ def period_rollup(
     grouped = (
         _by_period(day, keys, ids)
         .agg(*_period_aggregates({p: f"count({p})" for p in PARAMETERS}))
-        .withColumns(_flags(period, needed))
+        .withColumns(period_flags(period, needed))
         .withColumn("comprehensive_index", air.comprehensive_index())
     )
     dropped = [f"_{p}_days" for p in PARAMETERS]
@@ -283,7 +285,7 @@ def district_period(day: DataFrame, period: str) -> DataFrame:
     grouped = (
         _by_period(day, keys, ids)
         .agg(*_period_aggregates(flagged))
-        .withColumns(_flags(period))
+        .withColumns(period_flags(period))
     )
     rounded = reported(grouped).withColumn("comprehensive_index", air.comprehensive_index())
     dropped = [f"_{p}_days" for p in PARAMETERS]

@@ -290,14 +290,17 @@ def _cells(spark, sf):
     return track_cells(spark, sf).withColumn("grid_scale", F.lit(1))
 
 
-@query("B23_T1_stream_ingest", sql.with_views("track_cells", f"""
+_INGESTED = sql.with_views("track_cells", f"""
   SELECT station_code, s_suppkey AS station_id, grid_id, published_at, pm2_5, CAST(event_id AS BIGINT) AS event_id FROM (
     SELECT 'M' || user_id AS station_code, user_id, {sql.place('event_id')}, date_trunc('second', ts) AS published_at,
       CAST(floor(value) AS BIGINT) AS pm2_5, event_id FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('second', ts) ORDER BY
       '{{"pm2_5":' || CAST(floor(value) AS BIGINT) || ',"event_id":' || event_id || '}}' DESC) = 1) p
   LEFT JOIN supplier ON s_suppkey = user_id
-  LEFT JOIN track_cells c ON p.lon >= min_lon AND p.lon < max_lon AND p.lat >= min_lat AND p.lat < max_lat"""))
+  LEFT JOIN track_cells c ON p.lon >= min_lon AND p.lon < max_lon AND p.lat >= min_lat AND p.lat < max_lat""")
+
+
+@query("B23_T1_stream_ingest", _INGESTED)
 def stream_ingest(spark, sf):
     target, checkpoint = shared_dir(spark, "ingest"), shared_dir(spark, "ingest-checkpoint")
     jobs.stream_ingest(
@@ -311,6 +314,19 @@ def stream_ingest(spark, sf):
     )
 
 
+@query("B23_T1_newest_state", _INGESTED)
+def ingest_newest(spark, sf):
+    """The same rows through a state store: the table holds one row per key and is read as it is."""
+    target, checkpoint = shared_dir(spark, "newest"), shared_dir(spark, "newest-checkpoint")
+    jobs.ingest_newest(
+        _messages(spark, sf), lambda: _stations(spark, sf), lambda: _cells(spark, sf), 0.1,
+        target, checkpoint, late="2 days",
+    ).awaitTermination()
+    data = F.from_json("data", "pm2_5 bigint, event_id bigint")
+    columns = ("station_code", "station_id", "grid_id", "published_at")
+    return spark.read.parquet(target).select(*columns, data.alias("d")).select(*columns, "d.*")
+
+
 @query("B23_T5_dimension_refresh", """
   SELECT 'M' || user_id AS station_code, s_suppkey AS station_id, count(*) AS n FROM
     (SELECT DISTINCT user_id, date_trunc('second', ts) AS at, ts >= TIMESTAMP '2024-01-11' AS refreshed FROM events)
@@ -351,30 +367,46 @@ def rate_limit(spark, sf):
     return sizes.agg(F.lit(batches).alias("batches"), F.max("n").alias("most"), F.sum("n").alias("total"))
 
 
-@query("B23_T2_stream_tag_grid", sql.with_views("cells", """
+_TAGGED = sql.with_views("cells", """
   SELECT event_id, station_id, published_at, publish_date, a.grid_id, b.grid_id AS grid_id_two FROM
     (SELECT event_id, user_id AS station_id, date_trunc('hour', ts) AS published_at, CAST(ts AS DATE) AS publish_date,
        CAST(event_id % 51 AS DOUBLE) AS lon, CAST(user_id % 51 AS DOUBLE) AS lat FROM events
      QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id DESC) = 1) p
   LEFT JOIN (SELECT * FROM cells WHERE grid_scale = 1) a ON p.lat > a.min_lat AND p.lat <= a.max_lat AND p.lon > a.min_lon AND p.lon <= a.max_lon
-  LEFT JOIN (SELECT * FROM cells WHERE grid_scale = 2) b ON p.lat > b.min_lat AND p.lat <= b.max_lat AND p.lon > b.min_lon AND p.lon <= b.max_lon"""))
-def stream_tag_grid(spark, sf):
+  LEFT JOIN (SELECT * FROM cells WHERE grid_scale = 2) b ON p.lat > b.min_lat AND p.lat <= b.max_lat AND p.lon > b.min_lon AND p.lon <= b.max_lon""")
+
+
+def _tag_rows(spark, sf):
     """Every message comes twice, and several of a station fall into one hour."""
-    rows = _event_stream(spark, sf).select(
+    return _event_stream(spark, sf).select(
         "event_id", F.col("user_id").alias("station_id"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("published_at"),
         (F.col("event_id") % 51).cast("double").alias("lon"),
         (F.col("user_id") % 51).cast("double").alias("lat"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"),
     ).drop("delivery")
+
+
+@query("B23_T2_stream_tag_grid", _TAGGED)
+def stream_tag_grid(spark, sf):
     target, checkpoint = shared_dir(spark, "tagged"), shared_dir(spark, "tagged-checkpoint")
     jobs.stream_tag_grid(
-        rows, lambda: adapters.box_cells(spark, sf), (5.0, 10.0), target, checkpoint
+        _tag_rows(spark, sf), lambda: adapters.box_cells(spark, sf), (5.0, 10.0), target, checkpoint
     ).awaitTermination()
     keys = ["published_at", "station_id"]
     return sinks.read_latest(spark, target, keys, "published_at").drop("lon", "lat")
 
 
+@query("B23_T2_newest_state", _TAGGED)
+def tag_newest(spark, sf):
+    """The same rows through a state store: the table holds one row per key and is read as it is."""
+    target, checkpoint = shared_dir(spark, "newest"), shared_dir(spark, "newest-checkpoint")
+    jobs.tag_newest(
+        _tag_rows(spark, sf), lambda: adapters.box_cells(spark, sf), (5.0, 10.0), target, checkpoint, late="2 days"
+    ).awaitTermination()
+    return spark.read.parquet(target).drop("lon", "lat")
+
+
 @query("B23_T3_stream_last_seen", "SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id")
 def stream_last_seen(spark, sf):
     target, checkpoint = shared_dir(spark, "seen"), shared_dir(spark, "seen-checkpoint")

@@ -177,3 +177,93 @@ def presence_of_area(presence: DataFrame, members: DataFrame, area: int, key: st
     """The part of a presence table that belongs to one control area's stations."""
     listed = members.filter(F.col("control_area_id") == area).select(key)
     return presence.join(listed, on=key, how="left_semi")
+
+
+# --- keyed state ----------------------------------------------------------------
+
+
+def newest_per_key(rows: DataFrame, keys: Sequence[str], ts: str, late: str) -> DataFrame:
+    """The row of every key that came last, held as streaming state; ``ts`` is one of the keys.
+
+    Of rows that come together the larger values of the other columns win.  A key
+    stays in the state until the stream's time is ``late`` beyond it; messages
+    later than that are dropped.  Read in update mode: a batch gives the keys it changed.
+    """
+    if ts not in keys:
+        raise ValueError("the time has to be part of the key, or its state would never end")
+    others = [c for c in rows.columns if c not in keys]
+    settled = settling(rows, [], keys)
+    kind = dict(rows.dtypes)[ts]
+    arrived = rows.withColumns({"_at": F.col(ts).cast("timestamp"), "_arrived": F.current_timestamp()})
+    order = F.struct("_arrived", *settled)
+    newest = (
+        arrived.withWatermark("_at", late)
+        .groupBy(*[c for c in keys if c != ts], "_at")
+        .agg(F.max_by(F.struct(*others), order).alias("_row"))
+    )
+    named = {c: F.col(f"_row.`{c}`") for c in others} | {ts: F.col("_at").cast(kind)} | {c: F.col(c) for c in keys if c != ts}
+    return newest.select(*[named[c].alias(c) for c in rows.columns])
+
+
+def _keep_newest(
+    rows: DataFrame, complete: Callable[[DataFrame], DataFrame], keys: Sequence[str], ts: str, late: str,
+    target: str, checkpoint: str, trigger: Mapping,
+) -> StreamingQuery:
+    """Changed keys of each batch, completed, into a table by day that holds one row per key."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dated = complete(batch).withColumn("publish_date", F.to_date(ts))
+        sinks.merge_partitions(dated, target, [*keys, "publish_date"], ts, ["publish_date"])
+
+    return (
+        newest_per_key(rows, keys, ts, late)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def ingest_newest(
+    messages: DataFrame,
+    stations: Callable[[], DataFrame],
+    cells: Callable[[], DataFrame],
+    tile: float,
+    target: str,
+    checkpoint: str,
+    late: str = "1 hour",
+    trigger: Mapping = DRAIN,
+) -> StreamingQuery:
+    """``stream_ingest`` with its newest rows in a state store and one row per key in the table.
+
+    Only changed keys are joined with the dimensions, which are read again for every
+    batch, and only the days they fall on are rewritten.  The table is read as it is.
+    """
+
+    def complete(batch: DataFrame) -> DataFrame:
+        known = stations().select("station_code", F.col("station_id").alias("_id"))
+        rows = batch.join(known, on="station_code", how="left").withColumn("station_id", F.col("_id")).drop("_id")
+        return join_boxes(rows, cells().filter(F.col("grid_scale") == 1), tile, edges="closed_open")
+
+    rows = parse_messages(messages).filter(F.col("station_code").isNotNull())
+    return _keep_newest(
+        rows, complete, ["station_code", "published_at"], "published_at", late, target, checkpoint, trigger
+    )
+
+
+def tag_newest(
+    rows: DataFrame,
+    cells: Callable[[], DataFrame],
+    tiles: tuple[float, float],
+    target: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("published_at", "station_id"),
+    ts: str = "published_at",
+    late: str = "1 hour",
+    trigger: Mapping = DRAIN,
+) -> StreamingQuery:
+    """``stream_tag_grid`` with its newest rows in a state store and one row per key in the table."""
+    return _keep_newest(
+        rows, lambda batch: tag_grid(batch, cells(), tiles), keys, ts, late, target, checkpoint, trigger
+    )
