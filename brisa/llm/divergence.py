@@ -7,8 +7,9 @@ each globally distinct chunk once, joined back to its counts, and meet by term.
 
 A language keeps its V terms that at least three documents hold.  A document may hold a term in
 several chunks, so documents of chunks cannot simply be added.  Of every group and chunk the
-number of documents is kept, and up to two the keys of these: where there are more the term is kept
-anyway.  Keys are 64-bit hashes of whole rows, so a task that runs again gives the same ones.
+number of documents is kept, and up to two the places of these: where there are more the term is
+kept anyway.  A document's place is its partition and row in the input, which a task that runs again
+finds unchanged in files and stored tables.
 
 Shares are integers of a thousand million: p = 1 + floor(10^9 (count + 1) / (N + V)).  The
 divergence of a term is floor((p - q)^2 / q), a pair's the sum over all V terms.  That sum is
@@ -29,22 +30,22 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.llm.common import slices, stored
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-MIN_DOCUMENTS = 3  # the two keys kept of each chunk prove this bound and no larger one
+MIN_DOCUMENTS = 3  # the two places kept of each chunk prove this bound and no larger one
 SCALE, MOST_TERMS = 1_000_000_000, 200
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ENTRIES = 700_000  # counted chunks that a task holds before it sends them on
+_ENTRIES = 1_200_000  # counted chunks that a task holds before it sends them on
 FEW_GROUPS = 100_000  # groups that are broadcast, once counted; beyond, they are joined by language
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(docs[c].cast("string"), F.lit("")).alias(c)
-    return docs.select(docs["doc_id"].cast("string").alias("doc_id"), text("lang"), text("source"), text("text"))
+    return docs.select(text("lang"), text("source"), text("text"))
 
 
 class _Held:
@@ -75,44 +76,41 @@ class _Held:
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, chunk, n, docs, low, high): occurrences, documents, and the keys of one or two of these.
+    """(lang, source, chunk, n, docs, low, high): occurrences, documents, and the places of one or two of these.
 
     A group and chunk has a row from every task that met it; they lie together by chunk.
     """
     names = ["lang", "source", "chunk", "n", "docs", "low", "high"]
 
-    def rows(held: dict[tuple[str, str], _Held], keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows(held: dict[tuple[str, str], _Held], start: int) -> Iterator[pa.RecordBatch]:
         for (lang, source), own in held.items():
             count = np.array(own.docs)
-            one, two = keys[np.array(own.one)], keys[np.array(own.two)]
             columns = [
                 pa.repeat(lang, len(count)), pa.repeat(source, len(count)),
                 pa.array(list(own.at), pa.binary()).cast(pa.string()), pa.array(own.n, pa.int64()), pa.array(count),
-                pa.array(one, mask=count > 2), pa.array(two, mask=count != 2),
+                pa.array(start + np.array(own.one), mask=count > 2), pa.array(start + np.array(own.two), mask=count != 2),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = TaskContext.get().partitionId() << 40
         held: dict[tuple[str, str], _Held] = {}
-        keys: list[int] = []
-        size = 0
+        size = place = 0
         for batch in slices(batches):
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "lang", "source", "text"))
-            for doc, lang, source, text in zip(*columns, strict=True):
-                encoded = text.encode("utf-8", "surrogatepass")
-                counted = Counter(encoded.split())
+            columns = (batch.column(c).to_pylist() for c in ("lang", "source", "text"))
+            for lang, source, text in zip(*columns, strict=True):
+                place += 1
+                counted = Counter(text.encode("utf-8", "surrogatepass").split())
                 if not counted:
                     continue
-                seed = xxhash.xxh3_64_intdigest(f"{doc}\0{lang}\0{source}".encode("utf-8", "surrogatepass"))
                 own = held.setdefault((lang, source), _Held())
                 size -= len(own.n)
-                own.add(counted, len(keys))
+                own.add(counted, place)
                 size += len(own.n)
-                keys.append(xxhash.xxh3_64_intdigest(encoded, seed))
                 if size > _ENTRIES:
-                    yield from rows(held, np.array(keys, np.uint64).view(np.int64))
-                    held, keys, size = {}, [], 0
-        yield from rows(held, np.array(keys, np.uint64).view(np.int64))
+                    yield from rows(held, start)
+                    held, size = {}, 0
+        yield from rows(held, start)
 
     counted = _grouped(docs).mapInArrow(
         run, "lang string, source string, chunk string, n long, docs long, low long, high long"
@@ -138,29 +136,33 @@ def term_counts(chunks: DataFrame) -> DataFrame:
         .agg(F.collect_list(known).alias("groups"))
     )
     terms = distinct.select("groups", F.explode(found).alias("term")).withColumn("term", F.translate("term", UPPER, LOWER))
-    return terms.select("term", F.inline("groups")).repartition("term")
+    return terms.select("term", F.inline("groups"))
 
 
-def kept_terms(occurrences: DataFrame) -> DataFrame:
-    """(lang, term) that at least three documents of the language hold."""
+def kept_counts(occurrences: DataFrame) -> DataFrame:
+    """(lang, source, term, n) of the terms that at least three documents of the language hold.
+
+    `occurrences` is a stored table.
+    """
+    by_group = occurrences.groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.max("docs").alias("most"), F.sum("docs").alias("total")
+    )
+    # a term has an entry for each source at most
     several = (
-        occurrences.groupBy("lang", "term")
-        .agg(F.max("docs").alias("most"), F.sum("docs").alias("total"))
+        by_group.groupBy("lang", "term")
+        .agg(F.max("most").alias("most"), F.sum("total").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources"))
         .where(F.col("total") >= MIN_DOCUMENTS)
+        .select("lang", "term", "most", "sources")
     )
-    # held by one or two documents in each chunk and group: their keys tell how many these are together
+    several = stored(several, "several")
+    # held by one or two documents in each chunk and group: their places tell how many these are together
     unsure = several.where(F.col("most") < MIN_DOCUMENTS).select("lang", "term")
-    same = F.when(F.col("low") == F.col("high"), F.col("docs")).otherwise(1)  # rows that repeat each other
-    ids = (
-        occurrences.join(unsure, ["lang", "term"])
-        .withColumn("times", same)
-        .select("lang", "term", "times", F.explode(F.array("low", "high")).alias("key"))
-        .groupBy("lang", "term", "key")
-        .agg(F.max("times").alias("times"))
-    )
-    counted = ids.groupBy("lang", "term").agg(F.sum("times").alias("total")).where(F.col("total") >= MIN_DOCUMENTS)
+    places = occurrences.join(unsure, ["lang", "term"]).select("lang", "term", F.explode(F.array("low", "high")).alias("place"))
+    proved = places.where("place is not null").distinct().groupBy("lang", "term").count()
+    proved = proved.where(F.col("count") >= MIN_DOCUMENTS).select("lang", "term")
     sure = several.where(F.col("most") >= MIN_DOCUMENTS)
-    return sure.select("lang", "term").union(counted.select("lang", "term"))
+    kept = sure.unionByName(several.where(F.col("most") < MIN_DOCUMENTS).join(proved, ["lang", "term"], "left_semi"))
+    return kept.select("lang", "term", F.inline("sources")).select("lang", "source", "term", "n")
 
 
 def share(count: str) -> Column:
@@ -213,10 +215,8 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank): each source's distance to the others, and its most typical terms."""
-    # both meet by term: kept terms and their counts need no further exchange
-    occurrences = term_counts(chunk_counts(docs))
-    counts = occurrences.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    counts = stored(counts.join(kept_terms(occurrences), ["lang", "term"]), "term-counts")
+    occurrences = stored(term_counts(chunk_counts(docs)), "occurrences")
+    counts = stored(kept_counts(occurrences), "term-counts")
     kept = counts.select("lang", "term").distinct()
     terms = kept.groupBy("lang").agg(F.count("*").alias("terms"))
     groups = (

@@ -47,7 +47,8 @@ def run(df):
 
 
 def kept(df):
-    return {tuple(r) for r in divergence.kept_terms(divergence.term_counts(divergence.chunk_counts(df))).collect()}
+    occurrences = divergence.stored(divergence.term_counts(divergence.chunk_counts(df)), "occurrences")
+    return {(r["lang"], r["term"]) for r in divergence.kept_counts(occurrences).collect()}
 
 
 def told(df):
