@@ -144,24 +144,31 @@ def kept_counts(occurrences: DataFrame) -> DataFrame:
 
     `occurrences` is a stored table.
     """
-    by_group = occurrences.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.max("docs").alias("most"), F.sum("docs").alias("total")
+    # a source's documents are its own: two of a term's places in it prove two
+    far = F.when(F.min("low") != F.max(F.coalesce("high", "low")), 2).otherwise(1)
+    by_group = (
+        occurrences.repartition("lang", "term")
+        .groupBy("lang", "source", "term")
+        .agg(F.sum("n").alias("n"), F.sum("docs").alias("total"), F.greatest(F.max("docs"), far).alias("proved"))
     )
     # a term has an entry for each source at most
     several = (
         by_group.groupBy("lang", "term")
-        .agg(F.max("most").alias("most"), F.sum("total").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources"))
+        .agg(
+            F.sum("proved").alias("proved"), F.sum("total").alias("total"),
+            F.collect_list(F.struct("source", "n")).alias("sources"),
+        )
         .where(F.col("total") >= MIN_DOCUMENTS)
-        .select("lang", "term", "most", "sources")
+        .select("lang", "term", (F.col("proved") >= MIN_DOCUMENTS).alias("sure"), "sources")
     )
     several = stored(several, "several")
-    # held by one or two documents in each chunk and group: their places tell how many these are together
-    unsure = several.where(F.col("most") < MIN_DOCUMENTS).select("lang", "term")
-    places = occurrences.join(unsure, ["lang", "term"]).select("lang", "term", F.explode(F.array("low", "high")).alias("place"))
+    sure, unsure = several.where("sure"), several.where("not sure")
+    # the others' places tell how many documents they are together
+    places = occurrences.join(unsure.select("lang", "term"), ["lang", "term"])
+    places = places.select("lang", "term", F.explode(F.array("low", "high")).alias("place"))
     proved = places.where("place is not null").distinct().groupBy("lang", "term").count()
     proved = proved.where(F.col("count") >= MIN_DOCUMENTS).select("lang", "term")
-    sure = several.where(F.col("most") >= MIN_DOCUMENTS)
-    kept = sure.unionByName(several.where(F.col("most") < MIN_DOCUMENTS).join(proved, ["lang", "term"], "left_semi"))
+    kept = sure.unionByName(unsure.join(proved, ["lang", "term"], "left_semi"))
     return kept.select("lang", "term", F.inline("sources")).select("lang", "source", "term", "n")
 
 
