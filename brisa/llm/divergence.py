@@ -139,8 +139,10 @@ def term_counts(chunks: DataFrame) -> DataFrame:
     return terms.select("term", F.inline("groups"))
 
 
-def kept_counts(occurrences: DataFrame) -> DataFrame:
-    """(lang, source, term, n) of the terms that at least three documents of the language hold.
+def kept_terms(occurrences: DataFrame) -> DataFrame:
+    """(lang, term, sources) of the terms that at least three documents of the language hold.
+
+    `sources` has each source that holds the term, with its occurrences n.
 
     `occurrences` is a stored table.
     """
@@ -168,83 +170,86 @@ def kept_counts(occurrences: DataFrame) -> DataFrame:
     places = places.select("lang", "term", F.explode(F.array("low", "high")).alias("place"))
     proved = places.where("place is not null").distinct().groupBy("lang", "term").count()
     proved = proved.where(F.col("count") >= MIN_DOCUMENTS).select("lang", "term")
-    kept = sure.unionByName(unsure.join(proved, ["lang", "term"], "left_semi"))
-    return kept.select("lang", "term", F.inline("sources")).select("lang", "source", "term", "n")
+    return sure.unionByName(unsure.join(proved, ["lang", "term"], "left_semi")).drop("sure")
 
 
-def share(count: str) -> Column:
+def share(count: str, total: str = "total") -> Column:
     """1 + floor(10^9 (count + 1) / (N + V)), exact for any count; null without terms."""
     top = f"CAST({SCALE} AS DECIMAL(10, 0)) * CAST({count} + 1 AS DECIMAL(20, 0))"
-    return F.expr(f"1 + ({top}) DIV CAST(nullif(total + terms, 0) AS DECIMAL(20, 0))")
+    return F.expr(f"1 + ({top}) DIV CAST(nullif({total} + terms, 0) AS DECIMAL(20, 0))")
 
 
 def apart(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q}) DIV {q})"
 
 
-def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
+def _groups(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, source, total, terms, whole, none): N and V of each group, N of its language, share of no occurrence."""
+    totals = kept.select("lang", F.inline("sources")).groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    groups = (
+        _grouped(docs).select("lang", "source").distinct()
+        .join(totals, ["lang", "source"], "left")
+        .join(kept.groupBy("lang").agg(F.count("*").alias("terms")), "lang", "left")
+        .join(totals.groupBy("lang").agg(F.sum("total").alias("whole")), "lang", "left")
+        .na.fill(0, ["total", "terms", "whole"])
+    )
+    groups = stored(groups.withColumn("none", share("0")), "groups")
+    return F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups
+
+
+def _pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) for every two sources of a language."""
-    g = groups.select("lang", "source", F.col("none").alias("p0"), "terms")
-    h = groups.select("lang", F.col("source").alias("item"), F.col("none").alias("q0"))
-    h = F.broadcast(h) if h.count() <= FEW_GROUPS else h
+    here = ["lang", "source"]
+    own = groups.select(*here, "total", "terms", F.col("none").alias("p0"))
+    item = groups.select("lang", F.col("source").alias("item"), F.col("total").alias("there"), F.col("none").alias("q0"))
     other = F.col("source") != F.col("item")
     # no occurrence anywhere
-    base = g.join(h, "lang").where(other).select(
-        "lang", "source", "item", F.expr(f"coalesce(terms * {apart('p0', 'q0')}, 0L)").alias("value")
+    base = own.join(item, "lang").where(other).select(
+        *here, "item", F.expr(f"coalesce(terms * {apart('p0', 'q0')}, 0L)").alias("value")
     )
-    # terms of one side: by its distinct shares, against each other source without the term
-    few = shares.groupBy("lang", "source", "none", "p").agg(F.count("*").alias("times"))
-    few = few.select("lang", "source", F.col("none").alias("p0"), "p", "times")
-    forth = f"times * ({apart('p', 'q0')} - {apart('p0', 'q0')})"
-    back = f"times * ({apart('q0', 'p')} - {apart('q0', 'p0')})"
-    ways = lambda forward, backward: F.inline(
+    ways = F.inline(
         F.array(
-            F.struct(F.col("source"), F.col("item"), forward.alias("value")),
-            F.struct(F.col("item").alias("source"), F.col("source").alias("item"), backward.alias("value")),
+            F.struct("source", "item", F.col("forth").alias("value")),
+            F.struct(F.col("item").alias("source"), F.col("source").alias("item"), F.col("back").alias("value")),
         )
     )
+    # terms of one side: by its distinct shares, against each other source without the term
+    held = kept.select("lang", "sources", F.inline("sources")).join(own, here).withColumn("p", share("n"))
+    few = held.groupBy(*here, "p0", "p").agg(F.count("*").alias("times"))
     alone = (
-        few.join(h, "lang").where(other).groupBy("lang", "source", "item")
-        .agg(F.expr(f"sum({forth})").alias("forth"), F.expr(f"sum({back})").alias("back"))
-        .select("lang", ways(F.col("forth"), F.col("back")))
+        few.join(item, "lang").where(other).groupBy(*here, "item")
+        .agg(
+            F.expr(f"sum(times * ({apart('p', 'q0')} - {apart('p0', 'q0')}))").alias("forth"),
+            F.expr(f"sum(times * ({apart('q0', 'p')} - {apart('q0', 'p0')}))").alias("back"),
+        )
     )
-    # terms of both
-    left = shares.select("lang", "term", "source", "p", F.col("none").alias("p0"))
-    right = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("none").alias("q0"))
+    # terms of both: each term has its sources beside it
     beyond = lambda a, b, a0, b0: f"sum({apart(a, b)} - {apart(a, b0)} - {apart(a0, b)} + {apart(a0, b0)})"
     both = (
-        left.join(right, ["lang", "term"]).where(F.col("source") < F.col("item")).groupBy("lang", "source", "item")
+        held.select(*here, "terms", "p", "p0", F.inline("sources").alias("item", "m"))
+        .where(F.col("source") < F.col("item"))
+        .join(item, ["lang", "item"])
+        .withColumn("q", share("m", "there"))
+        .groupBy(*here, "item")
         .agg(F.expr(beyond("p", "q", "p0", "q0")).alias("forth"), F.expr(beyond("q", "p", "q0", "p0")).alias("back"))
-        .select("lang", ways(F.col("forth"), F.col("back")))
     )
-    return base.union(alone).union(both).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    changes = alone.unionByName(both).select("lang", ways)
+    return base.union(changes).groupBy(*here, "item").agg(F.sum("value").alias("value"))
 
 
 def audit(docs: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank): each source's distance to the others, and its most typical terms."""
-    occurrences = stored(term_counts(chunk_counts(docs)), "occurrences")
-    counts = stored(kept_counts(occurrences), "term-counts")
-    kept = counts.select("lang", "term").distinct()
-    terms = kept.groupBy("lang").agg(F.count("*").alias("terms"))
-    groups = (
-        _grouped(docs).select("lang", "source").distinct()
-        .join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
-        .join(terms, "lang", "left")
-        .na.fill(0, ["total", "terms"])
-        .withColumn("none", share("0"))
+    kept = stored(kept_terms(stored(term_counts(chunk_counts(docs)), "occurrences")), "kept-terms")
+    groups = _groups(docs, kept)
+    everywhere = F.aggregate("sources", F.lit(0).cast("long"), lambda n, s: n + s["n"])
+    typical = (
+        kept.withColumn("everywhere", everywhere).select("lang", "term", "everywhere", F.inline("sources"))
+        .join(groups, ["lang", "source"])
+        .withColumns({"p": share("n"), "q": share("everywhere", "whole")})
+        .where("p > q")
+        .select("lang", "source", F.col("term").alias("item"), F.expr(apart("p", "q")).alias("value"))
     )
-    groups = stored(groups, "groups")
-    shares = counts.join(groups, ["lang", "source"]).withColumn("p", share("n")).select("lang", "source", "term", "p", "none")
-    shares = stored(shares, "shares")
-
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).join(terms, "lang")
-    whole = whole.join(totals, "lang").select("lang", "term", share("n").alias("q"))
-    typical = shares.join(whole, ["lang", "term"]).where("p > q")
-    typical = typical.select("lang", "source", F.col("term").alias("item"), F.expr(apart("p", "q")).alias("value"))
-
-    ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    rank = F.row_number().over(ranked)
-    pairs = _pairs(shares, groups).withColumn("rank", rank).withColumn("part", F.lit("pair"))
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
+    pairs = _pairs(kept, groups).withColumn("rank", rank).withColumn("part", F.lit("pair"))
     typical = typical.withColumn("rank", rank).where(F.col("rank") <= MOST_TERMS).withColumn("part", F.lit("term"))
     return pairs.unionByName(typical).select("lang", "source", "part", "item", "value", "rank")

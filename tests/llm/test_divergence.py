@@ -48,7 +48,7 @@ def run(df):
 
 def kept(df):
     occurrences = divergence.stored(divergence.term_counts(divergence.chunk_counts(df)), "occurrences")
-    return {(r["lang"], r["term"]) for r in divergence.kept_counts(occurrences).collect()}
+    return {(r["lang"], r["term"]) for r in divergence.kept_terms(occurrences).collect()}
 
 
 def told(df):
