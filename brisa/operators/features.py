@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brisa.functions import geo
 from brisa.operators.spatial import join_radius
+from brisa.operators.tiles import near_totals
 from brisa.params import FEATURE_RADIUS_M
 
 PLACE = ["_place"]
@@ -75,6 +76,34 @@ def sum_feature(points: DataFrame, places: DataFrame, value: str, name: str) ->
     return near_sites(spots, places, [F.sum("_v").alias(name)])
 
 
+# --- the same from a pyramid of tiles: for dense fixes, whose pairs with stations would be too many
+
+
+def _near(points: DataFrame, places: DataFrame, sums: dict[str, str], members: Sequence[str] = ()) -> DataFrame:
+    return near_totals(points, places, FEATURE_RADIUS_M, PLACE, sums, members)
+
+
+def truck_features_by_tile(trucks: DataFrame, places: DataFrame) -> DataFrame:
+    """``truck_features`` with the trucks of whole tiles merged as sets."""
+    seen = _near(trucks.filter(F.col("speed") > 0), places, {"truck_trajectory": "1"}, ["plate_num", "sim_card"])
+    known = F.col("plate_num").isNotNull() & F.col("sim_card").isNotNull()
+    return seen.groupBy(*PLACE).agg(
+        F.count_if(known).alias("truck_num"), F.sum("truck_trajectory").alias("truck_trajectory")
+    )
+
+
+def mean_features_by_tile(points: DataFrame, places: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``mean_features`` from sums and counts of whole tiles."""
+    sums = {f"_{n}_sum": n for n in names} | {f"_{n}_n": f"CAST({n} IS NOT NULL AS INT)" for n in names}
+    found = _near(points, places, sums)
+    return found.select(*PLACE, *[F.try_divide(f"_{n}_sum", f"_{n}_n").alias(n) for n in names])
+
+
+def sum_feature_by_tile(points: DataFrame, places: DataFrame, value: str, name: str) -> DataFrame:
+    """``sum_feature`` from sums of whole tiles."""
+    return _near(points, places, {name: value})
+
+
 def flow_feature(sections: DataFrame, places: DataFrame) -> DataFrame:
     """Traffic flow: largest per section, mean per road, summed per position.
 

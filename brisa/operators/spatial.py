@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brisa.functions import geo, times
 from brisa.operators.latest import first_per_key
+from brisa.session import stored
 
 # How a box treats its own edges: low side, high side.
 EDGES = {
@@ -191,3 +192,51 @@ def thin_trajectory(
     linked = edges.withColumns({"_first": F.col("_before").isNull(), "_before": across})
     entries = linked.filter(F.col("_first") & ~stays).drop("_first")
     return inner.unionByName(entries).drop("_cell", "_bucket", "_before", "_after")
+
+
+def carried_lag(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
+    """Add ``_before``: ``value`` of the row before, per ``by`` in ``order``, as a struct; null at the first one.
+
+    The lag of a window, for keys of any size.  Rows are dealt to ranges of (by, order),
+    so a key with most of the rows fills many ranges.  Each range finds the
+    predecessors of its rows but the first, which takes the last row of the nearest range
+    before it that has any: a table with one row for each range.  The ranges are
+    stored, because their bounds come from a sample and must not be drawn twice.
+    ``by`` and ``order`` together should tell all rows apart.
+    """
+    spark = df.sparkSession
+    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, *order]
+    dealt = df.repartitionByRange(count, *keys).withColumn("_range", F.spark_partition_id())
+    dealt = stored(dealt, "ranges")
+    row = F.struct(*by, F.struct(value).alias("_value"))
+    within = Window.partitionBy("_range").orderBy(*keys)
+    seen = dealt.withColumns({"_last": F.lag(row).over(within)})
+    ends = dealt.groupBy("_range").agg(F.max_by(row, F.struct(*keys)).alias("_end"))
+    # one row for each range
+    carried = ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_carried"))
+    joined = seen.join(F.broadcast(carried) if count <= 100_000 else carried, "_range", "left")
+    last = F.coalesce("_last", "_carried")
+    same = F.lit(True)
+    for c in by:
+        same = same & last[c].eqNullSafe(F.col(c))
+    return joined.withColumn("_before", F.when(same, last["_value"])).drop("_range", "_last", "_carried")
+
+
+def thin_trajectory_in_ranges(
+    points: DataFrame, vehicle: str = "name", box: str = "inner", cells: int = 500, ranges: int | None = None
+) -> DataFrame:
+    """``thin_trajectory`` for names with any number of points.
+
+    Also where the points have no name at all: ranges of time are ranked on their own, and
+    only their last cells are handed on.
+    """
+    clean = first_per_key(
+        points.withColumn("published_at", times.floor_second(F.col("published_at"))),
+        ["plate_num", "published_at"],
+        [F.col(c).asc_nulls_last() for c in (vehicle, "lon", "lat", "speed")],
+    )
+    staged = clean.withColumn("_cell", geo.grid_id("lon", "lat", box, cells, cells))
+    linked = carried_lag(staged, [vehicle], ["published_at", "plate_num"], "_cell", ranges)
+    stays = F.coalesce(F.col("_cell") == F.col("_before._cell"), F.lit(False))
+    return linked.filter(~stays).drop("_cell", "_before")

@@ -6,11 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from brisa.operators import periods, rollup
-from brisa.plans import adapters, sql
-from brisa.plans.registry import flat, query
+from brisa.operators import completeness, features, periods, rollup, score, score_states, spatial, tiles
+from brisa.plans import adapters, cleaning, places, scoring, sql
+from brisa.plans.registry import ORACLES, flat, query
 from brisa.plans.rollups import area_days
-from brisa.session import shared_dir
+from brisa.session import shared_dir, stored
 from brisa.sources import sinks
 
 MONTH = ["published_year", "published_month"]
@@ -124,3 +124,94 @@ def merge_partitions(spark, sf):
     late = late.withColumns({"event_type": F.lit("late"), "value": F.col("value") + 1})
     sinks.merge_partitions(late, path, keys, "published_at", by)
     return spark.read.schema(hours.schema).parquet(path)
+
+
+# --- scores from stored states ------------------------------------------------
+
+
+def day_states(spark, pairs, keys, said="f"):
+    """States of scores per key and day, kept by month and read back."""
+    path = shared_dir(spark, "score-states")
+    dated = pairs.withColumn("published_at", F.to_date("published_at"))
+    states = score_states.score_state(dated, [*keys, "published_at"], said)
+    sinks.overwrite_partitions(states.withColumns(rollup.period_columns("month")), path, MONTH)
+    return spark.read.parquet(path)
+
+
+LEAD = ["control_area_id", "forecast_interval"]
+
+
+@query("B9_grid_score_from_states", ORACLES["B9_grid_forecast_score"])
+def grid_score_from_states(spark, sf):
+    states = day_states(spark, scoring.grid_pairs(spark, sf), LEAD)
+    return scoring.rounded(score_states.scores(score_states.merge_scores(states, LEAD), LEAD))
+
+
+@query("B10_history_from_states", ORACLES["B10_score_history"])
+def history_from_states(spark, sf):
+    """Monthly scores and their mean from stored days; no pair is read again."""
+    states = day_states(spark, scoring.grid_pairs(spark, sf), LEAD)
+    months = [*LEAD, *MONTH]
+    monthly = score_states.scores(score_states.merge_scores(states, months), months)
+    return scoring.rounded(score.score_history([monthly], LEAD))
+
+
+@query("B12_inference_score_from_states", ORACLES["B12_inference_score"])
+def inference_score_from_states(spark, sf):
+    pairs = score.inference_pairs(
+        adapters.mobile_samples(spark, sf), scoring.inferred_cells(spark, sf), scoring.listed_cells(spark, sf)
+    )
+    states = day_states(spark, pairs, ["control_area_id"], "i")
+    merged = score_states.merge_scores(states, ["control_area_id"])
+    return scoring.rounded(score_states.scores(merged, ["control_area_id"]))
+
+
+# --- hours as bits ------------------------------------------------------------
+
+
+@query("J11_missing_by_mask", ORACLES["J11_missing_hours"])
+def missing_by_mask(spark, sf):
+    actual, cells = cleaning._loaded(spark, sf)
+    return completeness.missing_by_mask(completeness.hour_masks(actual), cells, *cleaning._hours())
+
+
+@query("B21_completeness_by_mask", ORACLES["B21_completeness"])
+def completeness_by_mask(spark, sf):
+    actual, cells = cleaning._loaded(spark, sf)
+    return completeness.completeness_by_mask(completeness.hour_masks(actual), cells, *cleaning._hours())
+
+
+# --- circles from tiles, tracks in ranges --------------------------------------
+
+
+@query("J6_radius_by_tiles", ORACLES["J6_radius_pairs"])
+def radius_by_tiles(spark, sf):
+    return tiles.near_totals(
+        places.weather_points(spark, sf), adapters.site_stations(spark, sf), 5000, ["station_id"],
+        {"points": "1", "humidity": "humidity"},
+    )
+
+
+@query("B13_features_by_tiles", sql.with_views("truck_feature weather_feature dust_feature earth_feature", """
+  SELECT station_id, lon, lat, truck_num, truck_trajectory, earth_num, dust_index, round(rainfall, 6) AS rainfall,
+    round(humidity, 6) AS humidity, round(traffic_index, 6) AS traffic_index, round(solar_radiation, 6) AS solar_radiation
+  FROM sites LEFT JOIN dust_feature USING (lon, lat) LEFT JOIN earth_feature USING (lon, lat)
+  LEFT JOIN truck_feature USING (lon, lat) LEFT JOIN weather_feature USING (lon, lat)"""))
+def features_by_tiles(spark, sf):
+    stations = adapters.site_stations(spark, sf).drop("station_name")
+    near = features.sites(stations)
+    means = ["rainfall", "humidity", "traffic_index", "solar_radiation"]
+    parts = [
+        features.truck_features_by_tile(adapters.truck_points(spark, sf), near),
+        features.mean_features_by_tile(places.weather_points(spark, sf), near, means),
+        features.sum_feature_by_tile(places.dust_points(spark, sf), near, "dust", "dust_index"),
+        features.sum_feature_by_tile(places.waiting_trucks(spark, sf), near, "waiting", "earth_num"),
+    ]
+    # each part is some hundred tiles a station: stored, so that they are planned one by one
+    out = features.station_features(stations, [stored(p, "near") for p in parts])
+    return out.withColumns({m: F.round(m, 6) for m in means})
+
+
+@query("B16_thin_in_ranges", ORACLES["B16_thin_trajectory"])
+def thin_in_ranges(spark, sf):
+    return spatial.thin_trajectory_in_ranges(places.slow_trucks(spark, sf))
