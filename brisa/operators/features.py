@@ -11,6 +11,7 @@ from brisa.functions import geo
 from brisa.operators.spatial import join_radius
 from brisa.operators.tiles import near_totals
 from brisa.params import FEATURE_RADIUS_M
+from brisa.session import stored
 
 PLACE = ["_place"]
 
@@ -170,6 +171,71 @@ def interpolated_wind(stations: DataFrame, wind: DataFrame, names: Sequence[str]
     return placed.withColumn("wind_speed", F.round(speed, 2)).drop("_reports", "_w")
 
 
+def one_position(wind: DataFrame) -> DataFrame:
+    """Wind stations by name with their mean speed; a name at two positions is an error."""
+    spot = F.struct("lon", "lat")
+    known = wind.filter(F.col("wind_speed").isNotNull() & F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    found = known.groupBy("station_name").agg(
+        F.min(spot).alias("_a"), F.max(spot).alias("_b"), F.avg("wind_speed").alias("wind_speed")
+    )
+    moved = F.raise_error(F.concat(F.lit("wind station at two positions: "), F.col("station_name")))
+    return found.select(
+        "station_name", F.col("_a.lon").alias("lon"), F.col("_a.lat").alias("lat"),
+        F.when(F.col("_a") == F.col("_b"), F.col("wind_speed")).otherwise(moved.cast("double")).alias("wind_speed"),
+    )
+
+
+def wind_by_rings(
+    stations: DataFrame, wind: DataFrame, tolerance: float = 0.005, first_m: float = 20_000.0, rings: int = 4
+) -> DataFrame:
+    """``interpolated_wind`` for any number of wind stations, with a bound on its error.
+
+    A station first takes the wind stations within ``first_m``.  Each of the m others weighs
+    1 / R^2 at most, so together they move the weighted mean by no more than
+    (highest - lowest speed) * b / (B + b), with b = m / R^2 and B the weight of those
+    taken.  Stations where that exceeds ``tolerance`` search again with twice the radius,
+    ``rings`` times in all; what is uncertain then is refused: its speed is null.
+    ``wind_error`` holds the bound.  A wind station in the same place decides alone.
+    Stations are told apart by position, as they share what is near them.
+    """
+    known = stored(one_position(wind), "wind")
+    about = known.agg(
+        F.count("*").alias("_all"), (F.max("wind_speed") - F.min("wind_speed")).alias("_spread")
+    )
+    todo, done = sites(stations.where("lon IS NOT NULL AND lat IS NOT NULL")), []
+    for ring in range(rings):
+        radius = first_m * 2**ring
+        places = stored(todo, "places")
+        near = join_radius(
+            known.withColumnsRenamed({"lon": "_wlon", "lat": "_wlat"}).withColumns({"lon": F.col("_wlon"), "lat": F.col("_wlat")}),
+            places, radius, [*PLACE],
+        )
+        d = geo.distance_m("_wlon", "_wlat", "_place.lon", "_place.lat").cast("double")
+        near = near.withColumn("_d", d * d)
+        sums = near.groupBy(*PLACE).agg(
+            F.avg(F.when(F.col("_d") == 0, F.col("wind_speed"))).alias("_here"),
+            F.sum(F.try_divide("wind_speed", "_d")).alias("_a"), F.sum(F.try_divide(F.lit(1.0), "_d")).alias("_b"),
+            F.count("*").alias("_taken"),
+        )
+        found = places.join(sums, PLACE, "left").crossJoin(F.broadcast(about))
+        left_out = (F.col("_all") - F.coalesce("_taken", F.lit(0))) / (radius * radius)
+        bound = F.coalesce(F.try_divide(F.col("_spread") * left_out, F.coalesce("_b", F.lit(0.0)) + left_out), F.lit(0.0))
+        speed = F.coalesce("_here", F.try_divide("_a", "_b"))
+        speed = F.when(F.col("_all") == 0, 0.0).otherwise(speed)
+        found = found.withColumns({"wind_error": F.when(F.col("_here").isNotNull(), 0.0).otherwise(bound), "_speed": speed})
+        found = stored(found.select(*PLACE, "_speed", "wind_error"), "ring")
+        sure = (F.col("wind_error") <= tolerance) & F.col("_speed").isNotNull()
+        if ring == rings - 1:
+            done.append(found.withColumn("_speed", F.when(sure, F.col("_speed"))))
+            break
+        done.append(found.where(sure))
+        todo = places.join(found.where(sure).select(*PLACE), PLACE, "left_anti")
+    flat = reduce(DataFrame.unionByName, done).select(
+        F.col("_place.lon").alias("lon"), F.col("_place.lat").alias("lat"), F.round("_speed", 2).alias("wind_speed"), "wind_error"
+    )
+    return stations.join(flat, ["lon", "lat"], "left")
+
+
 def diffusion_level(stations: DataFrame, forecasts: DataFrame, day: Column) -> DataFrame:
     """Level of the newest diffusion forecast for ``day``, the same at every station.
 

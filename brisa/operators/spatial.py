@@ -240,3 +240,109 @@ def thin_trajectory_in_ranges(
     linked = carried_lag(staged, [vehicle], ["published_at", "plate_num"], "_cell", ranges)
     stays = F.coalesce(F.col("_cell") == F.col("_before._cell"), F.lit(False))
     return linked.filter(~stays).drop("_cell", "_before")
+
+
+# --- crowded tiles --------------------------------------------------------------
+
+DEPTH = 6  # times a tile can be cut in four
+FEW_TILES = 10_000  # crowded tiles that are broadcast, once counted
+
+
+def _node(level: int, depth: int = DEPTH) -> str:
+    """Code of the node that holds a finest tile ``level`` cuts below its base tile."""
+    mask = 2**level - 1
+    row, column = (f"(shiftright({c}, {depth - level}) & {mask})" for c in ("_frow", "_fcolumn"))
+    return f"CAST({4**level} + {row} * {2**level} + {column} AS INT)"
+
+
+def _finest(tile: float) -> dict[str, Column]:
+    return {"_frow": geo.tile("lat", tile / 2**DEPTH), "_fcolumn": geo.tile("lon", tile / 2**DEPTH)}
+
+
+def crowded_tiles(points: DataFrame, tile: float, limit: int) -> DataFrame:
+    """Tiles with more than ``limit`` points: ``_row``, ``_column`` and the nodes to cut, ``_cut``.
+
+    An adaptive quadtree: a node with more than ``limit`` points is cut in four, DEPTH
+    times at most.  Only counts are moved: of tiles, and of crowded ones' finest
+    parts, at most 4^DEPTH each, added up from the bottom.
+    """
+    base = {c: F.expr(f"shiftright({f}, {DEPTH})") for c, f in (("_row", "_frow"), ("_column", "_fcolumn"))}
+    counts = points.withColumns(_finest(tile)).groupBy("_frow", "_fcolumn").agg(F.count("*").alias("_n"))
+    counts = stored(counts.where("_frow IS NOT NULL AND _fcolumn IS NOT NULL").withColumns(base), "tile-counts")
+    crowded = counts.groupBy("_row", "_column").agg(F.sum("_n").alias("_n")).where(F.col("_n") > limit)
+    inside = counts.join(crowded.select("_row", "_column"), ["_row", "_column"], "left_semi")
+    nodes = F.explode(F.expr(f"array({', '.join(_node(d) for d in range(1, DEPTH))})")).alias("_node")
+    full = inside.select("_row", "_column", "_n", nodes).groupBy("_row", "_column", "_node").agg(F.sum("_n").alias("_n"))
+    cut = full.where(F.col("_n") > limit).groupBy("_row", "_column").agg(F.collect_list("_node").alias("_cut"))
+    return crowded.drop("_n").join(cut, ["_row", "_column"], "left").withColumn("_cut", F.coalesce("_cut", F.array().cast("array<int>")))
+
+
+LEAF = ["_depth", "_lrow", "_lcolumn"]
+
+
+def leaf_of(points: DataFrame, crowded: DataFrame, tile: float) -> DataFrame:
+    """Points with the leaf they lie in: its depth, and row and column of tiles of that depth."""
+    base = {"_row": F.expr(f"shiftright(_frow, {DEPTH})"), "_column": F.expr(f"shiftright(_fcolumn, {DEPTH})")}
+    arms = " ".join(f"WHEN NOT array_contains(_cut, {_node(d)}) THEN {d}" for d in range(1, DEPTH))
+    depth = F.expr(f"CASE WHEN _cut IS NULL THEN 0 {arms} ELSE {DEPTH} END")
+    placed = points.withColumns(_finest(tile)).withColumns(base).join(crowded, ["_row", "_column"], "left")
+    placed = placed.withColumn("_depth", depth)
+    up = f"{DEPTH} - _depth"
+    leaf = {"_lrow": F.expr(f"shiftright(_frow, {up})"), "_lcolumn": F.expr(f"shiftright(_fcolumn, {up})")}
+    return placed.withColumns(leaf).drop("_row", "_column", "_cut", "_frow", "_fcolumn")
+
+
+def _leaves_of_boxes(boxes: DataFrame, crowded: DataFrame, tile: float) -> DataFrame:
+    """Boxes with every leaf they touch, cut by cut from the tiles of depth 0."""
+    listed = boxes.withColumn("_lrow", _tiles("_min_lat", "_max_lat", tile)).withColumn(
+        "_lcolumn", _tiles("_min_lon", "_max_lon", tile)
+    )
+    at = (F.col("_lrow") == F.col("_row")) & (F.col("_lcolumn") == F.col("_column"))
+    listed = listed.join(crowded, at, "left").withColumn("_open", F.col("_cut").isNotNull())
+    found = []
+    for depth in range(DEPTH + 1):
+        found.append(listed.where("NOT _open").withColumn("_depth", F.lit(depth)).drop("_row", "_column", "_cut", "_open"))
+        if depth == DEPTH:
+            break
+        width, level = tile / 2 ** (depth + 1), depth + 1
+        quarter = F.array(*[F.struct((F.col("_lrow") * 2 + i).alias("_r"), (F.col("_lcolumn") * 2 + j).alias("_c")) for i in (0, 1) for j in (0, 1)])
+        kept = [c for c in listed.columns if c not in ("_lrow", "_lcolumn", "_open")]
+        listed = listed.where("_open").select(*kept, F.inline(quarter)).withColumnsRenamed({"_r": "_lrow", "_c": "_lcolumn"})
+        touches = (
+            (F.col("_lrow") >= geo.tile("_min_lat", width)) & (F.col("_lrow") <= geo.tile("_max_lat", width))
+            & (F.col("_lcolumn") >= geo.tile("_min_lon", width)) & (F.col("_lcolumn") <= geo.tile("_max_lon", width))
+        )
+        mask = 2**level - 1
+        code = F.expr(f"CAST({4**level} + (_lrow & {mask}) * {2**level} + (_lcolumn & {mask}) AS INT)")
+        again = F.array_contains("_cut", code) if level < DEPTH else F.lit(False)
+        listed = listed.where(touches).withColumn("_open", again)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def join_boxes_crowded(
+    points: DataFrame, cells: DataFrame, tile: float, limit: int, edges: str = "open_closed", how: str = "left"
+) -> DataFrame:
+    """``join_boxes`` where single tiles hold a large part of the points.
+
+    Tiles with more than ``limit`` points are cut into quarters until none holds
+    more (points at one spot stay together); boxes are listed under every leaf that they
+    touch.  So what meets by key is at most about ``limit`` points.
+    """
+    above, below = EDGES[edges]
+    crowded = stored(crowded_tiles(points, tile, limit), "crowded")
+    crowded = F.broadcast(crowded) if crowded.count() <= FEW_TILES else crowded
+    bounds = ("min_lat", "min_lon", "max_lat", "max_lon")
+    boxes = cells.select("grid_id", *[F.col(c).alias(f"_{c}") for c in bounds])
+    boxes = _leaves_of_boxes(boxes, crowded, tile).withColumnsRenamed({c: f"{c}_box" for c in LEAF})
+    placed = leaf_of(points, crowded, tile)
+    inside = (
+        above(F.col("lat"), F.col("_min_lat")) & below(F.col("lat"), F.col("_max_lat"))
+        & above(F.col("lon"), F.col("_min_lon")) & below(F.col("lon"), F.col("_max_lon"))
+    )
+    for c in LEAF:
+        inside = (F.col(c) == F.col(f"{c}_box")) & inside
+    dropped = [*LEAF, *[f"{c}_box" for c in LEAF], *[f"_{c}" for c in bounds]]
+    return placed.join(boxes, inside, how).drop(*dropped)

@@ -99,3 +99,54 @@ def weather_history(rows: DataFrame, cells: DataFrame) -> DataFrame:
         "water_gas_pressure", F.round("water_gas_pressure", 2)
     )
     return out.join(cells, on="grid_id", how="left")
+
+
+# --- documents of several vendors -------------------------------------------------
+
+# Canonical fields that are text in every layout; the others are numbers.
+TEXT_FIELDS = (
+    "weather", "weather_day", "weather_night", "wind_dir", "wind_direction", "wind_degrees_direction",
+    "wind_speed_level", "published_at", "forecast_at",
+)
+
+
+def parsed_documents(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with their text as VARIANT in ``_doc``, and the rows whose text is no JSON (or null).
+
+    The second table is kept beside the first, so that what a vendor broke can be read again.
+    """
+    parsed = docs.withColumn("_doc", F.try_parse_json(F.col(text)))
+    return parsed.filter(F.col("_doc").isNotNull()), parsed.filter(F.col("_doc").isNull()).drop("_doc")
+
+
+def flatten_mixed(
+    docs: DataFrame,
+    vendor: str,
+    keep: Sequence[str],
+    layouts: Mapping[str, Mapping[str, str]] = WEATHER_FIELDS,
+    texts: Sequence[str] = TEXT_FIELDS,
+) -> DataFrame:
+    """Parsed documents of all vendors to one row per element, in one pass.
+
+    ``vendor`` names each row's layout; a layout maps the vendor's keys to canonical fields,
+    and the result has the fields of all layouts.  A document is an array of elements or a
+    single one; ``_item`` is the element's place.  Keys that a layout does not name are left
+    in the VARIANT and cost nothing; a value of another type than expected, a filler or the
+    no-data text is null.  Documents of unknown vendors give rows of nulls.
+    """
+    elements = F.coalesce(F.try_variant_get("_doc", "$", "array<variant>"), F.array("_doc"))
+    rows = docs.select(*keep, F.col(vendor).alias("_vendor"), F.posexplode(elements).alias("_item", "_e"))
+    sources: dict[str, list[Column]] = {}
+    parts = {}
+    for k, (layout, fields) in enumerate(layouts.items()):
+        schema = ", ".join(f"`{source}`: string" for source in fields)
+        parts[f"_l{k}"] = F.when(F.col("_vendor") == layout, F.try_variant_get("_e", "$", f"struct<{schema}>"))
+        for source, target in fields.items():
+            sources.setdefault(target, []).append(F.col(f"_l{k}.`{source}`"))
+    out = []
+    for target, named in sources.items():  # a row has one layout's fields, the others are null
+        value = clean.blank_sentinels(F.coalesce(*named), [WEATHER_NO_DATA])
+        if target not in texts:
+            value = clean.blank_numbers(clean.to_number(value), WEATHER_SENTINELS)
+        out.append(value.alias(target))
+    return rows.withColumns(parts).select(*keep, "_vendor", "_item", *out)

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from brisa.operators import completeness, features, periods, rollup, score, score_states, spatial, tiles
+from brisa.operators import completeness, features, periods, rollup, score, score_states, spatial, tiles, weather
+from brisa.params import WEATHER_FIELDS, WEATHER_NO_DATA
 from brisa.plans import adapters, cleaning, places, scoring, sql
 from brisa.plans.registry import ORACLES, flat, query
 from brisa.plans.rollups import area_days
@@ -215,3 +216,98 @@ def features_by_tiles(spark, sf):
 @query("B16_thin_in_ranges", ORACLES["B16_thin_trajectory"])
 def thin_in_ranges(spark, sf):
     return spatial.thin_trajectory_in_ranges(places.slow_trucks(spark, sf))
+
+
+@query("J5_boxes_crowded", sql.with_views("cells points", """
+  SELECT l_orderkey, l_linenumber, lon, lat, grid_id FROM points p
+  LEFT JOIN (SELECT * FROM cells WHERE grid_scale = 1) c
+    ON p.lat > min_lat AND p.lat <= max_lat AND p.lon > min_lon AND p.lon <= max_lon"""))
+def boxes_crowded(spark, sf):
+    """Tiles four times as wide as a cell, cut wherever more than a hundred points lie."""
+    cells = adapters.box_cells(spark, sf).filter("grid_scale = 1")
+    return spatial.join_boxes_crowded(adapters.box_points(spark, sf), cells, 20.0, 100)
+
+
+@query("A13_wind_by_rings", sql.with_views("sites", f"""
+  SELECT s.station_id, round(CASE WHEN count(*) FILTER (d = 0) > 0 THEN avg(v) FILTER (d = 0)
+      ELSE sum(v / nullif(d, 0)) / sum(1 / nullif(d, 0)) END, 2) AS wind_speed, 0 AS wind_error
+  FROM (SELECT s.station_id, c.v, pow({sql.metres('s.lon', 's.lat', 'c.lon', 'c.lat')}, 2) AS d
+    FROM sites s CROSS JOIN (SELECT CAST(c_custkey % 16 AS DOUBLE) AS v, {sql.place('(c_custkey * 3 + 1)')} FROM customer) c) s
+  GROUP BY s.station_id"""))
+def wind_by_rings(spark, sf):
+    """Every customer a wind station; the rings widen until none is left out."""
+    lon, lat = adapters.positions(F.col("c_custkey") * 3 + 1)
+    wind = adapters.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("station_name"), lon.alias("lon"), lat.alias("lat"),
+        (F.col("c_custkey") % 16).cast("double").alias("wind_speed"),
+    )
+    out = features.wind_by_rings(adapters.site_stations(spark, sf), wind, tolerance=0.0, first_m=60_000.0, rings=2)
+    return out.select("station_id", "wind_speed", "wind_error")
+
+
+# --- documents of several vendors -----------------------------------------------
+
+LAYOUTS = sorted(WEATHER_FIELDS)
+_K = cleaning.K_SQL
+
+
+def mixed_documents(spark, sf):
+    """A document an event, of the layout that its number says; every seventeenth is broken.
+
+    Every third is a single element, the others have two; layouts with odd numbers write
+    numbers as text; all carry a key that no layout knows.
+    """
+    k, event = cleaning.counter(), F.col("event_id")
+
+    def element(number, layout, item):
+        fields = []
+        for j, (source, target) in enumerate(WEATHER_FIELDS[layout].items()):
+            n = k + item + j
+            if target in weather.TEXT_FIELDS:
+                value = F.when(n % 13 == 0, WEATHER_NO_DATA).otherwise(F.concat(F.lit("T"), n))
+            else:
+                value = F.when(n % 10 == 0, 999.9).otherwise(n.cast("double"))
+                value = value.cast("string") if number % 2 else value
+            fields.append(value.alias(source))
+        return F.struct(*fields, F.lit("x").alias("unknown_key"))
+
+    body = F.lit(None).cast("string")
+    for number, layout in enumerate(LAYOUTS):
+        one, two = (element(number, layout, i) for i in (0, 1))
+        text = F.when(event % 3 == 0, F.to_json(one)).otherwise(F.to_json(F.array(one, two)))
+        body = F.when(event % len(LAYOUTS) == number, text).otherwise(body)
+    body = F.when(event % 17 == 0, F.concat(F.lit("{broken"), F.substring(body, 1, 9))).otherwise(body)
+    vendor = F.array(*map(F.lit, LAYOUTS))[(event % len(LAYOUTS)).cast("int")]
+    landed = adapters.table(spark, sf, "events").select("event_id", vendor.alias("vendor"), body.alias("body"))
+    return stored(landed, "documents")
+
+
+def _mixed_sql():
+    targets = {}
+    for number, layout in enumerate(LAYOUTS):
+        for j, target in enumerate(WEATHER_FIELDS[layout].values()):
+            n = f"(k + item + {j})"
+            if target in weather.TEXT_FIELDS:
+                value = f"CASE WHEN {n} % 13 <> 0 THEN 'T' || {n} END"
+            else:
+                value = f"CASE WHEN {n} % 10 <> 0 THEN CAST({n} AS DOUBLE) END"
+            targets.setdefault(target, []).append(f"WHEN {number} THEN {value}")
+    columns = ", ".join(f"CASE event_id % {len(LAYOUTS)} {' '.join(arms)} END AS {t}" for t, arms in targets.items())
+    return f"""
+  SELECT event_id, CAST(item AS INTEGER) AS item, {columns} FROM
+    (SELECT event_id, k, unnest(CASE WHEN event_id % 3 = 0 THEN [0] ELSE [0, 1] END) AS item
+     FROM (SELECT event_id, {_K} AS k FROM events WHERE event_id % 17 <> 0))"""
+
+
+@query("B20_mixed_vendors", _mixed_sql())
+def mixed_vendors(spark, sf):
+    """Documents of all seven layouts in one pass."""
+    good, _ = weather.parsed_documents(mixed_documents(spark, sf), "body")
+    flat = weather.flatten_mixed(good, "vendor", ["event_id"])
+    return flat.drop("_vendor").withColumnRenamed("_item", "item")
+
+
+@query("B20_broken_documents", "SELECT event_id FROM events WHERE event_id % 17 = 0")
+def broken_documents(spark, sf):
+    _, broken = weather.parsed_documents(mixed_documents(spark, sf), "body")
+    return broken.select("event_id")

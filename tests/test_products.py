@@ -12,7 +12,7 @@ from pyspark.sql import Window, functions as F
 
 import __spark_entry__ as contract
 from brisa.functions import clean, geo
-from brisa.operators import completeness, periods, rollup, score, score_states, spatial, tiles
+from brisa.operators import completeness, features, periods, rollup, score, score_states, spatial, tiles, weather
 from brisa.operators.index import bins_sql, steady_mean
 from brisa.params import PARAMETERS
 from brisa.sources import sinks
@@ -371,3 +371,79 @@ def test_merged_scores_equal_direct_ones(spark):
     again = score_states.scores(score_states.merge_scores(halves, ["k"]), ["k"])
     for r in again.collect():
         assert r.pm2_5_rmse == pytest.approx(direct[r.k].pm2_5_rmse, rel=1e-12)
+
+
+# --- crowded tiles --------------------------------------------------------------
+
+
+def test_boxes_of_a_crowded_tile(spark):
+    """A third of the points in one tile: the same boxes, and tasks of like sizes."""
+    draw = random.Random(2)
+    place = lambda n: (draw.random(), draw.random()) if n % 3 == 0 else (draw.uniform(-8, 8), draw.uniform(-8, 8))
+    points = spark.createDataFrame([(n, *place(n)) for n in range(12_000)] + [(-1, None, 0.5)], "id int, lon double, lat double").repartition(8)
+    cells = [(100 * i + j, 0.3 * i - 8, 0.7 * j - 8, 0.3 * i - 7.7, 0.7 * j - 7.3) for i in range(50) for j in range(22)]
+    cells += [(-9, -3.0, -3.0, 3.0, 3.0)]  # a box over many tiles
+    cells = spark.createDataFrame(cells, "grid_id int, min_lat double, min_lon double, max_lat double, max_lon double")
+    for how, edges in (("left", "open_closed"), ("inner", "closed")):
+        got = spatial.join_boxes_crowded(points, cells, 1.0, 150, edges, how)
+        assert table(got) == table(spatial.join_boxes(points, cells, 1.0, edges, how))
+    crowded = spatial.crowded_tiles(points, 1.0, 150)
+    assert [(r._row, r._column) for r in crowded.collect()] == [(0, 0)]
+    leaves = spatial.leaf_of(points.dropna(), crowded, 1.0)
+    assert leaves.groupBy(*spatial.LEAF).count().agg(F.max("count")).first()[0] <= 150
+    tasks = leaves.repartition(12, *spatial.LEAF).groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in tasks)
+    assert len(sizes) == 12 and sizes[-1] < 3 * sizes[6]
+
+
+# --- wind by rings ------------------------------------------------------------
+
+
+def test_wind_by_rings_keeps_its_bound_and_refuses(spark):
+    draw = random.Random(12)
+    wind = [(f"w{n}", 104 + draw.uniform(-2, 2), 30 + draw.uniform(-2, 2), draw.uniform(0, 9)) for n in range(400)]
+    wind = spark.createDataFrame(wind, "station_name string, lon double, lat double, wind_speed double")
+    first = wind.first()
+    stations = spark.createDataFrame(
+        [(1, 104.0, 30.0), (2, 105.9, 31.9), (3, 130.0, 10.0), (4, first.lon, first.lat), (5, 104.0, 30.0), (6, None, 30.0)],
+        "station_id int, lon double, lat double",
+    )
+    exact = {r.station_id: r.wind_speed for r in features.interpolated_wind(stations, wind, [f"w{n}" for n in range(400)]).collect()}
+    got = {r.station_id: r for r in features.wind_by_rings(stations, wind, 0.5, 20_000.0, 5).collect()}
+    for k in (1, 2, 5):
+        assert got[k].wind_error <= 0.5 and abs(got[k].wind_speed - exact[k]) <= got[k].wind_error + 0.01
+    assert got[4].wind_speed == round(first.wind_speed, 2) and got[4].wind_error == 0
+    assert got[3].wind_speed is None and got[3].wind_error > 0.5
+    assert got[6].wind_speed is None and len(got) == 6
+    none = features.wind_by_rings(stations, wind.where("false")).collect()
+    assert {r.wind_speed for r in none} == {0.0, None}
+
+
+def test_a_wind_station_has_one_position(spark):
+    rows = [("a", 1.0, 1.0, 2.0), ("a", 1.0, 1.0, 4.0), ("b", 2.0, 2.0, None)]
+    wind = spark.createDataFrame(rows, "station_name string, lon double, lat double, wind_speed double")
+    assert [tuple(r) for r in features.one_position(wind).collect()] == [("a", 1.0, 1.0, 3.0)]
+    moved = wind.union(spark.createDataFrame([("a", 1.5, 1.0, 2.0)], wind.schema))
+    with pytest.raises(Exception, match="two positions: a"):
+        features.one_position(moved).collect()
+
+
+# --- documents of several vendors -----------------------------------------------
+
+
+def test_mixed_documents(spark):
+    layouts = {"a": {"t": "temp", "d": "wind_dir"}, "b": {"temperature": "temp", "t": "humidity"}}
+    rows = [
+        (1, "a", '[{"t": 5, "d": "N", "more": {"x": [1]}}, {"t": "6.5"}, {"t": 999.9, "d": null}]'),
+        (2, "b", '{"temperature": "7", "t": 40}'),
+        (3, "b", '[{"temperature": {"odd": 1}, "t": "NaN"}]'),
+        (4, "a", "[]"), (5, "a", '{"t": '), (6, "a", None), (7, "c", '{"t": 1}'), (8, "a", "12"),
+    ]
+    docs = spark.createDataFrame(rows, "id int, vendor string, body string")
+    good, broken = weather.parsed_documents(docs, "body")
+    assert sorted(r.id for r in broken.collect()) == [5, 6] and broken.columns == docs.columns
+    got = {(r.id, r._item): (r.temp, r.wind_dir, r.humidity) for r in weather.flatten_mixed(good, "vendor", ["id"], layouts).collect()}
+    assert got == {
+        (1, 0): (5.0, "N", None), (1, 1): (6.5, None, None), (1, 2): (None, None, None),
+        (2, 0): (7.0, None, 40.0), (3, 0): (None, None, None), (7, 0): (None, None, None), (8, 0): (None, None, None),
+    }
