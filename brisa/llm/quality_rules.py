@@ -3,7 +3,7 @@
 The base rules look at one document: too few words, or too many words inside repeated windows.
 The method's rule looks across documents: lines are normalised and hashed, the distinct documents
 that hold each line are counted per host (the `source` column), lines above the host's limit are
-boilerplate, and a document that keeps too little without them is rejected.
+removed, and a document that keeps too little without them, or fewer words than any needs, is rejected.
 
 Distinct documents: copies must not turn each other's lines into boilerplate.  A document is
 counted under the digest of all its normalised lines, for its lines and for its host alike, so
@@ -20,9 +20,11 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from brisa.llm.common import slices, stored, texts, windows, words_of
 
@@ -104,9 +106,10 @@ def verdicts(
     host_percent: float = HOST_PERCENT,
     keep_percent: float = KEEP_PERCENT,
 ) -> DataFrame:
-    """doc_id, row_key, the counts, n_boilerplate_words, base_failed and kept for each row.
+    """doc_id, row_key, the counts, base_failed, kept, n_boilerplate_words and frequent_lines for each row.
 
-    `row_key` hashes the row's text and host, to tell rows of one doc_id apart.
+    `row_key` hashes the row's text and host, to tell rows of one doc_id apart.  `frequent_lines` has the
+    hashes of the row's lines above the limits, null if there are none.
     """
     host = F.coalesce(docs["source"].cast("string"), F.lit("")).alias("host")
     rows = texts(docs.select("doc_id", "text", host), "host")
@@ -127,15 +130,15 @@ def verdicts(
         .select("doc_id", "row_key", "line", "words")
         .distinct()
         .groupBy("doc_id", "row_key")
-        .agg(F.sum("words").alias("lost"))
-        .select(F.col("doc_id").alias("lost_id"), F.col("row_key").alias("lost_key"), "lost")
+        .agg(F.sum("words").alias("lost"), F.collect_list("line").alias("frequent_lines"))
+        .select(F.col("doc_id").alias("lost_id"), F.col("row_key").alias("lost_key"), "lost", "frequent_lines")
     )
     # a row per row of the table, also where rows repeat; each finds its own sum
     same = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("row_key") == F.col("lost_key"))
     gone, n_words = F.coalesce("lost", F.lit(0)), F.col("n_words")
     left = n_words - gone
     failed = (n_words < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * n_words)
-    depleted = (gone > 0) & (left * 100 < n_words * keep_percent)
+    depleted = (gone > 0) & ((left * 100 < n_words * keep_percent) | (left < MIN_WORDS))
     return held.join(lost, same, "left").select(
         "doc_id",
         "row_key",
@@ -144,17 +147,37 @@ def verdicts(
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        gone.cast("long").alias("n_boilerplate_words"),
         failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),
+        gone.cast("long").alias("n_boilerplate_words"),
+        "frequent_lines",
     )
 
 
+def without_lines(text: str, frequent: set[int]) -> str:
+    """The text without the lines whose hash is in `frequent`; lines without a word stay."""
+    kept = (x for x in text.split("\n") if not x.strip(_SPACES) or line_key(x) - 2**63 not in frequent)
+    return "\n".join(kept)
+
+
+@F.pandas_udf(StringType())
+def _rewritten(text: pd.Series, frequent: pd.Series) -> pd.Series:
+    pairs = zip(text, frequent, strict=True)
+    return pd.Series([None if t is None else without_lines(t, set(f.tolist())) for t, f in pairs], dtype=object)
+
+
 def keep_good(docs: DataFrame, **limits: float) -> DataFrame:
-    """`docs` without the rows that the rules reject, columns as they were."""
-    good = verdicts(docs, **limits).where("kept").select(F.col("doc_id").alias("_q_id"), F.col("row_key").alias("_q_key"))
-    key = F.xxhash64(
-        F.coalesce(docs["text"].cast("string"), F.lit("")), F.coalesce(docs["source"].cast("string"), F.lit(""))
+    """`docs` without the rows that the rules reject, and texts without the lines above the limits.
+
+    Only texts with such lines are rewritten; other columns are as they were.
+    """
+    good = verdicts(docs, **limits).where("kept").select(
+        F.col("doc_id").alias("_q_id"), F.col("row_key").alias("_q_key"), F.col("frequent_lines").alias("_q_lines")
     )
+    good = good.dropDuplicates(["_q_id", "_q_key"])
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    key = F.xxhash64(text, F.coalesce(docs["source"].cast("string"), F.lit("")))
     same = docs["doc_id"].cast("long").eqNullSafe(good["_q_id"]) & (key == good["_q_key"])
-    return docs.join(good, same, "left_semi")
+    hit = F.col("_q_lines").isNotNull()
+    shorter = F.when(hit, _rewritten(F.when(hit, text), "_q_lines")).otherwise(docs["text"])
+    return docs.join(good, same).select(*(shorter.alias(c) if c == "text" else docs[c] for c in docs.columns))

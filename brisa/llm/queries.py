@@ -42,7 +42,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.verdicts(common.documents(spark, sf_dir))
-    return found.drop("row_key")
+    return found.drop("row_key", "frequent_lines")
 
 
 @query("op5_packing")

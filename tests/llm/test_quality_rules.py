@@ -1,4 +1,6 @@
+import collections
 import random
+import re
 
 import pytest
 
@@ -141,3 +143,36 @@ def test_repeating_a_page_changes_no_other_verdict(table):
     told = lambda df: {r["doc_id"]: (r["n_boilerplate_words"], r["kept"]) for r in q.verdicts(df).where("doc_id <= 1000").collect()}
     few, many = told(few), told(many)
     assert few == many and all(few[i] == (18, False) for i in range(40))
+
+
+def test_frequent_lines_are_removed_and_depleted_documents_rejected(table):
+    """Texts and verdicts against plain counts, on a host whose pages share navigation lines."""
+    footers = [f"Menu {k} " + " ".join(f"{chr(97 + k)}{chr(97 + j)}bar" for j in range(11)) for k in range(6)]
+    rows, texts = [], []
+    for k in range(200):
+        own = [f"page {chr(97 + k % 26)}{chr(97 + k // 26)} tells of {w}" for w in ("winter", "rivers and boats", "old maps", "stone")]
+        body = own[: 1 + k % 4]
+        longer = [" ".join(f"{chr(97 + (k * 7 + j) % 26)}{chr(97 + j % 23)}x{chr(97 + k % 21)}" for j in range(60))] if k % 3 else []
+        texts.append("\n".join([footers[0], "", *body, *longer, *footers[1:], "  "]))
+        rows.append((k, texts[-1], "en", "site", len(texts[-1])))
+    rows += [(1000 + k, f"{footers[0]}\nthe only page of its host {k}", "en", f"other{k}", 1) for k in range(30)]
+    df = table(rows)
+    found = {r["doc_id"]: r for r in q.verdicts(df).collect()}
+    kept = {r["doc_id"]: r["text"] for r in q.keep_good(df).collect()}
+    key = lambda x: re.sub(r"\d+", "0", " ".join(x.lower().split()))
+    holders = collections.Counter(k for t in texts for k in {key(x) for x in t.split("\n") if x.strip()})
+    frequent = {k for k, n in holders.items() if n > 20 and 100 * n > 5 * len(texts)}
+    assert {key(f) for f in footers} <= frequent
+    rejected = 0
+    for k, text in enumerate(texts):
+        lines = text.split("\n")
+        left = [x for x in lines if not x.strip() or key(x) not in frequent]
+        words, before = len(" ".join(left).split()), len(text.split())
+        depleted = words < before and (100 * words < 30 * before or words < 20)
+        assert found[k]["n_boilerplate_words"] == before - words
+        assert found[k]["kept"] == (not found[k]["base_failed"] and not depleted)
+        assert (k in kept) == found[k]["kept"]
+        if k in kept:
+            assert kept[k] == "\n".join(left)
+        rejected += depleted and not found[k]["base_failed"]
+    assert rejected > 20 and len(kept) > 20
