@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brisa.functions import clean
 from brisa.functions.air import pollutant_codes
-from brisa.params import PARAMETERS
+from brisa.params import FENCE_MEANS, FENCE_MINUTES, PARAMETERS, READING_CODES, REMOTE_SENSING
 
 # target column -> (source column or expression or None, target type)
 Layout = Mapping[str, tuple[str | Column | None, str]]
@@ -90,3 +90,50 @@ def official_districts(
         F.lit("monitoring").alias("source"),
     )
     return out.filter(F.col("grade") != -99)
+
+
+def typed(
+    columns: Sequence[str], whole: Sequence[str] = (), times: Sequence[str] = (), text: Sequence[str] = ()
+) -> dict:
+    """Layout of a table whose columns keep their names: numbers, but for those listed."""
+    kinds = {**dict.fromkeys(whole, "int"), **dict.fromkeys(times, "timestamp_ntz"), **dict.fromkeys(text, "string")}
+    return {c: (c, kinds.get(c, "double")) for c in columns}
+
+
+_FENCE_WHOLE = ("gridid", "stationid", "oilstatus", "status")
+
+#: Layouts of the wide tables: 50 columns of means by hour and day, 39 by minute, 39 of passing vehicles.
+WIDE = {
+    "fence_hour": typed(FENCE_MEANS, _FENCE_WHOLE, ["avgdate"], ["deviceid"]),
+    "fence_day": typed(FENCE_MEANS, _FENCE_WHOLE, ["avgdate"], ["deviceid"]),
+    "fence_minute": typed(FENCE_MINUTES, (*_FENCE_WHOLE, "p7"), ["createdate"], ["deviceid"]),
+    "remote_sensing": typed(
+        REMOTE_SENSING,
+        times=["published_at", "record_time"],
+        text=[
+            "record_number", "point_number", "lane_number", "plate_number", "plate_color", "record", "modified_by",
+            "dynamic_mode", "pass", "result", "equipment_mark", "ringelman", "fueltype",
+        ],
+    ),
+}
+
+
+def conform_wide(df: DataFrame, table: str) -> DataFrame:
+    """A copied table in its typed layout; columns the source lacks come out null."""
+    there = set(df.columns)
+    return conform(df, {c: (s if s in there else None, kind) for c, (s, kind) in WIDE[table].items()})
+
+
+def district_readings(feed: DataFrame, prefix: str) -> DataFrame:
+    """A district's long feed (StationCode, TimePoint, PollutantCode, MonValue) as hourly rows.
+
+    The largest value per station, time and code; pollutants but co come in mg/m3.  Weather
+    codes go along; rows without any pollutant are dropped.  Unknown codes are ignored.
+    """
+    wide = pivot_readings(feed, ["StationCode", "TimePoint"], "PollutantCode", "MonValue", READING_CODES)
+    scaled = wide.withColumns({p: F.col(p) * 1000 for p in PARAMETERS if p != "co"})
+    weather = ("temperature", "humidity", "wind_direction", "wind_power", "pressure")
+    return scaled.dropna("all", subset=list(PARAMETERS)).select(
+        clean.prefixed(F.col("StationCode"), prefix).alias("station_code"),
+        F.col("TimePoint").alias("published_at"), *PARAMETERS, *weather,
+    )

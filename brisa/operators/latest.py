@@ -66,9 +66,11 @@ def merge_latest(
         *keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_t")
     )
     stored, update = F.col("_t"), F.col("_u")
-    newer = update.isNotNull() & (
-        stored.isNull() | stored[ts].isNull() | F.coalesce(update[ts] >= stored[ts], F.lit(False))
-    )
+    newer = update.isNotNull()
+    if ts not in keys:  # else the times are equal
+        newer = newer & (
+            stored.isNull() | stored[ts].isNull() | F.coalesce(update[ts] >= stored[ts], F.lit(False))
+        )
     changing = {*update_cols, ts}
     out = []
     for c in target.columns:
