@@ -76,17 +76,18 @@ class _Held:
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, chunk, n, docs, low, high): occurrences, documents, and the places of one or two of these.
+    """(grp, chunk, n, docs, low, high): occurrences, documents, and the places of one or two of these.
 
-    A group and chunk has a row from every task that met it; they lie together by chunk.
+    `grp` is length of lang, colon, lang, source: one text to compare instead of two.  A group and
+    chunk has a row from every task that met it; they lie together by chunk.
     """
-    names = ["lang", "source", "chunk", "n", "docs", "low", "high"]
+    names = ["grp", "chunk", "n", "docs", "low", "high"]
 
-    def rows(held: dict[tuple[str, str], _Held], start: int) -> Iterator[pa.RecordBatch]:
-        for (lang, source), own in held.items():
+    def rows(held: dict[str, _Held], start: int) -> Iterator[pa.RecordBatch]:
+        for group, own in held.items():
             count = np.array(own.docs)
             columns = [
-                pa.repeat(lang, len(count)), pa.repeat(source, len(count)),
+                pa.repeat(group, len(count)),
                 pa.array(list(own.at), pa.binary()).cast(pa.string()), pa.array(own.n, pa.int64()), pa.array(count),
                 pa.array(start + np.array(own.one), mask=count > 2), pa.array(start + np.array(own.two), mask=count != 2),
             ]
@@ -94,7 +95,7 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = TaskContext.get().partitionId() << 40
-        held: dict[tuple[str, str], _Held] = {}
+        held: dict[str, _Held] = {}
         size = place = 0
         for batch in slices(batches):
             columns = (batch.column(c).to_pylist() for c in ("lang", "source", "text"))
@@ -103,7 +104,7 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                 counted = Counter(text.encode("utf-8", "surrogatepass").split())
                 if not counted:
                     continue
-                own = held.setdefault((lang, source), _Held())
+                own = held.setdefault(f"{len(lang)}:{lang}{source}", _Held())
                 size -= len(own.n)
                 own.add(counted, place)
                 size += len(own.n)
@@ -113,7 +114,7 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
         yield from rows(held, start)
 
     counted = _grouped(docs).mapInArrow(
-        run, "lang string, source string, chunk string, n long, docs long, low long, high long"
+        run, "grp string, chunk string, n long, docs long, low long, high long"
     )
     # already added up by task: sent as they are
     return counted.repartition("chunk")
@@ -125,9 +126,9 @@ def term_counts(chunks: DataFrame) -> DataFrame:
     The groups that hold a chunk are gathered, one entry each, next to the terms taken from it.
     """
     found = F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))
-    known = F.struct("lang", "source", "n", "docs", "low", "high")
+    known = F.struct("grp", "n", "docs", "low", "high")
     distinct = (
-        chunks.groupBy("lang", "source", "chunk")
+        chunks.groupBy("grp", "chunk")
         .agg(
             F.sum("n").alias("n"), F.sum("docs").alias("docs"),
             F.min(F.least("low", "high")).alias("low"), F.max(F.greatest("low", "high")).alias("high"),
@@ -136,7 +137,12 @@ def term_counts(chunks: DataFrame) -> DataFrame:
         .agg(F.collect_list(known).alias("groups"))
     )
     terms = distinct.select("groups", F.explode(found).alias("term")).withColumn("term", F.translate("term", UPPER, LOWER))
-    return terms.select("term", F.inline("groups"))
+    size = F.substring_index("grp", ":", 1)
+    start = F.length(size) + 2
+    lang = F.substr("grp", start, size.cast("int"))
+    source = F.substr("grp", start + size.cast("int"))
+    held = terms.select("term", F.inline("groups"))
+    return held.select(lang.alias("lang"), source.alias("source"), "term", "n", "docs", "low", "high")
 
 
 def kept_terms(occurrences: DataFrame) -> DataFrame:
