@@ -19,9 +19,9 @@ MONTH = ["published_year", "published_month"]
 
 def stored_days(spark, days):
     """A daily product kept by year and month, read back."""
-    path = shared_dir(spark, "days")
-    sinks.overwrite_partitions(days.withColumns(rollup.period_columns("month")), path, MONTH)
-    return spark.read.parquet(path)
+    path, dated = shared_dir(spark, "days"), days.withColumns(rollup.period_columns("month"))
+    sinks.overwrite_partitions(dated, path, MONTH)
+    return spark.read.schema(dated.schema).parquet(path)
 
 
 def month_states(spark, days, keys, **options):
@@ -134,9 +134,9 @@ def day_states(spark, pairs, keys, said="f"):
     """States of scores per key and day, kept by month and read back."""
     path = shared_dir(spark, "score-states")
     dated = pairs.withColumn("published_at", F.to_date("published_at"))
-    states = score_states.score_state(dated, [*keys, "published_at"], said)
-    sinks.overwrite_partitions(states.withColumns(rollup.period_columns("month")), path, MONTH)
-    return spark.read.parquet(path)
+    states = score_states.score_state(dated, [*keys, "published_at"], said).withColumns(rollup.period_columns("month"))
+    sinks.overwrite_partitions(states, path, MONTH)
+    return spark.read.schema(states.schema).parquet(path)
 
 
 LEAD = ["control_area_id", "forecast_interval"]
