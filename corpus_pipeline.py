@@ -14,7 +14,7 @@ from brisa.llm.common import documents, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, and lines that too many documents of a host hold."""
     return quality_rules.keep_good(docs)
 
 
