@@ -68,3 +68,73 @@ def test_edges(edges, nothing):
     assert len(got) == edges.count() and all(r["families"] == [] for r in got)
     assert {r["n_paragraphs"] for r in got if r["doc_id"] in (0, 1, 2, -7)} == {0}
     assert licences.scan(nothing).count() == 0
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:"""
+BOTH = "Licensed under the MIT license or the Apache License, Version 2.0, at your option."
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    from tests.llm.conftest import SCHEMA
+
+    return licences.train(spark.createDataFrame(rows_of(prose(8, 400)), SCHEMA))
+
+
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * ", ";; "])
+@pytest.mark.parametrize("notice,family", [(MIT, "MIT"), (GPL, "GPL-3.0"), (BSD, "BSD-3-Clause")])
+def test_wrapped_notices(table, fitted, mark, notice, family):
+    wrapped = "\n".join(mark + x for x in notice.split("\n"))
+    text = f"import nothing\n\n{wrapped}\n\ncode = 1"
+    got = licences.scan(table(rows_of([text, text.replace("\n\n", "\n")])), fitted).collect()
+    assert [[(f["line"], f["family"]) for f in r["found"]] for r in got] == [[(1, family)]] * 2
+
+
+def test_two_licences_in_a_sentence_and_notices_in_long_lines(table, fitted):
+    long = " ".join(f"word{k % 89} of the day" for k in range(500))
+    texts = [BOTH, f"Licensed under the MIT license. {long}", f"{long} {GPL.replace(chr(10), ' ')} {long} {MIT} {long}"]
+    got = licences.scan(table(rows_of(texts)), fitted).collect()
+    assert [r["families"] for r in got] == [["Apache-2.0", "MIT"], ["MIT"], ["GPL-3.0", "MIT"]]
+
+
+def test_threshold_is_measured(fitted):
+    """No floor decides: unseen near misses stay below the threshold, unseen variants pass it."""
+
+    def passing(rows):
+        p = fitted.probabilities([licences.grams(w) for w in rows], [len(w) for w in rows])
+        return fitted.against_unknown(p).max(axis=1) >= fitted.threshold
+
+    assert 0.5 < fitted.threshold < 1
+    assert passing(licences.near_misses(seed=77)).mean() < 0.03
+    known = [w for w, k in licences.varied(seed=98, each=10) if k < len(licences.NOTICES)]
+    assert passing(known).mean() > 0.9
+
+
+def test_passages_hold_every_close_run_of_pairs():
+    draw = random.Random(3)
+    notice = licences.words(licences.NOTICES["GPL-3.0"][0])
+    for _ in range(200):
+        own = [f"w{draw.randrange(50)}" for _ in range(draw.randrange(200))]
+        at = draw.randint(0, len(own))
+        own[at:at] = notice
+        spans = licences.passages(own)
+        assert any(a <= at and at + len(notice) <= b for a, b in spans)
+        assert all(0 <= a < b <= len(own) and b - a <= licences.WINDOW for a, b in spans)
+    assert licences.passages(["the", "mit"]) == [] and licences.passages([]) == []
+
+
+def test_breaks_other_than_the_line_feed(table, fitted):
+    """A carriage return is a space: one line, in which notices are found all the same."""
+    got = licences.scan(table(rows_of([MIT.replace("\n", "\r\n"), MIT.replace("\n", "\r")])), fitted).collect()
+    assert [(r["n_paragraphs"], r["families"]) for r in got] == [(5, ["MIT"]), (1, ["MIT"])]
