@@ -28,8 +28,12 @@ class Boosted:
         return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.3, ridge: float = 1.0, bins: int = 32) -> Boosted:
-    """Logistic loss, second-order leaf values, cuts at quantiles; deterministic in the order of rows."""
+def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.3, ridge: float = 1.0, bins: int = 32, share_seen: float = 1.0) -> Boosted:
+    """Logistic loss, second-order leaf values, cuts at quantiles; deterministic in the order of rows.
+
+    A tree looks at `share_seen` of the features, drawn anew for each, so that no few of them decide alone.
+    """
+    draw = np.random.default_rng(0)
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     model = Boosted(depth, float(np.log(share / (1 - share))))
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for c in x.T]
@@ -41,13 +45,15 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: flo
         grad, curve = y - p, p * (1 - p) + 1e-9
         feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
         node = np.zeros(len(x), np.int64)
+        seen = np.sort(draw.permutation(len(cuts))[: max(1, round(share_seen * len(cuts)))])
         for k in range(inner):
             own = np.flatnonzero(node == k)
             best, chosen = 1e-6, None
             if len(own):
                 g, h = grad[own], curve[own]
                 whole = g.sum() ** 2 / (h.sum() + ridge)
-                for f, q in enumerate(cuts):
+                for f in seen:
+                    q = cuts[f]
                     gs = np.cumsum(np.bincount(binned[own, f], g, len(q) + 1))
                     hs = np.cumsum(np.bincount(binned[own, f], h, len(q) + 1))
                     gain = gs**2 / (hs + ridge) + (gs[-1] - gs) ** 2 / (hs[-1] - hs + ridge) - whole

@@ -118,3 +118,79 @@ def test_trees_learn_what_a_line_cannot():
     slope, offset = boost.calibrate(p, y[2000:])
     q = 1 / (1 + np.exp(-(slope * p + offset)))
     assert abs(q.mean() - y[2000:].mean()) < 0.02
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    from tests.llm.conftest import SCHEMA
+
+    return pii.train(spark.createDataFrame(rows_of(prose(9, 50)), SCHEMA))
+
+
+# formats that training does not know
+UNSEEN = {
+    "email": ("{w}-{w} (AT) {w} (DOT) net", "{w}.{w}.{w}[at]{w}[dot]co[dot]uk", "{w}{d3} at {w}{d1} dot info", "{w} [at] {w}-{w}.de"),
+    "phone": ("(0{d2}) {d2} {d2} {d2}", "0{d1}-{d4}-{d4}", "{d4} {d3} {d3}|phone ", "0{d2}/{d3}-{d4}", "({d3}) {d3} {d4}|tel. "),
+    "card": ("{k/}|visa ", "{k.}|paid with "),
+    "secret": ("{b30}|client_secret=", "{x48}|access_token=", "{w}-{d4}-{w}|passwd: ", "{w}{d2}#{w}{d1}|password=", "gho_{b36}", "{b36}|auth token "),
+}
+UNSEEN_NOT = (
+    "{w}_{d8}_{w}", "{x40}|merge of ", "{x40}|tree ", "{y}.{m}.{t}", "{d9}|ticket ", "{W}_{W}_{d2}_{W}", "{d3},{d3},{d3}",
+    "{w}-{y}-{m}-{t}-{w}", "{w}.{w}|stood at ", "{d1}.{d2}.{d5}|python ",
+)
+
+
+def test_unseen_formats(fitted):
+    """Recall of each kind, and how many harmless spans are touched, in sentences of formats not trained on."""
+    rows = pii.planted(seed=5, each=30, positive=UNSEEN, negative=UNSEEN_NOT)
+    hit, total, touched, harmless = {}, {}, 0, 0
+    for text, kind, a, b in rows:
+        spans = pii.spans_of(text, fitted)[1]
+        if kind:
+            total[kind] = total.get(kind, 0) + 1
+            hit[kind] = hit.get(kind, 0) + any(x <= a and y >= b for _, x, y, _ in spans)
+        else:
+            harmless += 1
+            touched += bool(spans)
+    recall = {k: hit[k] / total[k] for k in total}
+    assert min(recall.values()) >= 0.9, recall
+    assert touched <= 0.02 * harmless
+
+
+SPANS = {
+    "please write john (at) example (dot) com today": ["john (at) example (dot) com"],
+    "to john.smith [at] example [dot] org or so": ["john.smith [at] example [dot] org"],
+    "call (028) 555 123 456 now": ["(028) 555 123 456"],
+    "see file_name_version_20240101_final here": [],
+    "commit 3f785ab9c01de4f7785ab9c01de4f7785ab9c01d fixed it": [],
+    "with password=hunter2x99 it opens": ["hunter2x99"],
+    "KEY: ABCDEFGHIJKLMNOPQRST end": ["ABCDEFGHIJKLMNOPQRST"],
+    "john at example dot com. Please call": ["john at example dot com"],
+    "on 2024-01-01 and 2024/02/03, order 12345678": [],
+    "they look at example.com and arrive at noon.Then": [],
+    "token: deadbeef12345678deadbeef, and more": ["deadbeef12345678deadbeef"],
+}
+
+
+@pytest.mark.parametrize("text", SPANS)
+def test_spans_of_sentences(fitted, text):
+    assert [text[a:b] for _, a, b, _ in pii.spans_of(text, fitted)[1]] == SPANS[text]
+
+
+def test_candidates_do_not_depend_on_the_rest_of_the_text():
+    """No gate before the generators: a harmless digit elsewhere neither adds nor hides a candidate."""
+    for text in (*SPANS, *CASES):
+        own = set(pii.candidates(text))
+        assert own == {c for c in pii.candidates(text + " \n 7 x") if c[2] <= len(text)}
+    assert ("secret", 5, 25) in pii.candidates("KEY: ABCDEFGHIJKLMNOPQRST end")
+
+
+def test_threshold_of_the_best_f_measure():
+    p = np.array([0.99, 0.95, 0.9, 0.6, 0.5, 0.1])
+    assert 0.5 < pii.threshold(p, np.array([1, 1, 1, 1, 0, 0]), 0.5) < 0.6
+    assert pii.threshold(p, np.zeros(6), 0.5) == float("inf") and pii.threshold(p[:0], p[:0], 0.5) == float("inf")
+    draw = np.random.default_rng(3)
+    for _ in range(50):
+        p, y = np.round(draw.random(40), 1), draw.integers(0, 2, 40)
+        f = lambda t: 1.25 * (y * (p >= t)).sum() / ((p >= t).sum() + 0.25 * y.sum())
+        assert f(pii.threshold(p, y, 0.5)) == pytest.approx(max(f(t) for t in np.unique(p)))
