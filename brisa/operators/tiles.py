@@ -8,13 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from brisa.functions import geo
+from brisa.session import shuffle_tasks, stored
 
 LEVELS = 4  # sides 1, 2, 4 and 8
 PER_RADIUS = 16  # smallest tiles along a radius
 TILE = ["_level", "_row", "_column"]
 
 
-def _side(radius_m: float) -> float:
+def smallest_side(radius_m: float) -> float:
     return radius_m / geo.METRES_PER_DEGREE / PER_RADIUS
 
 
@@ -29,7 +30,7 @@ def cover_circles(
     and a metre are left on both sides, so that rounding cannot put a tile in the
     wrong class.  Longitudes must not wrap.
     """
-    side = side or _side(radius_m)
+    side = side or smallest_side(radius_m)
     slack = radius_m * 1e-3 + 1
     reach = radius_m / geo.METRES_PER_DEGREE * 1.01
 
@@ -63,6 +64,17 @@ def cover_circles(
     return reduce(DataFrame.unionByName, found)
 
 
+def stored_cover(
+    centres: DataFrame, radius_m: float, centre_cols: Sequence[str], side: float | None = None, levels: int = LEVELS
+) -> DataFrame:
+    """``cover_circles`` computed once, in as many tasks as a shuffle has.
+
+    A centre becomes some hundred tiles, which no estimate of sizes knows of: the centres
+    are dealt out before, and joins with the cover are hinted to merge, so that it is never broadcast.
+    """
+    return stored(cover_circles(centres.repartition(shuffle_tasks(centres)), radius_m, centre_cols, side, levels), "cover")
+
+
 def near_totals(
     points: DataFrame,
     centres: DataFrame,
@@ -79,7 +91,7 @@ def near_totals(
     before anything is joined, so a crowded tile counts as one row (one for each of its
     ``members``, as the trucks seen in it) for every centre whose circle holds all of it.
     """
-    side = side or _side(radius_m)
+    side = side or smallest_side(radius_m)
     totals = [F.sum(n).alias(n) for n in sums]
     placed = points.withColumns({"_row": geo.tile("lat", side), "_column": geo.tile("lon", side)})
     spots = placed.groupBy("_row", "_column", "lon", "lat", *members).agg(*[F.expr(f"sum({v})").alias(n) for n, v in sums.items()])
@@ -88,9 +100,13 @@ def near_totals(
     tiles = spots.groupBy("_row", "_column", *members).agg(*totals).select("*", level).withColumns(wider)
     tiles = tiles.groupBy(*TILE, *members).agg(*totals)
 
-    cover = cover_circles(centres, radius_m, centre_cols, side, levels)
-    names = [*centre_cols, *members, *sums]
-    whole = cover.where("_inside").join(tiles, TILE).select(*names)
+    spot = ["_clon", "_clat"]  # centres at one place share its totals
+    at = centres.select("lon", "lat").distinct()
+    cover = stored_cover(at, radius_m, [], side, levels)
+    names = [*spot, *members, *sums]
+    whole = cover.where("_inside").hint("merge").join(tiles, TILE).select(*names)
     near = geo.distance_m("lon", "lat", "_clon", "_clat") < radius_m
-    rim = cover.where("NOT _inside").join(spots, ["_row", "_column"]).where(near).select(*names)
-    return whole.unionByName(rim).groupBy(*centre_cols, *members).agg(*totals)
+    rim = cover.where("NOT _inside").hint("merge").join(spots, ["_row", "_column"]).where(near).select(*names)
+    found = whole.unionByName(rim).groupBy(*spot, *members).agg(*totals)
+    placed = centres.select(*centre_cols, F.col("lon").alias("_clon"), F.col("lat").alias("_clat"))
+    return placed.join(found, spot).groupBy(*centre_cols, *members).agg(*totals)
