@@ -11,7 +11,7 @@ from brisa.functions import geo
 from brisa.operators.spatial import join_radius
 from brisa.operators.tiles import near_totals
 from brisa.params import FEATURE_RADIUS_M
-from brisa.session import stored
+from brisa.session import shuffle_tasks, stored
 
 PLACE = ["_place"]
 
@@ -196,26 +196,30 @@ def wind_by_rings(
     taken.  Stations where that exceeds ``tolerance`` search again with twice the radius,
     ``rings`` times in all; what is uncertain then is refused: its speed is null.
     ``wind_error`` holds the bound.  A wind station in the same place decides alone.
+    Wind stations at one spot are added up before they meet any station.
     Stations are told apart by position, as they share what is near them.
     """
     known = stored(one_position(wind), "wind")
     about = known.agg(
         F.count("*").alias("_all"), (F.max("wind_speed") - F.min("wind_speed")).alias("_spread")
     )
+    spots = known.groupBy(F.col("lon").alias("_wlon"), F.col("lat").alias("_wlat")).agg(
+        F.sum("wind_speed").alias("_v"), F.count("*").alias("_n")
+    )
+    spots = stored(spots.repartition(shuffle_tasks(known)), "wind-spots")
     todo, done = sites(stations.where("lon IS NOT NULL AND lat IS NOT NULL")), []
     for ring in range(rings):
         radius = first_m * 2**ring
         places = stored(todo, "places")
         near = join_radius(
-            known.withColumnsRenamed({"lon": "_wlon", "lat": "_wlat"}).withColumns({"lon": F.col("_wlon"), "lat": F.col("_wlat")}),
-            places, radius, [*PLACE],
+            spots.withColumns({"lon": F.col("_wlon"), "lat": F.col("_wlat")}), places, radius, [*PLACE]
         )
         d = geo.distance_m("_wlon", "_wlat", "_place.lon", "_place.lat").cast("double")
         near = near.withColumn("_d", d * d)
         sums = near.groupBy(*PLACE).agg(
-            F.avg(F.when(F.col("_d") == 0, F.col("wind_speed"))).alias("_here"),
-            F.sum(F.try_divide("wind_speed", "_d")).alias("_a"), F.sum(F.try_divide(F.lit(1.0), "_d")).alias("_b"),
-            F.count("*").alias("_taken"),
+            F.try_divide(F.sum(F.when(F.col("_d") == 0, F.col("_v"))), F.sum(F.when(F.col("_d") == 0, F.col("_n")))).alias("_here"),
+            F.sum(F.try_divide("_v", "_d")).alias("_a"), F.sum(F.try_divide("_n", "_d")).alias("_b"),
+            F.sum("_n").alias("_taken"),
         )
         found = places.join(sums, PLACE, "left").crossJoin(F.broadcast(about))
         left_out = (F.col("_all") - F.coalesce("_taken", F.lit(0))) / (radius * radius)

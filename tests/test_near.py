@@ -34,3 +34,16 @@ def test_a_cover_is_never_broadcast(spark):
     assert "SortMergeJoin [_level" in text and "SortMergeJoin [_row" in text
     by_place = {r.place: r.n for r in got.collect()}
     assert len(by_place) == 100 and all(by_place[n] == by_place[n + 50] for n in range(50))
+
+
+def test_wind_stations_at_one_spot_meet_a_place_once(spark, monkeypatch):
+    met = []
+    join = spatial.join_radius
+    monkeypatch.setattr(features, "join_radius", lambda points, *a: met.append(points.count()) or join(points, *a))
+    wind = frame(spark, [(f"w{n}", 104 + n % 5 * 0.1, 30.0, float(n % 16)) for n in range(200)],
+                 "station_name string, lon double, lat double, wind_speed double")
+    stations = frame(spark, [(1, 104.0, 30.0), (2, 104.25, 30.1)], "station_id int, lon double, lat double")
+    exact = {r.station_id: r.wind_speed for r in features.interpolated_wind(stations, wind, [f"w{n}" for n in range(200)]).collect()}
+    got = features.wind_by_rings(stations, wind, 0.0, 50_000.0, 2)
+    assert {r.station_id: r.wind_speed for r in got.collect()} == exact
+    assert met == [5, 5]
