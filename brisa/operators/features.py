@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brisa.functions import geo
+from brisa.operators import near
 from brisa.operators.spatial import join_radius
 from brisa.operators.tiles import near_totals
 from brisa.params import FEATURE_RADIUS_M
@@ -111,11 +112,10 @@ def flow_feature(sections: DataFrame, places: DataFrame) -> DataFrame:
     The sum is cut to a whole number after rounding to six decimals, so adding
     the means in another order cannot change it.
     """
-    spots = sections.groupBy("id", "roadname", "lon", "lat").agg(F.max("flow").alias("flow"))
-    near = join_radius(spots, places, FEATURE_RADIUS_M, PLACE)
-    per_section = near.groupBy(*PLACE, "roadname", "id").agg(F.max("flow").alias("flow"))
-    per_road = per_section.groupBy(*PLACE, "roadname").agg(F.avg("flow").alias("flow"))
-    return per_road.groupBy(*PLACE).agg(F.floor(F.round(F.sum("flow"), 6)).cast("int").alias("traffic_flow"))
+    centres = near.numbered(places, FEATURE_RADIUS_M)
+    per_road = near.mean_of_largest(sections, centres, FEATURE_RADIUS_M, ["id", "roadname"], "flow", ["roadname"])
+    total = per_road.groupBy("_id").agg(F.floor(F.round(F.sum("flow"), 6)).cast("int").alias("traffic_flow"))
+    return centres.select("_id", *PLACE).join(total, "_id").drop("_id")
 
 
 def counted_flow(data: str) -> Column:

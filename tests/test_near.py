@@ -36,6 +36,23 @@ def test_a_cover_is_never_broadcast(spark):
     assert len(by_place) == 100 and all(by_place[n] == by_place[n + 50] for n in range(50))
 
 
+def test_largest_flow_of_a_section_near_a_place(spark):
+    draw = random.Random(8)
+    rows = [
+        (None if n % 50 == 0 else n % 120, "road" + str(n % 4) if n % 11 else None, draw.choice([None, 1.0, 4.0, 9.0]), *s)
+        for n, s in enumerate(spots(draw, 30.5, 5000.0, 900))
+    ]
+    sections = frame(spark, rows, "id int, roadname string, flow double, lon double, lat double")
+    places = features.sites(frame(spark, spots(draw, 30.5, 5000.0, 50), "lon double, lat double"))
+    pairs = spatial.join_radius(sections, places, 5000.0, ["_place"])
+    largest = pairs.groupBy("_place", "roadname", "id").agg(F.max("flow").alias("flow"))
+    road = largest.groupBy("_place", "roadname").agg(F.avg("flow").alias("flow"))
+    expected = road.groupBy("_place").agg(F.floor(F.round(F.sum("flow"), 6)).alias("f"))
+    got = features.flow_feature(sections, places)
+    assert {r._place: r.traffic_flow for r in got.collect()} == {r._place: r.f for r in expected.collect()}
+    assert got.count() > 30
+
+
 def test_wind_stations_at_one_spot_meet_a_place_once(spark, monkeypatch):
     met = []
     join = spatial.join_radius
