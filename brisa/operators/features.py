@@ -39,21 +39,22 @@ def near_sites(points: DataFrame, places: DataFrame, aggregates: Sequence[Column
 def truck_features(trucks: DataFrame, places: DataFrame) -> DataFrame:
     """Distinct moving trucks and their track points near each position.
 
-    Track points of one truck at one spot are counted before the join.
+    Track points at one spot are counted before the join, trucks by ``near.count_members``.
     """
-    spots = (
-        trucks.filter(F.col("speed") > 0)
-        .groupBy("plate_num", "sim_card", "lon", "lat")
-        .agg(F.count("*").alias("_n"))
-    )
-    per_truck = join_radius(spots, places, FEATURE_RADIUS_M, PLACE).groupBy(
-        *PLACE, "plate_num", "sim_card"
-    ).agg(F.sum("_n").alias("_n"))
-    return per_truck.groupBy(*PLACE).agg(
-        F.count_if(F.col("plate_num").isNotNull() & F.col("sim_card").isNotNull()).alias(
-            "truck_num"
-        ),
-        F.sum("_n").alias("truck_trajectory"),
+    moving = trucks.filter(F.col("speed") > 0)
+    spots = moving.groupBy("lon", "lat").agg(F.count("*").alias("_n"))
+    seen = near_sites(spots, places, [F.sum("_n").alias("truck_trajectory")])
+    return _with_trucks(seen, moving, places, by_tile=False)
+
+
+def _with_trucks(seen: DataFrame, moving: DataFrame, places: DataFrame, by_tile: bool) -> DataFrame:
+    """Add ``truck_num``, the distinct trucks with a plate and a card among those seen."""
+    known = moving.where("plate_num IS NOT NULL AND sim_card IS NOT NULL")
+    centres = near.numbered(places, FEATURE_RADIUS_M)
+    counts = near.count_members(known, centres, FEATURE_RADIUS_M, ["plate_num", "sim_card"], "truck_num", by_tile)
+    counts = centres.select("_id", *PLACE).join(counts, "_id").drop("_id")
+    return seen.join(counts, PLACE, "left").select(
+        *PLACE, F.coalesce("truck_num", F.lit(0).cast("bigint")).alias("truck_num"), "truck_trajectory"
     )
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brisa.functions import geo
-from brisa.operators import features, spatial, tiles
+from brisa.operators import features, near, spatial, tiles
 
 
 def spots(draw, lat, radius, n):
@@ -36,6 +36,34 @@ def test_a_cover_is_never_broadcast(spark):
     assert len(by_place) == 100 and all(by_place[n] == by_place[n + 50] for n in range(50))
 
 
+@pytest.mark.parametrize("lat, radius", [(30.5, 5000.0), (0.0, 800.0), (-62.0, 20000.0)])
+@pytest.mark.parametrize("by_tile", [False, True])
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_members_near_centres(spark, monkeypatch, lat, radius, by_tile, few):
+    monkeypatch.setattr(near, "FEW_IDS", few)
+    draw = random.Random(int(radius))
+    seen = [(f"P{n % 40}", None if n % 90 == 0 else n % 7, *s) for n, s in enumerate(spots(draw, lat, radius, 700) * 2)]
+    rows = frame(spark, seen, "plate string, card int, lon double, lat double")
+    places = frame(spark, spots(draw, lat, radius, 60), "lon double, lat double").distinct()
+    centres = near.numbered(places, radius)
+    far = geo.distance_m("lon", "lat", "_x", "_y") < radius
+    pairs = rows.crossJoin(centres.select("_id", F.col("lon").alias("_x"), F.col("lat").alias("_y"))).where(far)
+    expected = {r._id: r.n for r in pairs.select("_id", "plate", "card").distinct().groupBy("_id").agg(F.count("*").alias("n")).collect()}
+    got = near.count_members(rows, centres, radius, ["plate", "card"], "n", by_tile)
+    assert {r._id: r.n for r in got.collect()} == expected and max(expected.values()) > 3
+
+
+def test_pairs_stay_in_their_task(spark):
+    draw = random.Random(3)
+    rows = frame(spark, [(f"P{n % 9}", *s) for n, s in enumerate(spots(draw, 30.5, 5000.0, 300))], "plate string, lon double, lat double")
+    centres = near.numbered(frame(spark, spots(draw, 30.5, 5000.0, 40), "lon double, lat double"), 5000.0)
+    for by_tile in (False, True):
+        text = plan(near.count_members(rows, centres, 5000.0, ["plate"], "n", by_tile)).split("== Initial Plan ==")[0]
+        dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+        assert not [d for d in dealt if "plate" in d and "_id" in d]
+        assert len([d for d in dealt if "plate" in d and "_rband" in d]) == 1
+
+
 def test_largest_flow_of_a_section_near_a_place(spark):
     draw = random.Random(8)
     rows = [
