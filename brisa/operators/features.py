@@ -88,11 +88,9 @@ def _near(points: DataFrame, places: DataFrame, sums: dict[str, str], members: S
 
 def truck_features_by_tile(trucks: DataFrame, places: DataFrame) -> DataFrame:
     """``truck_features`` with the trucks of whole tiles merged as sets."""
-    seen = _near(trucks.filter(F.col("speed") > 0), places, {"truck_trajectory": "1"}, ["plate_num", "sim_card"])
-    known = F.col("plate_num").isNotNull() & F.col("sim_card").isNotNull()
-    return seen.groupBy(*PLACE).agg(
-        F.count_if(known).alias("truck_num"), F.sum("truck_trajectory").alias("truck_trajectory")
-    )
+    moving = trucks.filter(F.col("speed") > 0)
+    seen = _near(moving, places, {"truck_trajectory": "1"})
+    return _with_trucks(seen, moving, places, by_tile=True)
 
 
 def mean_features_by_tile(points: DataFrame, places: DataFrame, names: Sequence[str]) -> DataFrame:

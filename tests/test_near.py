@@ -81,6 +81,15 @@ def test_largest_flow_of_a_section_near_a_place(spark):
     assert got.count() > 30
 
 
+def test_trucks_without_a_plate_leave_their_track(spark):
+    trucks = frame(spark, [("a", "1", 104.0, 30.0, 5), (None, "1", 104.0, 30.0, 5), (None, "2", 105.0, 30.0, 5), ("b", "1", 104.0, 30.0, 0)],
+                   "plate_num string, sim_card string, lon double, lat double, speed int")
+    places = features.sites(frame(spark, [(104.0, 30.0), (105.0, 30.0), (106.0, 30.0)], "lon double, lat double"))
+    for f in (features.truck_features, features.truck_features_by_tile):
+        got = {r._place.lon: (r.truck_num, r.truck_trajectory) for r in f(trucks, places).collect()}
+        assert got == {104.0: (1, 2), 105.0: (0, 1)}
+
+
 def test_wind_stations_at_one_spot_meet_a_place_once(spark, monkeypatch):
     met = []
     join = spatial.join_radius
