@@ -83,16 +83,21 @@ def csv_with_header(spark, sf):
       f"CASE WHEN l_linenumber <> {n % 7 + 1} THEN CAST(CAST(l_partkey + {n} AS BIGINT) AS VARCHAR) END AS {c}"
       for n, c in enumerate(VOC_TRACK_COLUMNS[1:]))} FROM lineitem""")
 def delimited_lines(spark, sf):
-    """All 59 columns of a track file; empty fields are missing."""
+    """All 59 columns of a track file; empty fields are missing.
+
+    The text is many times as long as the table it comes from.  It is compressed, and lines of
+    near numbers lie beside each other: they share most of their text.
+    """
     path = shared_dir(spark, "lines")
-    rows = adapters.table(spark, sf, "lineitem").select(
+    items = adapters.table(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", "l_partkey")
+    rows = items.sortWithinPartitions("l_partkey", "l_linenumber").select(
         F.concat(F.lit("区"), F.col("l_returnflag")).alias(VOC_TRACK_COLUMNS[0]),
         *[
             F.when(F.col("l_linenumber") != n % 7 + 1, F.col("l_partkey") + n).alias(c)
             for n, c in enumerate(VOC_TRACK_COLUMNS[1:])
         ],
     )
-    files.write_csv(rows, path, sep=";", encoding="GBK", header=False)
+    files.write_csv(rows, path, sep=";", encoding="GBK", header=False, compression="gzip", rows_per_file=50_000)
     return files.read_delimited(spark, path, VOC_TRACK_COLUMNS)
 
 

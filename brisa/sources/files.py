@@ -67,11 +67,17 @@ def read_delimited(
 
 
 def write_csv(
-    df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True
+    df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True,
+    compression: str = "none", rows_per_file: int = 0,
 ) -> None:
-    """Delimited text, one file per partition."""
+    """Delimited text, one file per partition or per ``rows_per_file`` rows of it.
+
+    Compressed text is read by one task a file, so its files should have few rows.
+    """
     (
         df.write.mode("overwrite")
+        .option("compression", compression)
+        .option("maxRecordsPerFile", rows_per_file)
         .option("header", str(header).lower())
         .option("sep", sep)
         .option("encoding", allow_encoding(df.sparkSession, encoding))

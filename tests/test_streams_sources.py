@@ -181,3 +181,23 @@ def test_shared_dir_uses_the_cluster_folder(spark):
         conf = Conf()
 
     assert shared_dir(Session(), "x").startswith("hdfs://cluster/check/x-")
+
+
+def test_compressed_lines_in_files_of_few_rows(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    rows = spark.range(0, 1000, 1, 2).select(F.lit("区").alias("a"), F.when(F.col("id") % 3 != 0, F.col("id")).alias("b"))
+    files.write_csv(rows, path, sep=";", encoding="GBK", header=False, compression="gzip", rows_per_file=100)
+    written = list((tmp_path / "lines").glob("*.csv.gz"))
+    assert len(written) == 10 and sum(f.stat().st_size for f in written) < 1000 * 4
+    got = files.read_delimited(spark, path, ["a", "b"])
+    assert sorted((r.a, r.b) for r in got.collect()) == sorted(("区", str(n) if n % 3 else None) for n in range(1000))
+
+
+def test_track_lines_are_stored_compressed(spark, sf, tmp_path, monkeypatch):
+    from brisa.plans import tables
+    from brisa.plans.registry import QUERIES
+
+    monkeypatch.setattr(tables, "shared_dir", lambda spark, name: str(tmp_path / name))
+    got = QUERIES["S7_delimited_lines"](spark, sf)
+    assert got.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert not list((tmp_path / "lines").glob("*.csv")) and list((tmp_path / "lines").glob("*.csv.gz"))
