@@ -28,6 +28,7 @@ from brisa.params import (
     SMALL_AREA_MEMBERS,
     SMALL_AREA_SHARE,
 )
+from brisa.session import shuffle_tasks
 
 
 def hourly_means(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,6 +36,16 @@ def hourly_means(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
     return readings.groupBy(*keys, "published_at").agg(*parameter_means())
 
 
+def hourly_means_sparse(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``hourly_means`` where most hours of a key have a single reading.
+
+    Combining before the shuffle would keep a state for nearly every row of a file's
+    part.  Readings are dealt by key and hour first, to as many tasks as a shuffle has.
+    """
+    dealt = readings.select(*keys, "published_at", *PARAMETERS)
+    return hourly_means(dealt.repartition(shuffle_tasks(readings), *keys, "published_at"), keys)
+
+
 def eight_hour_mean(keys: Sequence[str], frame: str = "rows") -> Column:
     """Mean of o3 over this and the next seven rows (or hours) of the day.
 
@@ -58,7 +69,10 @@ def day_profile(hourly: DataFrame, keys: Sequence[str], frame: str = "rows") ->
         times.observation_day(F.col("published_at")).alias("_day"),
         times.observation_hour(F.col("published_at")).alias("_hour"),
         *PARAMETERS,
-    ).withColumn("_o3_8h", eight_hour_mean(keys, frame))
+    )
+    # a row becomes far more in the window than its compressed bytes tell: the number of tasks is given
+    staged = staged.repartition(shuffle_tasks(hourly), *keys, "_day")
+    staged = staged.withColumn("_o3_8h", eight_hour_mean(keys, frame))
     profile = staged.groupBy(*keys, "_day").agg(
         *[steady_mean(p).alias(p) for p in PARAMETERS if p != "o3"],
         F.max(F.when(early, F.col("_o3_8h"))).alias("o3"),

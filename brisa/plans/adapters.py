@@ -94,12 +94,16 @@ def station_days(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.station_day(station_hours(spark, sf))
 
 
-def supplier_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily product of every supplier as a station."""
-    hours = rollup.hourly_means(
+def supplier_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours of every supplier as a station; few have a second reading."""
+    return rollup.hourly_means_sparse(
         observations(spark, sf).withColumn("station_id", F.col("l_suppkey")), ["station_id"]
     )
-    return rollup.station_day(hours)
+
+
+def supplier_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily product of every supplier as a station."""
+    return rollup.station_day(supplier_hours(spark, sf))
 
 
 def grid_days(spark: SparkSession, sf: str) -> DataFrame:

@@ -248,9 +248,7 @@ sql.view("area_hour", f"""
   SELECT area_id, published_at, {sql.reports()}, {sql.INDEX_COLUMNS}, source
   FROM {sql.indexed('area_hour', 'hour')}"""))
 def area_hour(spark, sf):
-    stations = rollup.hourly_means(
-        adapters.observations(spark, sf).withColumn("station_id", F.col("l_suppkey")), ["station_id"]
-    )
+    stations = adapters.supplier_hours(spark, sf)
     monitored = rollup.area_hour(
         stations, adapters.station_area(spark, sf), ["station_id"], "monitoring"
     )

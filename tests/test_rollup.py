@@ -146,3 +146,27 @@ def test_index_is_at_least_every_sub_index(spark, sf):
     worst = F.greatest(*[F.col(f"{p}_iaqi") for p in PARAMETERS])
     assert day.filter(F.col("aqi") < worst).count() == 0
     assert day.filter((F.col("aqi") > 50) & (F.size("primary_pollutants") == 0)).count() == 0
+
+
+def test_sparse_hours_are_dealt_before_they_are_combined(spark):
+    stamp = F.timestamp_seconds(F.col("id") * 1800).cast("timestamp_ntz")
+    readings = spark.range(0, 400, 1, 3).select(
+        (F.col("id") % 4).cast("int").alias("station_id"), stamp.alias("published_at"),
+        *[(F.col("id") % (n + 5)).cast("double").alias(p) for n, p in enumerate(PARAMETERS)],
+    )
+    readings = readings.union(readings.where("pm2_5 = 0"))
+    got = rollup.hourly_means_sparse(readings, ["station_id"])
+    plain = rollup.hourly_means(readings, ["station_id"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    text = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.index("HashAggregate") < text.index("Exchange hashpartitioning") and text.count("Exchange") == 1
+    assert "HashAggregate" not in text[text.index("Exchange hashpartitioning"):]
+
+
+def test_days_have_a_given_number_of_tasks(spark):
+    hours = spark.range(48).select(
+        (F.col("id") % 2).alias("station_id"), F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("published_at"),
+        *[F.lit(1.0).alias(p) for p in PARAMETERS],
+    )
+    text = rollup.day_profile(hours, ["station_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in text and text.count("Exchange hashpartitioning") == 1
