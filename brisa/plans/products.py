@@ -11,7 +11,7 @@ from brisa.params import WEATHER_FIELDS, WEATHER_NO_DATA
 from brisa.plans import adapters, cleaning, places, scoring, sql
 from brisa.plans.registry import ORACLES, flat, query
 from brisa.plans.rollups import area_days
-from brisa.session import shared_dir, stored
+from brisa.session import shared_dir, shuffle_tasks, stored
 from brisa.sources import sinks
 
 MONTH = ["published_year", "published_month"]
@@ -82,8 +82,12 @@ def state_refresh(spark, sf):
 BUCKETS = 8
 
 
-def clustered(spark, df, keys, buckets=BUCKETS):
-    """A table kept in buckets of ``keys``; jobs choose one bucket for each 128 MB or so."""
+def clustered(spark, df, keys, buckets=None):
+    """A table kept in buckets of ``keys``; jobs choose one bucket for each 128 MB or so.
+
+    Without a choice there are as many as a shuffle has tasks, for each is sorted by one.
+    """
+    buckets = buckets or max(BUCKETS, shuffle_tasks(df))
     table = f"days_{uuid.uuid4().hex}"
     return sinks.save_clustered(df, table, shared_dir(spark, "clustered"), keys, buckets)
 

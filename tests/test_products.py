@@ -447,3 +447,15 @@ def test_mixed_documents(spark):
         (1, 0): (5.0, "N", None), (1, 1): (6.5, None, None), (1, 2): (None, None, None),
         (2, 0): (7.0, None, 40.0), (3, 0): (None, None, None), (7, 0): (None, None, None), (8, 0): (None, None, None),
     }
+
+
+def test_buckets_grow_with_the_tasks_of_a_shuffle(spark):
+    from brisa.plans import products
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        stored = products.clustered(spark, spark.range(50).withColumnRenamed("id", "station_id"), ["station_id"])
+        assert len({f.rsplit("_", 1)[1].split(".")[0] for f in stored.inputFiles()}) > 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
