@@ -38,6 +38,7 @@ from brisa.llm.common import slices, stored
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCUMENTS = 3  # the two places kept of each chunk prove this bound and no larger one
 SCALE, MOST_TERMS = 1_000_000_000, 200
+LONG = 9_000_000_000  # counts below this, times SCALE, fit a long
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ENTRIES = 1_200_000  # counted chunks that a task holds before it sends them on
 FEW_GROUPS = 100_000  # groups that are broadcast, once counted; beyond, they are joined by language
@@ -180,9 +181,16 @@ def kept_terms(occurrences: DataFrame) -> DataFrame:
 
 
 def share(count: str, total: str = "total") -> Column:
-    """1 + floor(10^9 (count + 1) / (N + V)), exact for any count; null without terms."""
-    top = f"CAST({SCALE} AS DECIMAL(10, 0)) * CAST({count} + 1 AS DECIMAL(20, 0))"
-    return F.expr(f"1 + ({top}) DIV CAST(nullif({total} + terms, 0) AS DECIMAL(20, 0))")
+    """1 + floor(10^9 (count + 1) / (N + V)), exact for any count; null without terms.
+
+    Products that fit a long are taken as longs: decimals of any width cost many times as much.
+    """
+    below = f"nullif({total} + terms, 0)"
+    wide = f"CAST({SCALE} AS DECIMAL(10, 0)) * CAST({count} + 1 AS DECIMAL(20, 0))"
+    return F.expr(
+        f"1 + CASE WHEN {count} < {LONG} THEN ({SCALE}L * ({count} + 1)) DIV {below} "
+        f"ELSE ({wide}) DIV CAST({below} AS DECIMAL(20, 0)) END"
+    )
 
 
 def apart(p: str, q: str) -> str:

@@ -107,3 +107,14 @@ def test_query_matches_sql(spark, scale):
     folder = f"/root/testdata/{scale}"
     df = queries.QUERIES["op11_source_divergence"](spark, folder)
     assert compare(df, duck(folder), queries.ORACLES["op11_source_divergence"]) == []
+
+
+def test_shares_are_exact_where_longs_end(spark):
+    """Counts around the last whose product with SCALE is taken as a long."""
+    counts = [0, 1, divergence.LONG - 2, divergence.LONG - 1, divergence.LONG, divergence.LONG + 1, 7 * 10**14]
+    rows = [(n, total, terms) for n in counts for total, terms in ((n, 1), (n + 12345, 7), (3 * 10**15, 10**9), (0, 0))]
+    got = spark.createDataFrame(rows, "n long, total long, terms long").withColumn("p", divergence.share("n")).collect()
+    assert {(r["n"], r["total"], r["terms"]): r["p"] for r in got} == {
+        (n, total, terms): 1 + 10**9 * (n + 1) // (total + terms) if total + terms else None for n, total, terms in rows
+    }
+    assert 10**9 * divergence.LONG < 2**63
